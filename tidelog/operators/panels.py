@@ -59,26 +59,37 @@ def moving_mean(
 
     The window length differs per series, which a Spark frame cannot express,
     so the mean is a difference of running totals: row i against row i - w of
-    the same series, an equi-join on unique keys.
+    the same series. Each row is sent to its own position and to position
+    i + w, where the two meet in groups of at most two.
     """
     columns = df.columns
     longest = df.groupBy(*[ref(c) for c in series]).count().agg(F.max("count")).collect()[0][0]
     numbered = _numbered(df, value, series, order, (longest or 0) > window_rows)
     width = F.greatest(F.lit(1), F.round(F.col("_n") * fraction).cast("bigint"))
-    keyed = numbered.withColumn("_before", F.col("_row") - width)
-    totals = [c for c in numbered.columns if c.startswith("_t_")]
-    lagged = numbered.select(
+    totals = F.struct(*[F.col(c) for c in numbered.columns if c.startswith("_t_")])
+    own = F.struct(*[ref(c) for c in columns])
+    sent = numbered.select(
         *[ref(c).alias(f"_s{i}") for i, c in enumerate(series)],
-        F.col("_row").alias("_lag_row"),
-        *[F.col(c).alias(f"_lag{c}") for c in totals],
+        F.inline(
+            F.array(
+                F.struct(
+                    F.col("_row").alias("_at"), own.alias("_own"), totals.alias("_now"),
+                    F.lit(None).cast(_TOTALS).alias("_lag"),
+                ),
+                F.struct(
+                    (F.col("_row") + width).alias("_at"), F.lit(None).alias("_own"),
+                    F.lit(None).cast(_TOTALS).alias("_now"), totals.alias("_lag"),
+                ),
+            )
+        ),
+    )
+    met = sent.groupBy(*[f"_s{i}" for i in range(len(series))], "_at").agg(
+        *[F.first(c, ignorenulls=True).alias(c) for c in ("_own", "_now", "_lag")]
     )
-    same = F.col("_before") == F.col("_lag_row")
-    for i, c in enumerate(series):
-        same = same & ref(c).eqNullSafe(F.col(f"_s{i}"))
-    joined = keyed.join(lagged, same, "left")
 
     def inside(name: str) -> Column:
-        return F.col(f"_t_{name}") - F.coalesce(F.col(f"_lag_t_{name}"), F.lit(0))
+        now, lag = F.col("_now")[f"_t_{name}"], F.col("_lag")[f"_t_{name}"]
+        return now - F.coalesce(lag, F.lit(0))
 
     finite = F.when(inside("count") > 0, inside("sum") / inside("count"))
     mean = (
@@ -87,7 +98,10 @@ def moving_mean(
         .when(inside("down") > 0, float("-inf"))
         .otherwise(finite)
     )
-    return joined.select(*[ref(c) for c in columns], mean.alias("moving_mean"))
+    return met.filter(F.col("_own").isNotNull()).select("_own.*", mean.alias("moving_mean"))
+
+
+_TOTALS = "struct<_t_sum:double,_t_count:bigint,_t_nan:bigint,_t_up:bigint,_t_down:bigint>"
 
 
 def _parts(value: Column) -> dict[str, Column]:
