@@ -59,7 +59,7 @@ def _next_field_reason(rest: Column) -> Column:
 
 
 def _time_reason(rest: Column) -> Column:
-    text = F.regexp_replace(rest, rf"^{P.SPACE}++|{P.SPACE}++$", "")
+    text = F.trim(rest, F.lit(P.SPACES))
     why = F.when(text.rlike(P.INTEGER), "value out of range").otherwise("invalid syntax")
     return F.concat(
         F.lit("timestamp "), _quoted(text), F.lit(": strconv.ParseInt: parsing "), _quoted(text),

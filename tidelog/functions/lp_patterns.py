@@ -7,8 +7,11 @@ API (no SQL un-escaping).
 
 from __future__ import annotations
 
-# Go's notion of white space around a line
+# white space that is trimmed from both ends of a line
 SPACE = r"[\s\u0085\p{Z}]"
+SPACES = " \t\n\v\f\r\u0085\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + (
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 # --- any legal line: backslash escapes, quoted strings ---------------------
 MEASUREMENT = r"(?:\\.|[^, ])++"
@@ -23,18 +26,20 @@ EACH_TAG = rf"(?s)\G,({KEY})=({TAG_VALUE})"
 EACH_FIELD = rf"(?s)\G(?:^|,)({KEY}={FIELD_VALUE})"
 SPLIT_FIELD = rf"(?s)^({KEY})=(.*)$"
 
-# --- the common line: no escapes, values that are certainly valid ----------
-PLAIN_INT = r"[+-]?(?:[0-8]\d{18}|\d{1,18})(?!\d)"
-PLAIN_FLOAT = r"[+-]?(?:\d{1,100}(?:\.\d{0,100})?|\.\d{1,100})(?:[eE][+-]?\d{1,2})?"
+# --- the common line: simple names, values that are certainly valid --------
+# Unrolled and possessive: no step is ever taken back.
+PLAIN_INT = r"[+-]?+(?:[0-8]\d{18}|\d{1,18})(?!\d)"
 PLAIN_BOOL = r"(?:true|false|True|False|TRUE|FALSE|[tTfF])"
-PLAIN_VALUE = (
-    rf'(?:{PLAIN_FLOAT}(?=[, \t\r]|$)|{PLAIN_INT}i|\d{{1,19}}u|{PLAIN_BOOL}|"[^"\\]*+")'
-)
-PLAIN_KEY = r'[^=, \\"]++'
-PLAIN_FIELD = rf"{PLAIN_KEY}={PLAIN_VALUE}(?=[, \t\r]|$)"
+_EXPONENT = r"(?:[eE][+-]?+\d{1,2}+)?+"
+_NUMBER = rf"[+-]?+(?:\d{{1,18}}+(?:i|(?:\.\d{{0,99}}+)?+{_EXPONENT})|\.\d{{1,99}}+{_EXPONENT})"
+_VALUE_END = r"(?=[, \t\r]|$)"
+PLAIN_VALUE = rf"(?:(?:{_NUMBER}|\d{{1,18}}+u|{PLAIN_BOOL}){_VALUE_END}|{QUOTED})"
+PLAIN_KEY = r'[^=, \\"]*+(?:\\.[^=, \\"]*+)*+'
+_PLAIN_TAG = rf"{PLAIN_KEY}=[^, =\\]*+(?:\\.[^, =\\]*+)*+"
+PLAIN_FIELD = rf"{PLAIN_KEY}={PLAIN_VALUE}"
 PLAIN_LINE = (
     r"(?s)^[ \t]*+"
-    rf"((?!#|{SPACE})[^, \\]++)((?:,{PLAIN_KEY}=[^, =\\]*+)*+) "
+    rf"((?!#|{SPACE})[^, \\]++(?:\\.[^, \\]*+)*+)((?:,{_PLAIN_TAG})*+) "
     rf"({PLAIN_FIELD}(?:,{PLAIN_FIELD})*+)(?: [ \t]*+({PLAIN_INT})?+)?+[ \t\r]*+$"
 )
 EACH_PLAIN_FIELD = r'\G(?:^|,)([^=]++=(?:"[^"]*+"|[^,]++))'

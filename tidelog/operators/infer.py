@@ -58,7 +58,7 @@ def infer_fields(
         F.count(F.lit(1)).alias("messages"),
         F.count_if(~known).alias("nulls"),
         F.max_by("kind", F.when(known, F.col("_at"))).alias("last_type"),
-        F.bit_or(F.shiftleft(F.lit(1), F.col("depth"))).alias("depths"),
+        F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("depth"))).alias("depths"),
     )
     return stats.select(
         "path",
@@ -106,9 +106,8 @@ def schema_groups(
         return F.concat(leaf["path"], F.lit(":"), shown)
 
     fields = F.sort_array(F.transform(text_leaves(F.col(value), options), entry))
-    signed = df.select(
-        "topic", "partition", "offset", "timestamp", F.array_join(fields, "|").alias("fields")
-    )
+    names = F.coalesce(F.array_join(fields, "|"), F.lit("error:string"))
+    signed = df.select("topic", "offset", "timestamp", names.alias("fields"))
     grouped = signed.groupBy("topic", "fields").agg(
         F.count(F.lit(1)).alias("messages"),
         F.min("offset").alias("first_offset"),

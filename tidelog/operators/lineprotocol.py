@@ -27,7 +27,7 @@ OUT_OF_RANGE = "timestamp out of range"
 
 # A judged line is an array of strings, told apart by its size:
 #   4  common line      measurement, tags, fields, timestamp
-#   5  line with escapes or unusual values (the same four and an empty mark)
+#   5  line with unusual names or values (the same four and an empty mark)
 #   2  the error of a message without any good line: text, line number
 #   1  a bad line of a message that has good ones; NULL: blank or comment
 _ERROR_SIZE, _PLAIN_SIZE, _GENERAL_SIZE = 2, 4, 5
@@ -70,7 +70,7 @@ def _judge_slowly(raw: Column) -> Column:
         judged = F.coalesce(let(parts, keep_valid), F.array(line))
         return F.when((line != "") & ~line.startswith("#"), judged)
 
-    return let(F.regexp_replace(raw, rf"^{P.SPACE}++|{P.SPACE}++$", ""), by_grammar)
+    return let(F.trim(raw, F.lit(P.SPACES)), by_grammar)
 
 
 def _judged_lines(payload: Column) -> Column:
@@ -138,15 +138,20 @@ def line_columns(lines: DataFrame) -> DataFrame:
     keep = [c for c in lines.columns if c != "_parts"]
     parts = F.col("_parts")
     good = F.size(parts) != _ERROR_SIZE
-    general = F.size(parts) == _GENERAL_SIZE
+    unusual = F.size(parts) == _GENERAL_SIZE
+    # get, not []: a filter on these columns may be evaluated on bad lines too
+    name, tags, fields, ts = (F.get(parts, i) for i in range(_PLAIN_SIZE))
     return lines.select(
         *keep,
-        F.when(good, _ident(parts[0])).otherwise("").alias("_measurement"),
-        F.when(good, _tag_map(parts[1], general)).otherwise(_empty_tags()).alias("tags"),
-        F.when(good, _field_list(parts[2], general)).alias("_fields"),
-        F.when(good & (parts[3] != ""), parts[3].cast("bigint")).alias("_ts"),
+        F.when(good, _ident(name)).otherwise("").alias("_measurement"),
+        F.when(good, _tag_map(tags, unusual | tags.contains("\\")))
+        .otherwise(_empty_tags())
+        .alias("tags"),
+        F.when(good, _field_list(fields, unusual | fields.contains("\\"))).alias("_fields"),
+        F.when(good & (ts != ""), ts.cast("bigint")).alias("_ts"),
         F.when(
-            ~good, rarely(parts, lambda p: line_error(p[0], p[1].cast("bigint"), NO_LINES))
+            ~good,
+            rarely(parts, lambda p: line_error(F.get(p, 0), F.get(p, 1).cast("bigint"), NO_LINES)),
         ).alias("error"),
     )
 
@@ -155,7 +160,13 @@ def filtered_lines(df: DataFrame, options: LineOptions = LineOptions()) -> DataF
     """Decoded lines that pass the measurement and tag filters; error rows stay."""
     lines = line_columns(parse_lines(df))
     test = options.filter.on_line(df.sparkSession, F.col("_measurement"), F.col("tags"))
-    return lines if test is None else lines.filter(F.col("error").isNotNull() | test)
+    if test is None:
+        return lines
+    # one inline per line keeps the filter above the columns it tests; pushed
+    # below them it would build every tag map twice
+    row = F.struct(*[F.col(c) for c in lines.columns])
+    held = lines.select(F.inline(F.array(row)))
+    return held.filter(F.col("error").isNotNull() | test)
 
 
 _SCALE_TO_MICROS = {"us": 1, "ms": 1_000, "s": 1_000_000}

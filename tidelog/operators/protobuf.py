@@ -18,6 +18,9 @@ from pyspark.sql import types as T
 
 from tidelog.functions import wire
 from tidelog.functions.columns import is_empty
+from tidelog.operators.flatten import FlattenOptions
+from tidelog.operators.structs import flatten_struct
+from tidelog.sources.schemas import MAX_SCHEMAS
 
 try:
     from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
@@ -178,6 +181,40 @@ def decode_protobuf(
     )
 
 
+def decode_protobuf_topic(
+    df: DataFrame,
+    descriptor_set: bytes,
+    wire_format: str = "auto",
+    options: FlattenOptions = FlattenOptions(),
+    prefix: str = "",
+) -> DataFrame:
+    """Decode a topic whose frames may name different messages of one file.
+
+    The distinct index paths are few (the messages of a file); each is decoded
+    with its own type, flattened, and the results are united by column name.
+    """
+    value = F.col("value")
+    framed = ~is_empty(value) & wire.has_header(value, wire_format)
+    path = F.when(framed, wire.message_index(wire.body(value, wire_format))["path"])
+    paths = df.select(path.alias("path")).distinct().limit(MAX_SCHEMAS + 1).collect()
+    if len(paths) > MAX_SCHEMAS:
+        raise ValueError(f"more than {MAX_SCHEMAS} message index paths in one topic")
+    marked = df.withColumn("_path", path)
+    result = None
+    for found in sorted({tuple(r["path"]) if r["path"] else () for r in paths}):
+        same = F.array(*[F.lit(i).cast("bigint") for i in found]) if found else F.lit(None)
+        part = marked.filter(F.col("_path").eqNullSafe(same)).drop("_path")
+        try:
+            decoded = decode_protobuf(
+                part, descriptor_set, wire_format=wire_format, index_path=found or None
+            )
+            branch = flatten_struct(decoded, options=options, prefix=prefix)
+        except IndexError as missing:
+            branch = part.withColumn("error", F.lit(f"protobuf decoding failed: {missing}"))
+        result = branch if result is None else result.unionByName(branch, allowMissingColumns=True)
+    return marked.drop("_path").withColumn("error", F.lit("")).limit(0) if result is None else result
+
+
 def encode_protobuf(
     record: Column,
     descriptor_set: bytes,

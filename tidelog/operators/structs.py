@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tidelog.functions.variants import escape_markup
 from tidelog.operators.flatten import FlattenOptions
+from tidelog.operators.wide import column_name
 
 
 def leaf_fields(
@@ -51,9 +52,14 @@ def _leaf(kind: T.DataType, value: Column) -> Column:
 
 
 def flatten_struct(
-    df: DataFrame, column: str = "body", options: FlattenOptions = FlattenOptions()
+    df: DataFrame,
+    column: str = "body",
+    options: FlattenOptions = FlattenOptions(),
+    prefix: str = "",
 ) -> DataFrame:
-    """Replace the struct ``column`` by one column per leaf."""
+    """Replace the struct ``column`` by one column per leaf, named by its path
+    after ``prefix``. A name that is taken becomes ``value.<path>``."""
     keep = [c for c in df.columns if c != column]
     fields = leaf_fields(df.schema[column].dataType, F.col(column), options)
-    return df.select(*keep, *[c.alias(p) for p, c in fields.items()])
+    named = {column_name(prefix + path, keep): c for path, c in fields.items()}
+    return df.select(*keep, *[c.alias(n) for n, c in named.items()])

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.plans.query import DEFAULT_LAST_N, effective_last_n
+from tidelog.session import ensure_checkpoint_dir
 
 # up to this many partitions the bounds become literals of the scan filter
 LITERAL_BOUNDS = 256
@@ -59,6 +60,8 @@ def last_n(df: DataFrame, n: int = DEFAULT_LAST_N, bounds: DataFrame | None = No
     if len(few) <= LITERAL_BOUNDS:
         return from_offsets(df, {(r["topic"], r["partition"]): r["start"] for r in few})
     # many partitions: an equi-join, whose side Spark broadcasts only if it is small
+    if df.isStreaming:
+        starts = _fixed(starts)
     return (
         df.join(starts, ["topic", "partition"])
         .filter(F.col("offset") >= F.col("start"))
@@ -84,15 +87,33 @@ def _balanced_or(tests):
 
 
 def after_high_water(df: DataFrame, high_water: DataFrame) -> DataFrame:
-    """Only messages newer than the bounds taken earlier with
-    :func:`offset_bounds`; a partition unknown then is new as a whole."""
+    """Only messages newer than the bounds of :func:`offset_bounds`; a
+    partition unknown then is new as a whole.
+
+    The bounds are fixed here, once: a stream would otherwise look them up
+    again for every batch and never see anything new.
+    """
     seen = high_water.select("topic", "partition", F.col("latest").alias("_seen"))
-    joined = df.join(seen, ["topic", "partition"], "left")
+    few = seen.limit(LITERAL_BOUNDS + 1).collect()
+    if len(few) <= LITERAL_BOUNDS:
+        old = [
+            (F.col("topic") == r["topic"])
+            & (F.col("partition") == r["partition"])
+            & (F.col("offset") < r["_seen"])
+            for r in few
+        ]
+        return df.filter(~_balanced_or(old)) if old else df
+    joined = df.join(_fixed(seen), ["topic", "partition"], "left")
     return joined.filter(
         F.col("_seen").isNull() | (F.col("offset") >= F.col("_seen"))
     ).select(*df.columns)
 
 
+def _fixed(bounds: DataFrame) -> DataFrame:
+    ensure_checkpoint_dir(bounds.sparkSession)
+    return bounds.checkpoint()
+
+
 def starting_offsets_json(bounds: DataFrame, n: int) -> str:
     """``startingOffsets`` of a Kafka reader for the last ``n`` offsets."""
     start = F.greatest(F.col("latest") - effective_last_n(n), F.col("earliest"))
