@@ -10,7 +10,8 @@ from tidelog.functions.columns import let
 from tidelog.functions.lp_values import is_bad
 
 _HEAD = rf"(?s)^({P.MEASUREMENT})({P.TAGS})"
-_DONE_FIELDS = rf"(?s)^(?:{P.KEY}={P.FIELD_VALUE}(?:,{P.KEY}={P.FIELD_VALUE})*+)?+"
+_WHOLE_FIELD = rf"{P.KEY}={P.FIELD_VALUE}(?=[, ]|$)"
+_DONE_FIELDS = rf"(?s)^(?:{_WHOLE_FIELD}(?:,{_WHOLE_FIELD})*+)?+"
 _NEXT_FIELD = rf"(?s)^,?({P.KEY})(=?)(.*)$"
 _CLOSED_QUOTE = rf"(?s)^{P.QUOTED}(.)"
 

@@ -39,6 +39,14 @@ def has_spark_avro(spark: SparkSession) -> bool:
         return False
 
 
+def _name(names: dict, schema: dict, meaning):
+    """Remember a named type, also under its full name, for later references."""
+    names[schema["name"]] = meaning
+    if "namespace" in schema:
+        names[f"{schema['namespace']}.{schema['name']}"] = meaning
+    return meaning
+
+
 def spark_type(schema, names: dict | None = None) -> T.DataType:
     """Spark type of an Avro schema. A union of null and one type is that
     type; a union of several is a struct of members, later coalesced."""
@@ -54,14 +62,12 @@ def spark_type(schema, names: dict | None = None) -> T.DataType:
         return _PRIMITIVES[schema] if schema in _PRIMITIVES else names[schema]
     kind = schema["type"]
     if kind == "record":
-        fields = T.StructType()
-        names[schema["name"]] = fields
+        fields = _name(names, schema, T.StructType())
         for f in schema["fields"]:
             fields.add(f["name"], spark_type(f["type"], names))
         return fields
     if kind in ("enum", "fixed"):
-        names[schema["name"]] = T.StringType()
-        return T.StringType()
+        return _name(names, schema, T.StringType())
     if kind == "array":
         return T.ArrayType(spark_type(schema["items"], names))
     if kind == "map":
@@ -101,15 +107,15 @@ def _reader(schema, names: dict) -> Callable[[BytesIO], object]:
         kind = schema["type"]
         if kind == "record":
             fields: list = []
-            names[schema["name"]] = lambda d: {n: r(d) for n, r in fields}
+            _name(names, schema, lambda d: {n: r(d) for n, r in fields})
             fields += [(f["name"], _reader(f["type"], names)) for f in schema["fields"]]
             return names[schema["name"]]
         if kind == "enum":
-            names[schema["name"]] = lambda d: schema["symbols"][_long(d)]
-            return names[schema["name"]]
+            return _name(names, schema, lambda d: schema["symbols"][_long(d)])
         if kind == "fixed":
-            names[schema["name"]] = lambda d: b64encode(_exactly(d, schema["size"])).decode()
-            return names[schema["name"]]
+            return _name(
+                names, schema, lambda d: b64encode(_exactly(d, schema["size"])).decode()
+            )
         if kind == "array":
             item = _reader(schema["items"], names)
             return lambda d: [item(d) for _ in _blocks(d)]
@@ -189,10 +195,12 @@ def _writer(schema, names: dict) -> Callable[[object], bytes]:
     if isinstance(schema, dict):
         kind = schema["type"]
         if kind == "record":
-            fields = [(f["name"], _writer(f["type"], names)) for f in schema["fields"]]
-            return lambda v: b"".join(w(v.get(n)) for n, w in fields)
+            fields: list = []
+            _name(names, schema, lambda v: b"".join(w(v.get(n)) for n, w in fields))
+            fields += [(f["name"], _writer(f["type"], names)) for f in schema["fields"]]
+            return names[schema["name"]]
         if kind == "enum":
-            return lambda v: long(schema["symbols"].index(v))
+            return _name(names, schema, lambda v: long(schema["symbols"].index(v)))
         if kind == "array":
             item = _writer(schema["items"], names)
             return lambda v: (long(len(v)) + b"".join(map(item, v)) if v else b"") + b"\0"
@@ -206,7 +214,7 @@ def _writer(schema, names: dict) -> Callable[[object], bytes]:
     def sized(data: bytes) -> bytes:
         return long(len(data)) + data
 
-    return {
+    simple = {
         "null": lambda v: b"",
         "boolean": lambda v: b"\1" if v else b"\0",
         "int": long,
@@ -215,7 +223,8 @@ def _writer(schema, names: dict) -> Callable[[object], bytes]:
         "double": lambda v: binary.pack("<d", v),
         "string": lambda v: sized(v.encode()),
         "bytes": lambda v: sized(v.encode()),
-    }[schema]
+    }
+    return simple[schema] if schema in simple else names[schema]
 
 
 def encode_avro(record: Column, schema: str, spark: SparkSession, schema_id: int | None = None) -> Column:

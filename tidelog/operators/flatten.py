@@ -134,9 +134,10 @@ def _settle(items: Column, max_depth: int) -> Column:
 
 
 def _first_by_depth(items: Column, max_depth: int) -> Column:
-    ordered = F.concat(
-        *[F.filter(items, lambda leaf, d=d: leaf["depth"] == d) for d in range(1, max_depth)]
-    )
+    def at(depth: int) -> Column:
+        return F.filter(items, lambda leaf: leaf["depth"] == depth)
+
+    ordered = F.concat(*[at(depth) for depth in range(1, max_depth)])
 
     def first_only(state: Column) -> Column:
         return F.filter(
