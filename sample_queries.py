@@ -597,7 +597,7 @@ def lp_long_rows(spark, sf_dir):
 )
 def lp_lines(spark, sf_dir):
     lines = parse_lines(topics.lineitem_lp(spark, sf_dir))
-    return lines.select("partition", "offset", "line", (F.size("_parts") == 2).alias("failed"))
+    return lines.select("partition", "offset", "line", F.col("_parts").startswith("\nE").alias("failed"))
 
 
 @query(

@@ -27,20 +27,28 @@ EACH_FIELD = rf"(?s)\G(?:^|,)({KEY}={FIELD_VALUE})"
 SPLIT_FIELD = rf"(?s)^({KEY})=(.*)$"
 
 # --- the common line: simple names, values that are certainly valid --------
-# Unrolled and possessive: no step is ever taken back.
+# Unrolled and possessive: no step is ever taken back. It is applied to a whole
+# message, so no part may run over a line end or contain the mark.
+MARK = "\u0001"
+_IN_LINE = r"\n\u0001"
+_ESCAPED = rf"\\[^{_IN_LINE}]"
 PLAIN_INT = r"[+-]?+(?:[0-8]\d{18}|\d{1,18})(?!\d)"
 PLAIN_BOOL = r"(?:true|false|True|False|TRUE|FALSE|[tTfF])"
 _EXPONENT = r"(?:[eE][+-]?+\d{1,2}+)?+"
 _NUMBER = rf"[+-]?+(?:\d{{1,18}}+(?:i|(?:\.\d{{0,99}}+)?+{_EXPONENT})|\.\d{{1,99}}+{_EXPONENT})"
-_VALUE_END = r"(?=[, \t\r]|$)"
-PLAIN_VALUE = rf"(?:(?:{_NUMBER}|\d{{1,18}}+u|{PLAIN_BOOL}){_VALUE_END}|{QUOTED})"
-PLAIN_KEY = r'[^=, \\"]*+(?:\\.[^=, \\"]*+)*+'
-_PLAIN_TAG = rf"{PLAIN_KEY}=[^, =\\]*+(?:\\.[^, =\\]*+)*+"
+_VALUE_END = r"(?=[, \t\r\n]|\z)"
+_PLAIN_QUOTED = rf'"(?:\\["\\]|[^"{_IN_LINE}])*+"'
+PLAIN_VALUE = rf"(?:(?:{_NUMBER}|\d{{1,18}}+u|{PLAIN_BOOL}){_VALUE_END}|{_PLAIN_QUOTED})"
+PLAIN_KEY = rf'[^=, \\"{_IN_LINE}]*+(?:{_ESCAPED}[^=, \\"{_IN_LINE}]*+)*+'
+_PLAIN_TAG = rf"{PLAIN_KEY}=[^, =\\{_IN_LINE}]*+(?:{_ESCAPED}[^, =\\{_IN_LINE}]*+)*+"
 PLAIN_FIELD = rf"{PLAIN_KEY}={PLAIN_VALUE}"
+# a blank line or a comment matches too and leaves all four groups empty
 PLAIN_LINE = (
-    r"(?s)^[ \t]*+"
-    rf"((?!#|{SPACE})[^, \\]++(?:\\.[^, \\]*+)*+)((?:,{_PLAIN_TAG})*+) "
-    rf"({PLAIN_FIELD}(?:,{PLAIN_FIELD})*+)(?: [ \t]*+({PLAIN_INT})?+)?+[ \t\r]*+$"
+    r"(?md)^[ \t]*+(?:"
+    rf"((?!#|{SPACE})[^, \\{_IN_LINE}]++(?:{_ESCAPED}[^, \\{_IN_LINE}]*+)*+)"
+    rf"((?:,{_PLAIN_TAG})*+) ({PLAIN_FIELD}(?:,{PLAIN_FIELD})*+)"
+    rf"(?: [ \t]*+({PLAIN_INT})?+)?+[ \t\r]*+"
+    rf"|(?:#[^{_IN_LINE}]*+|\r*+))$"
 )
 EACH_PLAIN_FIELD = r'\G(?:^|,)([^=]++=(?:"[^"]*+"|[^,]++))'
 

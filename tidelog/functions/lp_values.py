@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidelog.functions import lp_patterns as P
-from tidelog.functions.columns import rarely
 
 EXACT_DOUBLE_INT = 9007199254740991
 MAX_UINT64 = 18446744073709551615
@@ -45,38 +44,32 @@ def field_value(raw: Column) -> tuple[Column, Column]:
     Numbers and booleans go to ``value``, strings to ``value_str``, and so do
     whole numbers that a double cannot hold exactly.
     """
+    last = F.substring(raw, -1, 1)
+    # the usual number first: no other kind of value ends in a digit
+    usual = last.between("0", "9")
     quoted = raw.startswith('"')
     inner = F.substring(raw, F.lit(2), F.length(raw) - 2)
     text = F.when(
-        inner.contains("\\"), rarely(inner, lambda t: F.regexp_replace(t, r'\\(["\\])', "$1"))
+        inner.contains("\\"), F.regexp_replace(inner, r'\\(["\\])', "$1")
     ).otherwise(inner)
     digits = _without_suffix(raw)
     signed = digits.try_cast("bigint")
+    unsigned = digits.try_cast("decimal(20,0)")
     exact = signed.between(-EXACT_DOUBLE_INT, EXACT_DOUBLE_INT)
-
-    def exact_unsigned(body: Column) -> Column:
-        return body.cast("decimal(20,0)") <= F.lit(EXACT_DOUBLE_INT)
-
+    exact_unsigned = unsigned <= F.lit(EXACT_DOUBLE_INT)
     number = (
-        F.when(quoted, F.lit(None).cast("double"))
-        .when(raw.endswith("i"), F.when(exact, signed.cast("double")))
-        .when(
-            raw.endswith("u"),
-            rarely(digits, lambda d: F.when(exact_unsigned(d), d.try_cast("double"))),
-        )
+        F.when(usual, _as_double(raw))
+        .when(quoted, F.lit(None).cast("double"))
+        .when(last == "i", F.when(exact, signed.cast("double")))
+        .when(last == "u", F.when(exact_unsigned, unsigned.cast("double")))
         .when(raw.isin(*P.TRUE_WORDS), 1.0)
         .when(raw.isin(*P.FALSE_WORDS), 0.0)
         .otherwise(_as_double(raw))
     )
     string = (
-        F.when(quoted, text)
-        .when(raw.endswith("i"), F.when(~exact, signed.cast("string")))
-        .when(
-            raw.endswith("u"),
-            rarely(
-                digits,
-                lambda d: F.when(~exact_unsigned(d), d.cast("decimal(20,0)").cast("string")),
-            ),
-        )
+        F.when(usual, F.lit(None).cast("string"))
+        .when(quoted, text)
+        .when(last == "i", F.when(~exact, signed.cast("string")))
+        .when(last == "u", F.when(~exact_unsigned, unsigned.cast("string")))
     )
     return number, string

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions import variants as V
+from tidelog.functions.columns import message_order
 from tidelog.operators.flatten import FlattenOptions, text_leaves
 from tidelog.operators.wide import FieldSpec
 
@@ -46,19 +47,25 @@ def infer_fields(
     ``last_type`` is the type of the newest non-null value. Only partial
     aggregates per path are shuffled.
     """
-    order = F.struct("timestamp", "partition", "offset")
+    order = message_order(F.col("timestamp"), F.col("partition"), F.col("offset"))
     items = text_leaves(F.col(value), options, prefix, wrap_array=not prefix)
     leaves = df.select(order.alias("_at"), F.inline_outer(items).alias("path", "depth", "node"))
     typed = leaves.filter(F.col("path").isNotNull()).select(
         "_at", "path", "depth", V.leaf_type(F.col("node")).alias("kind")
     )
+    # per path and type first: numbers only, so a hash aggregate without a sort
+    by_type = typed.groupBy("path", "kind").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.max("_at").alias("last"),
+        F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("depth"))).alias("depths"),
+    )
     known = F.col("kind") != V.NULL
-    stats = typed.groupBy("path").agg(
+    stats = by_type.groupBy("path").agg(
         F.bit_or(_bit(F.col("kind"))).alias("mask"),
-        F.count(F.lit(1)).alias("messages"),
-        F.count_if(~known).alias("nulls"),
-        F.max_by("kind", F.when(known, F.col("_at"))).alias("last_type"),
-        F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("depth"))).alias("depths"),
+        F.sum("rows").alias("messages"),
+        F.sum(F.when(known, 0).otherwise(F.col("rows"))).alias("nulls"),
+        F.max_by("kind", F.when(known, F.col("last"))).alias("last_type"),
+        F.bit_or("depths").alias("depths"),
     )
     return stats.select(
         "path",

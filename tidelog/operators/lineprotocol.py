@@ -1,9 +1,9 @@
 """Line protocol to a long table, one row per field.
 
-The lines of a message stay an array in the row until every line has been
-judged, so "one bad value spoils its line" and "no good line makes an error
-row" need no shuffle. Two explodes follow: lines, then fields. Each is also a
-barrier that keeps the regular expressions from being evaluated twice.
+The lines of a message stay in the row until every line has been judged, so
+"one bad value spoils its line" and "no good line makes an error row" need no
+shuffle. Two explodes follow: lines, then fields. Each is also a barrier that
+keeps the regular expressions from being evaluated twice.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions import lp_patterns as P
-from tidelog.functions.columns import let, rarely, ref
+from tidelog.functions.columns import let, line_order, message_order, rarely, ref
 from tidelog.functions.lp_errors import line_error
 from tidelog.functions.lp_values import field_value, is_bad
 from tidelog.operators.flatten import DEFAULT_CAP
@@ -25,15 +25,17 @@ RESERVED = ("Time", "_measurement", "_field", "value", "value_str", "partition",
 NO_LINES = "lineprotocol payload produced no parseable lines"
 OUT_OF_RANGE = "timestamp out of range"
 
-# A judged line is an array of strings, told apart by its size:
-#   4  common line      measurement, tags, fields, timestamp
-#   5  line with unusual names or values (the same four and an empty mark)
-#   2  the error of a message without any good line: text, line number
-#   1  a bad line of a message that has good ones; NULL: blank or comment
-_ERROR_SIZE, _PLAIN_SIZE, _GENERAL_SIZE = 2, 4, 5
-_SECTIONS = "$1\n$2\n$3\n$4"
 _TO_END = 1 << 30
 _EMPTY_MAP = "map<string,string>"
+# The two encodings of a line between the explodes, told apart by the start:
+#   MARK, then measurement, tags, fields and timestamp separated by MARK (all
+#   four empty for a line to skip)
+#   NEW_LINE and a letter, then the sections (or the error) separated by NEW_LINE
+_NEW_LINE = "\n"
+_GENERAL, _ERROR = "\nG", "\nE"
+_SKIPPED = P.MARK * 4
+_MARKED = P.MARK + P.MARK.join(f"${i}" for i in range(1, 5))
+_SECTIONS = "$1\n$2\n$3\n$4\n"
 
 
 @dataclass(frozen=True)
@@ -49,43 +51,43 @@ class LineOptions:
         return LineFilter(self.measurements, self.fields, self.tags)
 
 
-def _judge(line: Column) -> Column:
-    """Split one line into its sections, or mark it bad."""
-    plain = F.regexp_replace(line, P.PLAIN_LINE, _SECTIONS)
-    return let(
-        plain,
-        lambda text: F.when(text.contains("\n"), F.split(text, "\n")).otherwise(_judge_slowly(text)),
-    )
-
+def _judge(raw: Column) -> Column:
+    """Sections of one line by the full grammar: five entries for a good line,
+    one for a bad line, NULL for a blank line or a comment."""
 
-def _judge_slowly(raw: Column) -> Column:
     def keep_valid(parts: Column) -> Column:
         pairs = F.regexp_extract_all(parts[2], F.lit(P.EACH_FIELD), F.lit(1))
         bad_value = F.exists(pairs, lambda kv: let(F.regexp_extract(kv, P.SPLIT_FIELD, 2), is_bad))
         bad_time = (parts[3] != "") & parts[3].try_cast("bigint").isNull()
-        return F.when(F.size(parts) == _GENERAL_SIZE, F.when(~bad_value & ~bad_time, parts))
+        return F.when(F.size(parts) > 1, F.when(~bad_value & ~bad_time, parts))
 
     def by_grammar(line: Column) -> Column:
-        parts = F.split(F.regexp_replace(line, P.ANY_LINE, _SECTIONS + "\n"), "\n")
+        parts = F.split(F.regexp_replace(line, P.ANY_LINE, _SECTIONS), "\n")
         judged = F.coalesce(let(parts, keep_valid), F.array(line))
         return F.when((line != "") & ~line.startswith("#"), judged)
 
     return let(F.trim(raw, F.lit(P.SPACES)), by_grammar)
 
 
-def _judged_lines(payload: Column) -> Column:
-    """All judged lines, or one error entry when none is good."""
+def _general_lines(text: Column) -> Column:
+    """The lines of a message that has any uncommon line, encoded; one error
+    entry when none is good."""
 
-    def decide(lines: Column) -> Column:
-        good = F.exists(lines, lambda p: F.size(p) >= _PLAIN_SIZE)
+    def encode(lines: Column) -> Column:
+        good = F.exists(lines, lambda p: F.size(p) > 1)
         # skipped lines are NULL entries, so a position is still a line number
         number = F.array_position(
             F.transform(lines, lambda p: F.when(p.isNull(), 0).otherwise(F.size(p))), 1
         )
-        text = F.when(number > 0, F.get(F.get(lines, (number - 1).cast("int")), 0)).otherwise("")
-        return F.when(good, lines).otherwise(F.array(F.array(text, number.cast("string"))))
+        bad = F.when(number > 0, F.get(F.get(lines, (number - 1).cast("int")), 0)).otherwise("")
+        sections = F.transform(
+            lines,
+            lambda p: F.when(F.size(p) > 1, F.concat(F.lit(_GENERAL), F.array_join(p, _NEW_LINE))),
+        )
+        error = F.concat(F.lit(_ERROR), bad, F.lit(_NEW_LINE), number.cast("string"))
+        return F.when(good, sections).otherwise(F.array(error))
 
-    return let(F.transform(F.split(payload.cast("string"), "\n"), _judge), decide)
+    return let(F.transform(F.split(text, _NEW_LINE), _judge), encode)
 
 
 def parse_lines(df: DataFrame, value: str = "value") -> DataFrame:
@@ -93,13 +95,29 @@ def parse_lines(df: DataFrame, value: str = "value") -> DataFrame:
 
     Adds ``line`` (0-based) and ``_parts`` and drops ``value``. Null and empty
     payloads give no rows; bad lines beside good ones are left out.
+
+    One regular expression marks the common lines of the whole message. Only a
+    message with another kind of line is judged line by line.
     """
     keep = [c for c in df.columns if c != value]
     filled = df.filter(F.octet_length(value) > 0)
-    judged = F.posexplode_outer(_judged_lines(F.col(value))).alias("line", "_parts")
-    return filled.select(*keep, judged).filter(
-        F.col("_parts").isNotNull() & (F.size("_parts") >= _ERROR_SIZE)
+    text = F.col(value).cast("string")
+    marked = filled.select(
+        *keep,
+        value,
+        F.regexp_replace(F.rtrim(text, F.lit(_NEW_LINE)), P.PLAIN_LINE, _MARKED).alias("_marked"),
+    )
+    # Nothing but marked lines: taking their starts away leaves no line end.
+    # One of them must be a line with a measurement.
+    started = F.concat(F.lit(_NEW_LINE), F.col("_marked"))
+    rest = F.replace(started, F.lit(_NEW_LINE + P.MARK), F.lit(""))
+    any_line = F.col("_marked").rlike(f"{P.MARK}[^{P.MARK}\n]")
+    all_common = ~rest.contains(_NEW_LINE) & ~text.contains(P.MARK) & any_line
+    encoded = F.when(all_common, F.split("_marked", _NEW_LINE)).otherwise(
+        rarely(text, _general_lines)
     )
+    lines = marked.select(*keep, F.posexplode_outer(encoded).alias("line", "_parts"))
+    return lines.filter(F.col("_parts") != _SKIPPED)
 
 
 def _ident(raw: Column) -> Column:
@@ -136,12 +154,21 @@ def line_columns(lines: DataFrame) -> DataFrame:
     """Decode ``_parts`` of :func:`parse_lines` into ``_measurement, tags,
     _fields, _ts, error``."""
     keep = [c for c in lines.columns if c != "_parts"]
+    code = F.col("_parts")
+    common = code.startswith(P.MARK)
+    split = lines.select(
+        *keep,
+        F.when(common, F.lit("")).otherwise(F.substring(code, 1, 2)).alias("_kind"),
+        F.when(common, F.split(F.substring(code, 2, _TO_END), P.MARK))
+        .otherwise(F.split(F.substring(code, 3, _TO_END), _NEW_LINE))
+        .alias("_parts"),
+    )
     parts = F.col("_parts")
-    good = F.size(parts) != _ERROR_SIZE
-    unusual = F.size(parts) == _GENERAL_SIZE
-    # get, not []: a filter on these columns may be evaluated on bad lines too
-    name, tags, fields, ts = (F.get(parts, i) for i in range(_PLAIN_SIZE))
-    return lines.select(
+    good = F.col("_kind") != _ERROR
+    unusual = F.col("_kind") == _GENERAL
+    # get, not []: a filter on these columns may be evaluated on error rows too
+    name, tags, fields, ts = (F.get(parts, i) for i in range(4))
+    return split.select(
         *keep,
         F.when(good, _ident(name)).otherwise("").alias("_measurement"),
         F.when(good, _tag_map(tags, unusual | tags.contains("\\")))
@@ -231,14 +258,13 @@ def lp_long(df: DataFrame, options: LineOptions = LineOptions()) -> DataFrame:
     )
     pair = F.col("_pair")
     short_name = F.substring_index(pair, "=", 1)
-    escaped = pair.contains("\\")
-    name = F.when(
-        escaped, rarely(pair, lambda p: _ident(F.regexp_extract(p, P.SPLIT_FIELD, 1)))
-    ).otherwise(short_name)
-    raw = F.when(
-        escaped, rarely(pair, lambda p: F.regexp_extract(p, P.SPLIT_FIELD, 2))
-    ).otherwise(
-        F.substring(pair, F.length(short_name) + 2, F.lit(_TO_END))
+    # by bytes; only a quoted value or an escaped name can hold another "="
+    simple = ~pair.endswith('"') & ~pair.contains("\\")
+    name = F.when(simple, F.substring_index(pair, "=", 1)).otherwise(
+        _ident(F.regexp_extract(pair, P.SPLIT_FIELD, 1))
+    )
+    raw = F.when(simple, F.substring_index(pair, "=", -1)).otherwise(
+        F.regexp_extract(pair, P.SPLIT_FIELD, 2)
     )
     split = pairs.select(
         *inner,
@@ -274,18 +300,15 @@ def lp_tag_keys(
 ) -> list[str]:
     """Tag keys in first-seen order, at most ``cap`` of them.
 
-    First seen is by (timestamp, partition, offset, line, position): the only
-    shuffle carries one row per key and map task.
+    First seen is by (timestamp, partition, offset, line, position). Lines are
+    first reduced to their distinct key lists, which are few, so what is
+    exploded and shuffled does not grow with the topic.
     """
-    lines = filtered_lines(df, options)
-    keys = lines.select(
-        "timestamp",
-        "partition",
-        "offset",
-        "line",
-        F.posexplode(F.map_keys("tags")).alias("position", "key"),
-    )
-    first = F.min(F.struct("timestamp", "partition", "offset", "line", "position"))
+    lines = filtered_lines(df, options).filter(F.size("tags") > 0)
+    at = message_order(F.col("timestamp"), F.col("partition"), F.col("offset"))
+    lists = lines.groupBy(F.map_keys("tags").alias("keys"), "line").agg(F.min(at).alias("at"))
+    keys = lists.select("at", "line", F.posexplode("keys").alias("position", "key"))
+    first = F.min(F.struct("at", "line", "position"))
     rows = keys.groupBy("key").agg(first.alias("first")).orderBy("first").limit(cap).collect()
     return [r["key"] for r in rows]
 
@@ -327,7 +350,7 @@ def lp_pivot(long: DataFrame, fields: Sequence[str], by: Sequence[str] = ()) ->
     Conditional aggregates instead of ``pivot``: the fields are given, so no
     extra pass looks for them, and map-side combine works.
     """
-    order = F.struct("partition", "offset", "line")
+    order = line_order(F.col("partition"), F.col("offset"), F.col("line"))
     keyed = long.filter(F.col("error").isNull()).select(
         "Time",
         "_measurement",

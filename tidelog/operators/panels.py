@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.functions.columns import ref
+from tidelog.functions.columns import message_order, ref
 from tidelog.session import ensure_checkpoint_dir
 
 # a series longer than this is numbered in pieces instead of in one task
@@ -32,8 +32,13 @@ def group_fields(df: DataFrame, names: Sequence[str]) -> DataFrame:
 def reduce_last(
     df: DataFrame, value: str, by: Sequence[str] = (), order: Sequence[str] = ("time", "partition", "offset")
 ) -> DataFrame:
-    """Latest non-null value."""
-    at = F.struct(*[ref(c) for c in order])
+    """Latest non-null value by ``order``."""
+    kinds = tuple(df.schema[c].dataType.simpleString() for c in order)
+    columns = [ref(c) for c in order]
+    if kinds == ("timestamp", "int", "bigint"):
+        at = message_order(*columns)
+    else:
+        at = F.struct(*columns)
     latest = F.max_by(ref(value), F.when(ref(value).isNotNull(), at))
     return df.groupBy(*[ref(c) for c in by]).agg(latest.alias("last"))
 
