@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import posixpath
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -23,8 +24,8 @@ class StreamOptions:
     """Bounds of one flush and where the stream keeps its progress.
 
     ``checkpoint_root`` must be shared storage on a cluster. Each query gets
-    its own folder, named by a hash of all its settings: changing any setting
-    starts a new stream.
+    its own folder, named by a hash of all its settings and its sink: changing
+    any of them starts a new stream.
     """
 
     checkpoint_root: str
@@ -33,8 +34,10 @@ class StreamOptions:
     max_offsets: int | None = None
     max_files: int | None = None
 
-    def checkpoint(self, query: TopicQuery) -> str:
-        return posixpath.join(self.checkpoint_root, f"{query.topic}-{query.fingerprint()}")
+    def checkpoint(self, query: TopicQuery, sink: str = "") -> str:
+        mark = hashlib.sha256(sink.encode()).hexdigest()[:8]
+        name = f"{query.topic}-{query.fingerprint()}-{mark}"
+        return posixpath.join(self.checkpoint_root, name)
 
 
 def stream_frame(
@@ -100,7 +103,7 @@ def start_stream(
     ``StreamingQuery.exception``.
     """
     writer = df.writeStream.outputMode("append").option(
-        "checkpointLocation", options.checkpoint(query)
+        "checkpointLocation", options.checkpoint(query, path or table or "function")
     )
     if options.available_now:
         writer = writer.trigger(availableNow=True)
