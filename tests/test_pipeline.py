@@ -261,6 +261,9 @@ def test_schema_table(spark, topic):
     got = {r["schema_id"]: (r["body"], r["error"]) for r in schemas.decode_by_schema(df, table, read).collect()}
     assert got[5] == ("old", None) and got[6] == ("u", None)
     assert got[7] == (None, "schema not found: id 7") and got[None][1] == "schema not found: id none"
+    rows = schemas.decode_by_schema(df, table, read, lambda: "bare").collect()
+    got = {r["schema_id"]: (r["body"], r["error"]) for r in rows}
+    assert got[None] == ("bare", None) and got[7][1] == "schema not found: id 7" and len(got) == 4
 
 
 def protobuf_set():

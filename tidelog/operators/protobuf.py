@@ -57,6 +57,18 @@ def message_at(descriptor_set: bytes, path: tuple[int, ...] = (0,)) -> str:
     return ".".join(names)
 
 
+def message_paths(descriptor_set: bytes) -> list[tuple[int, ...]]:
+    """Index paths of all messages of the file, nested ones included."""
+
+    def below(messages, prefix: tuple[int, ...]) -> list[tuple[int, ...]]:
+        found = []
+        for i, message in enumerate(messages):
+            found += [(*prefix, i), *below(message.nested_type, (*prefix, i))]
+        return found
+
+    return below(_files(descriptor_set)[1].message_type, ())
+
+
 def _descriptor(descriptor_set: bytes, name: str):
     return _files(descriptor_set)[0].FindMessageTypeByName(name)
 
@@ -191,17 +203,22 @@ def decode_protobuf_topic(
     """Decode a topic whose frames may name different messages of one file.
 
     The distinct index paths are few (the messages of a file); each is decoded
-    with its own type, flattened, and the results are united by column name.
+    with its own type, flattened, and the results are united by column name. A
+    stream gets a branch for every message of the file.
     """
     value = F.col("value")
     framed = ~is_empty(value) & wire.has_header(value, wire_format)
     path = F.when(framed, wire.message_index(wire.body(value, wire_format))["path"])
-    paths = df.select(path.alias("path")).distinct().limit(MAX_SCHEMAS + 1).collect()
-    if len(paths) > MAX_SCHEMAS:
+    if df.isStreaming:
+        found_paths = {(), *message_paths(descriptor_set)}
+    else:
+        rows = df.select(path.alias("path")).distinct().limit(MAX_SCHEMAS + 1).collect()
+        found_paths = {tuple(r["path"]) if r["path"] else () for r in rows}
+    if len(found_paths) > MAX_SCHEMAS:
         raise ValueError(f"more than {MAX_SCHEMAS} message index paths in one topic")
     marked = df.withColumn("_path", path)
     result = None
-    for found in sorted({tuple(r["path"]) if r["path"] else () for r in paths}):
+    for found in sorted(found_paths):
         same = F.array(*[F.lit(i).cast("bigint") for i in found]) if found else F.lit(None)
         part = marked.filter(F.col("_path").eqNullSafe(same)).drop("_path")
         try:
@@ -212,7 +229,20 @@ def decode_protobuf_topic(
         except IndexError as missing:
             branch = part.withColumn("error", F.lit(f"protobuf decoding failed: {missing}"))
         result = branch if result is None else result.unionByName(branch, allowMissingColumns=True)
-    return marked.drop("_path").withColumn("error", F.lit("")).limit(0) if result is None else result
+    if df.isStreaming:
+        known = [F.array(*[F.lit(i).cast("bigint") for i in p]) for p in found_paths if p]
+        stray = marked.filter(F.col("_path").isNotNull())
+        for p in known:
+            stray = stray.filter(~F.col("_path").eqNullSafe(p))
+        error = F.lit("protobuf decoding failed: protobuf message index out of range")
+        stray = stray.drop("_path").withColumn("error", error)
+        result = result.unionByName(stray, allowMissingColumns=True)
+    return decode_empty(df) if result is None else result
+
+
+def decode_empty(df: DataFrame) -> DataFrame:
+    """The layout of a topic without messages."""
+    return df.withColumn("error", F.lit(None).cast("string"))
 
 
 def encode_protobuf(

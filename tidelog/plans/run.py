@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.functions import variants as V
+from tidelog.functions import wire
 from tidelog.functions.columns import ref
 from tidelog.operators import decode, naming
 from tidelog.operators.avro import decode_avro
@@ -35,7 +35,6 @@ from tidelog.session import configure
 from tidelog.sources.offsets import last_n, select_partitions
 from tidelog.sources.schemas import decode_by_schema, latest_schema
 from tidelog.sources.topic import TopicSource, drop_control_records, read_topic
-from tidelog.functions import wire
 
 
 def run(
@@ -269,9 +268,8 @@ def _binary(
             raise ValueError("a registry schema needs the schemas table")
         framed = wire.has_header(F.col("value"), query.wire_format)
         marked = df.withColumn("schema_id", F.when(framed, wire.schema_id(F.col("value"))))
-        by_id = decode_by_schema(marked.filter(framed), schemas, decoded)
-        bare = decoded(marked.filter(~framed), latest_schema(schemas, query.topic))
-        flat = by_id.unionByName(bare, allowMissingColumns=True).drop("schema_id")
+        latest = partial(latest_schema, schemas, query.topic)
+        flat = decode_by_schema(marked, schemas, decoded, latest).drop("schema_id")
     paths = [c.removeprefix(_BODY) for c in flat.columns if c.startswith(_BODY)]
     values = {p: ref(_BODY + p) for p in sorted(paths, key=str.encode)}
     return _fixed(flat, query, values, F.col("error"), key_fields)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,35 +37,51 @@ def latest_schema(schemas: DataFrame, topic: str) -> str | bytes:
     return rows[0]["schema"]
 
 
-def used_schemas(df: DataFrame, schemas: DataFrame) -> list[tuple[int, str | bytes]]:
-    """Schemas that the ids in ``df.schema_id`` refer to.
+def used_schemas(df: DataFrame, schemas: DataFrame) -> list[tuple[int | None, str | bytes | None]]:
+    """The ids in ``df.schema_id``, NULL included, with their schemas.
 
-    The ids are reduced to distinct ones before anything leaves the executors;
-    more than ``MAX_SCHEMAS`` is an error.
+    A batch is reduced to its distinct ids before anything leaves the
+    executors; a stream may meet any id of the table, and none. More than
+    ``MAX_SCHEMAS`` is an error.
     """
-    ids = df.select("schema_id").filter(F.col("schema_id").isNotNull()).distinct()
-    found = ids.join(schemas.select(F.col("id").alias("schema_id"), "schema"), "schema_id")
-    rows = found.dropDuplicates(["schema_id"]).limit(MAX_SCHEMAS + 1).collect()
+    known = schemas.select(F.col("id").alias("schema_id"), "schema").dropDuplicates(["schema_id"])
+    if df.isStreaming:
+        found = known
+    else:
+        found = df.select("schema_id").distinct().join(known, "schema_id", "left")
+    rows = found.limit(MAX_SCHEMAS + 1).collect()
     if len(rows) > MAX_SCHEMAS:
         raise ValueError(f"more than {MAX_SCHEMAS} schemas in one topic; select fewer ids")
-    return sorted((r["schema_id"], r["schema"]) for r in rows)
+    result = sorted(
+        ((r["schema_id"], r["schema"]) for r in rows), key=lambda r: (r[0] is None, r[0])
+    )
+    return [*result, (None, None)] if df.isStreaming else result
 
 
 def decode_by_schema(
-    df: DataFrame, schemas: DataFrame, decode: Callable[[DataFrame, str | bytes], DataFrame]
+    df: DataFrame,
+    schemas: DataFrame,
+    decode: Callable[[DataFrame, str | bytes], DataFrame],
+    unframed: Callable[[], str | bytes] | None = None,
 ) -> DataFrame:
-    """Decode each message with the schema its header names and union the
-    results by column name. A message with an unknown id becomes an error row.
+    """Decode each message with the schema its ``schema_id`` names and union
+    the results by column name.
 
-    ``df`` needs ``schema_id``; ``decode`` gets the rows of one schema.
+    Rows without an id are read with the schema ``unframed`` returns, if it is
+    given. A message whose schema is not known becomes an error row. There is
+    one branch per schema in use, and no more.
     """
     used = used_schemas(df, schemas)
-    known = [i for i, _ in used]
-    branches = [decode(df.filter(F.col("schema_id") == i), schema) for i, schema in used]
-    unknown = df.filter(F.col("schema_id").isNull() | ~F.col("schema_id").isin(known))
-    text = F.coalesce(F.col("schema_id").cast("string"), F.lit("none"))
-    missing = unknown.withColumn("error", F.concat(F.lit("schema not found: id "), text))
-    result = missing
-    for branch in branches:
-        result = result.unionByName(branch, allowMissingColumns=True)
-    return result
+    known = [(i, s) for i, s in used if s is not None]
+    branches = [decode(df.filter(F.col("schema_id") == i), schema) for i, schema in known]
+    if unframed is not None and any(i is None for i, _ in used):
+        branches.append(decode(df.filter(F.col("schema_id").isNull()), unframed()))
+    lost = ~F.col("schema_id").isin([i for i, _ in known])
+    if unframed is None:
+        lost = F.col("schema_id").isNull() | lost
+    unknown = any(s is None and (i is not None or unframed is None) for i, s in used)
+    if unknown or df.isStreaming or not branches:
+        shown = F.coalesce(F.col("schema_id").cast("string"), F.lit("none"))
+        error = F.concat(F.lit("schema not found: id "), shown)
+        branches.append(df.filter(lost).withColumn("error", error))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), branches)
