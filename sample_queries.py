@@ -342,7 +342,7 @@ def array_text(spark, sf_dir):
 @query(
     "infer_fields",
     EV
-    + """, n AS (SELECT count(*) AS n, count_if(nulled) AS nulls FROM ok)
+    + """, n AS (SELECT count(*) AS n, CAST(count_if(nulled) AS BIGINT) AS nulls FROM ok)
   SELECT path, type, false AS mixed, type AS last_type, n AS messages,
     CASE WHEN path = 'value' THEN nulls ELSE 0 END AS nulls
   FROM n, (VALUES ('event.type', 'string'), ('event.user.id', 'long'), ('props.k', 'long'),
@@ -493,8 +493,8 @@ def error_rows(spark, sf_dir):
 @query(
     "decode_audit",
     EV
-    + f"""SELECT 'events' AS topic, "partition", count(*) AS messages, count_if(NOT bad) AS decoded,
-    count_if(bad) AS failed, {MALFORMED} AS first_error,
+    + f"""SELECT 'events' AS topic, "partition", count(*) AS messages, CAST(count_if(NOT bad) AS BIGINT) AS decoded,
+    CAST(count_if(bad) AS BIGINT) AS failed, {MALFORMED} AS first_error,
     min("offset") FILTER (bad) AS first_error_offset FROM ev GROUP BY "partition" """,
 )
 def decode_audit(spark, sf_dir):
@@ -534,7 +534,7 @@ def alias(spark, sf_dir):
     "decode_plaintext",
     """SELECT CAST(doc_id % 4 AS INTEGER) AS "partition", doc_id // 4 AS "offset",
     (1704067200 + doc_id) * 1000000 AS time, source AS "key",
-    CASE doc_id % 13 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE text END AS message, NULL AS error
+    CASE doc_id % 13 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE text END AS message, NULL::VARCHAR AS error
   FROM documents""",
 )
 def decode_plaintext(spark, sf_dir):
@@ -729,9 +729,9 @@ for _unit, _per_second in (("s", 1), ("ms", 1000), ("us", 1_000_000), ("ns", 1_0
 @query(
     "lp_tags",
     """SELECT epoch_us(o_orderdate) AS "Time", 'order' AS _measurement, f AS _field,
-    CASE f WHEN 'price' THEN o_totalprice ELSE o_custkey END AS value, NULL AS value_str,
+    CASE f WHEN 'price' THEN o_totalprice ELSE o_custkey END AS value, NULL::VARCHAR AS value_str,
     o_orderstatus AS status, o_orderpriority AS priority, 'x' AS tag_value,
-    CAST(o_orderkey % 4 AS INTEGER) AS "partition", o_orderkey // 4 AS "offset", NULL AS error
+    CAST(o_orderkey % 4 AS INTEGER) AS "partition", o_orderkey // 4 AS "offset", NULL::VARCHAR AS error
   FROM orders, (VALUES ('price'), ('cust')) t(f)""",
 )
 def lp_tags(spark, sf_dir):
@@ -902,7 +902,7 @@ def encode_text(spark, sf_dir):
 @query(
     "encode_key",
     """SELECT o_orderkey, 'key-' || o_orderkey AS text, '{"id":' || o_orderkey || ',"status":"'
-    || o_orderstatus || '"}' AS json, printf('%016X', o_orderkey) AS bin, NULL AS nothing FROM orders""",
+    || o_orderstatus || '"}' AS json, printf('%016X', o_orderkey) AS bin, NULL::VARCHAR AS nothing FROM orders""",
 )
 def encode_key(spark, sf_dir):
     text = F.concat(F.lit("key-"), F.col("o_orderkey").cast("string"))
@@ -962,7 +962,7 @@ def _written(spark: SparkSession, log: DataFrame) -> DataFrame:
 
 RECORDS = """SELECT "partition", "offset", us AS time, event_id AS id, event_type AS kind,
     '["a","b"]' AS tags, user_id % 2 = 0 AS "user.even", user_id AS "user.id",
-    CASE WHEN NOT nulled THEN value END AS value, NULL AS error FROM ev"""
+    CASE WHEN NOT nulled THEN value END AS value, NULL::VARCHAR AS error FROM ev"""
 
 
 @query("decode_avro", EV + RECORDS)

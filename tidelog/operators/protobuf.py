@@ -237,12 +237,8 @@ def decode_protobuf_topic(
         error = F.lit("protobuf decoding failed: protobuf message index out of range")
         stray = stray.drop("_path").withColumn("error", error)
         result = result.unionByName(stray, allowMissingColumns=True)
-    return decode_empty(df) if result is None else result
-
-
-def decode_empty(df: DataFrame) -> DataFrame:
-    """The layout of a topic without messages."""
-    return df.withColumn("error", F.lit(None).cast("string"))
+    # a topic without messages has no types to show
+    return df.withColumn("error", F.lit(None).cast("string")) if result is None else result
 
 
 def encode_protobuf(
