@@ -6,9 +6,9 @@ settings on whatever session it is given.
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_CONFS = {
     # topic timestamps are instants, compared in UTC
@@ -30,14 +30,28 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named by ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``,
+    or the warehouse where that is unset (tests, one machine)."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    return (shared or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
+def scratch_folder(spark: SparkSession, name: str = "scratch") -> str:
+    """A fresh folder name below the shared folder."""
+    return f"{shared_folder(spark)}/tidelog-{name}-{uuid.uuid4().hex}"
+
 
-    A private temporary folder is used only where the setting is absent
-    (tests and single-machine runs).
-    """
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read again:
+    later plans start there, whatever executors are lost meanwhile."""
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Point ``checkpoint()`` at the shared folder where nothing else did."""
     context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tidelog-checkpoint-"))
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_folder(spark))
