@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidelog.llm.common import table
+from tidelog.llm.fingerprints import fingerprint
 from tidelog.llm.mixing import mix
 from tidelog.llm.quality_rules import judge
+from tidelog.llm.sharding import shard
 from tidelog.llm.url_filters import RULES, filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,3 +151,30 @@ def op6_quality_rules(spark, sf_dir):
         *("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"),
         *("base_failed", "kept"),
     )
+
+
+# --- 4: sharding ------------------------------------------------------------
+
+
+@query("op4_sharding")
+def op4_sharding(spark, sf_dir):
+    """Differencing has no SQL; tests compare it with a direct one."""
+    placed = shard(table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id",
+        "size",
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+# --- 5: fingerprints --------------------------------------------------------
+
+
+@query("op5_fingerprints")
+def op5_fingerprints(spark, sf_dir):
+    """The hash is not one of DuckDB's; tests compare it with a direct one."""
+    return fingerprint(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
