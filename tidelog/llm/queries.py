@@ -13,6 +13,7 @@ from tidelog.llm.mixing import mix
 from tidelog.llm.quality_rules import judge
 from tidelog.llm.sharding import shard
 from tidelog.llm.url_filters import RULES, filter_urls
+from tidelog.llm.warc import archived
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -178,3 +179,26 @@ def op4_sharding(spark, sf_dir):
 def op5_fingerprints(spark, sf_dir):
     """The hash is not one of DuckDB's; tests compare it with a direct one."""
     return fingerprint(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+# --- 8: WARC ----------------------------------------------------------------
+
+_WARC = """
+WITH p AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS least FROM p GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes < 100 OR page_id = least THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN payload_bytes < 100 OR page_id = least THEN NULL ELSE least END AS refers_to
+FROM p JOIN f USING (payload_digest)"""
+
+
+@query("op8_warc", _WARC)
+def op8_warc(spark, sf_dir):
+    records = archived(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return records.select(
+        F.expr("try_cast(split_part(record_id, ':', 1) AS BIGINT)").alias("page_id"),
+        *("payload_bytes", "payload_digest", "record_type"),
+        F.col("refers_to").cast("bigint").alias("refers_to"),
+    )
