@@ -42,11 +42,11 @@ def scratch_folder(spark: SparkSession, name: str = "scratch") -> str:
     return f"{shared_folder(spark)}/tidelog-{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str = "table") -> DataFrame:
+def stored(df: DataFrame, name: str = "table", compression: str | None = None) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read again:
     later plans start there, whatever executors are lost meanwhile."""
     path = scratch_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
