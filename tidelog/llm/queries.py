@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidelog.llm.common import table
 from tidelog.llm.fingerprints import fingerprint
 from tidelog.llm.mixing import mix
+from tidelog.llm.packing import pack
 from tidelog.llm.quality_rules import judge
 from tidelog.llm.sharding import shard
 from tidelog.llm.url_filters import RULES, filter_urls
@@ -202,3 +203,17 @@ def op8_warc(spark, sf_dir):
         *("payload_bytes", "payload_digest", "record_type"),
         F.col("refers_to").cast("bigint").alias("refers_to"),
     )
+
+
+# --- 1: packing -------------------------------------------------------------
+
+
+@query("op1_packing")
+def op1_packing(spark, sf_dir):
+    """Tokenizer and retrieval have no SQL; tests compare with direct ones."""
+    pieces = pack(table(spark, sf_dir, "documents"))
+    return pieces.select(
+        *("doc_id", "start", "length"),
+        F.crc32("ids").alias("ids_crc32"),
+        *("doc_tokens", "sequence_id", "offset"),
+    )
