@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.llm.classifier import fit
 from tidelog.llm.common import table
 from tidelog.llm.fingerprints import fingerprint
 from tidelog.llm.mixing import mix
@@ -167,8 +168,7 @@ def op4_sharding(spark, sf_dir):
         "size",
         F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
         F.lit("bytes").alias("law"),
-        "shard",
-        "slot",
+        *("shard", "slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
 
@@ -217,3 +217,13 @@ def op1_packing(spark, sf_dir):
         F.crc32("ids").alias("ids_crc32"),
         *("doc_tokens", "sequence_id", "offset"),
     )
+
+
+# --- 9: quality classifier --------------------------------------------------
+
+
+@query("op9_quality_classifier")
+def op9_quality_classifier(spark, sf_dir):
+    """Counts and draws have no SQL; tests take held-out labels."""
+    fitted = fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return fitted.weights.withColumnRenamed("id", "doc_id")

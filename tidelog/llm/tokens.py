@@ -93,9 +93,9 @@ class PieceTokenizer:
             result[i] = ids
         pieces = {i: _PIECES.findall(t.lower()) for i, t in enumerate(texts) if result[i] is None}
         lately, before = self.lately, self.before
-        wanted = set().union(*pieces.values()) - lately.keys()
+        wanted = [p for p in set().union(*pieces.values()) if p not in lately]
         again = {p: before[p] for p in wanted if p in before}
-        new = self._learn(list(wanted - again.keys()))
+        new = self._learn([p for p in wanted if p not in again])
         lately.update(again)
         lately.update(new)
         for i, found in pieces.items():
