@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidelog.llm.classifier import fit
 from tidelog.llm.common import table
 from tidelog.llm.fingerprints import fingerprint
+from tidelog.llm.jaccard import jaccard_components
 from tidelog.llm.mixing import mix
 from tidelog.llm.packing import pack
 from tidelog.llm.quality_rules import judge
@@ -227,3 +228,12 @@ def op9_quality_classifier(spark, sf_dir):
     """Counts and draws have no SQL; tests take held-out labels."""
     fitted = fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return fitted.weights.withColumnRenamed("id", "doc_id")
+
+
+# --- 10: n-gram Jaccard join ------------------------------------------------
+
+
+@query("op10_ngram_jaccard")
+def op10_ngram_jaccard(spark, sf_dir):
+    """All pairs in SQL take too long on whole tables; tests try them all."""
+    return jaccard_components(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
