@@ -8,9 +8,9 @@ the best of the rest cut at the end of the window. What is cut off seeds the
 next window. So all windows but the last of a shard are full.
 
 Document frequencies count every document; they are one number per token id,
-bounded by the vocabulary. Documents go to shards by their heaviest term, so
-that neighbours meet, and a term with many documents is spread over as many
-shards as its tokens need, so that a shard stays near ``SHARD_TOKENS``.
+bounded by the vocabulary. Documents go to shards by the term that stands for
+them, so that neighbours meet, and a term with many documents is spread over
+as many shards as its tokens need: a shard stays near ``SHARD_TOKENS``.
 """
 
 from __future__ import annotations
@@ -37,52 +37,72 @@ K1, B = 1.2, 0.75
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
+TOKENS = (
+    "row_id long, doc_id long, ids binary, n long, whole long, head int, term int, docs long"  # by row, or by term
+)
+
+
 def tokenized(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int, window: int) -> DataFrame:
-    """``row_id, doc_id, ids, n, whole``: ids end with ``end_id``; ``whole``
-    counts the full windows of earlier documents of the partition."""
+    """Rows of documents: ids that end with ``end_id``, their number ``n``, in
+    ``whole`` the full windows of earlier documents of the partition, and in
+    ``head`` the term that stands for the document: count times the logarithm
+    of the id is largest, as ids of such vocabularies grow with rarity. And
+    rows of terms: the documents of the partition that hold ``term``."""
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = load(tokenizer)
+        size = max(words.vocabulary, end_id + 1)
         end = np.array([end_id], words.dtype).tobytes()
-        width = len(end)
         partition = TaskContext.get().partitionId()
+        rarity = np.log(np.arange(size) + 2.0)
+        holders = np.zeros(size, np.int64)
         seen = whole = 0
         for batch in batches:
             texts = batch["text"].tolist()
             for first in range(0, len(texts), 1000):
                 ids = [b + end for b in words.encode(texts[first : first + 1000])]
-                n = np.array([len(b) // width for b in ids], np.int64)
+                n = np.empty(len(ids), np.int64)
+                head = np.empty(len(ids), np.int32)
+                for k, raw in enumerate(ids):
+                    all_ids = np.frombuffer(raw, words.dtype)
+                    term, tf = np.unique(all_ids, return_counts=True)
+                    holders[term] += 1
+                    n[k], head[k] = len(all_ids), term[np.argmax(tf * rarity[term])]
                 full = n // window
-                yield pd.DataFrame(
-                    {
-                        "row_id": (partition << 33) + seen + np.arange(len(ids)),
-                        "doc_id": batch["doc_id"].iloc[first : first + 1000].array,
-                        "ids": ids,
-                        "n": n,
-                        "whole": (partition << 32) + whole + np.cumsum(full) - full,
-                    }
-                )
+                rows = {
+                    "row_id": (partition << 33) + seen + np.arange(len(ids)),
+                    "doc_id": batch["doc_id"].iloc[first : first + 1000].array,
+                    "ids": ids,
+                    "n": n,
+                    "whole": (partition << 32) + whole + np.cumsum(full) - full,
+                    "head": head,
+                }
+                yield _with_nulls(rows, len(ids))
                 seen, whole = seen + len(ids), whole + int(full.sum())
+        found = np.flatnonzero(holders)
+        yield _with_nulls({"term": found, "docs": holders[found]}, len(found))
 
     rows = docs.select(ref(id_col).cast("long").alias("doc_id"), ref(text_col).cast("string").alias("text"))
-    return rows.mapInPandas(encode, "row_id long, doc_id long, ids binary, n long, whole long")
-
+    return rows.mapInPandas(encode, TOKENS)
+
+
+def _with_nulls(columns: dict, count: int) -> pd.DataFrame:
+    frame = pd.DataFrame(index=range(count))
+    for field in TOKENS.split(", "):
+        name, kind = field.split()
+        if name in columns:
+            values = columns[name]
+            frame[name] = pd.array(values, dtype="Int64") if name == "doc_id" else values
+        else:
+            frame[name] = pd.Series([None] * count, dtype=object if kind == "binary" else "Int64")
+    return frame
 
-def document_frequency(tokens: DataFrame, dtype: str, vocabulary: int) -> np.ndarray:
-    """Documents that hold each token id; at most a row per id and task."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(vocabulary, np.int64)
-        for batch in batches:
-            for raw in batch["ids"]:
-                total[np.unique(np.frombuffer(raw, dtype))] += 1
-        found = np.flatnonzero(total)
-        yield pd.DataFrame({"term": found, "docs": total[found]})
-
-    rows = tokens.select("ids").mapInPandas(count, "term long, docs long").groupBy("term").agg(F.sum("docs"))
-    result = np.zeros(vocabulary, np.int64)
-    for term, docs in rows.collect():
-        result[term] = docs
+def by_number(rows: DataFrame, size: int) -> np.ndarray:
+    """``number, value`` rows as an array; at most ``size`` of them."""
+    result = np.zeros(size, np.int64)
+    for number, value in rows.collect():
+        result[number] = value
     return result
 
 
@@ -91,6 +111,12 @@ def inverse_frequency(docs: np.ndarray, count: int) -> np.ndarray:
     return np.maximum(np.log((count - docs + 0.5) / (docs + 0.5)), 0.0)
 
 
+def default_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def _frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(ids, return_counts=True)
 
@@ -211,40 +237,22 @@ def pack(
     columns are not read. Sequence ids are unique, not dense; a sequence that
     is not full is to be padded.
     """
-    if tokenizer is None:
-        import public_tokenizers
-
-        tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = tokenizer or default_tokenizer()
     vocabulary = max(load(tokenizer).vocabulary, end_id + 1)
     dtype = id_type(vocabulary)
     width = np.dtype(dtype).itemsize
-    tokens = stored(tokenized(docs, id_col, text_col, tokenizer, end_id, window), "tokens", compression="zstd")
+    found = stored(tokenized(docs, id_col, text_col, tokenizer, end_id, window), "tokens", compression="zstd")
+    tokens = found.where("n IS NOT NULL").drop("term", "docs")
     count, total = tokens.agg(F.count(F.lit(1)), F.sum("n")).first()
     if not count:
         return docs.sparkSession.createDataFrame([], PIECES)
-    idf = inverse_frequency(document_frequency(tokens, dtype, vocabulary), count)
+    holders = found.where("term IS NOT NULL").groupBy("term").agg(F.sum("docs"))
+    idf = inverse_frequency(by_number(holders, vocabulary), count)
     mean = total / count
-
-    def heaviest(ids: np.ndarray) -> int:
-        term, tf = _frequencies(ids)
-        return int(term[np.argmax(idf[term] * tf / (tf + K1))])
-
-    def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Rests of documents by their heaviest term: tokens of each."""
-        size = np.zeros(vocabulary, np.int64)
-        for batch in batches:
-            for raw, n in zip(batch["ids"], batch["n"], strict=True):
-                if n % window:
-                    size[heaviest(np.frombuffer(raw, dtype))] += n % window
-        found = np.flatnonzero(size)
-        yield pd.DataFrame({"term": found, "tokens": size[found]})
-
-    by_term = np.zeros(vocabulary, np.int64)
-    for term, size in (
-        tokens.select("ids", "n").mapInPandas(heads, "term long, tokens long").groupBy("term").agg(F.sum("tokens")).collect()
-    ):
-        by_term[term] = size
-    ahead = np.concatenate(([0], np.cumsum(by_term)))
+    rest = F.col("n") % window
+    # tokens left over by head: a row per term at most, which fixes the shards
+    by_head = by_number(tokens.groupBy("head").agg(F.sum(rest)), vocabulary)
+    ahead = np.concatenate(([0], np.cumsum(by_head)))
 
     def whole_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -256,21 +264,15 @@ def pack(
                     rows.append((x.doc_id, k * window, window, piece, x.n, 2 * (x.whole + k) + 1, 0))
             yield _pieces(rows)
 
-    def rests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            batch = batch[batch["n"] % window > 0].reset_index(drop=True)
-            term = np.array([heaviest(np.frombuffer(raw, dtype)) for raw in batch["ids"]], np.int64)
-            place = ahead[term] + _spread(batch["row_id"].to_numpy()) * by_term[term]
-            start = batch["n"] // window * window
-            yield pd.DataFrame(
-                {
-                    "shard": (place // shard_tokens).astype(np.int64),
-                    "row_id": batch["row_id"],
-                    "doc_id": batch["doc_id"],
-                    "ids": [raw[s * width :] for raw, s in zip(batch["ids"], start, strict=True)],
-                    "n": batch["n"],
-                }
-            )
+    def routed(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for head, row_id in batches:
+            place = ahead[head] + _spread(row_id.to_numpy()) * by_head[head]
+            yield pd.Series((place // shard_tokens).astype(np.int64))
+
+    routed.__annotations__ = {
+        "batches": Iterator[tuple[pd.Series, pd.Series]],
+        "return": Iterator[pd.Series],
+    }
 
     def fill(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("row_id").reset_index(drop=True)
@@ -291,11 +293,12 @@ def pack(
         return _pieces(rows)
 
     full = tokens.where(F.col("n") >= window).mapInPandas(whole_windows, PIECES)
-    packed = (
-        tokens.mapInPandas(rests, "shard long, row_id long, doc_id long, ids binary, n long")
-        .groupBy("shard")
-        .applyInPandas(fill, PIECES)
+    rests = tokens.where(rest > 0).select(
+        F.pandas_udf(routed, "long")("head", "row_id").alias("shard"),
+        *("row_id", "doc_id", "n"),
+        F.expr(f"substring(ids, int({width} * (n - n % {window})) + 1)").alias("ids"),
     )
+    packed = rests.groupBy("shard").applyInPandas(fill, PIECES)
     return full.union(packed)
 
 
