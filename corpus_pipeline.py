@@ -1,33 +1,64 @@
-"""From raw documents to packed sequences, one operator a stage."""
+"""From raw documents to packed sequences, one operator a stage.
+
+Each stage takes all that the one before kept and returns the columns of
+documents; the last returns the pieces of the packed sequences.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidelog.llm.classifier import classify, fit
 from tidelog.llm.common import table
+from tidelog.llm.jaccard import one_of_each
 from tidelog.llm.mixing import mix, repeated
+from tidelog.llm.packing import pack
 from tidelog.llm.quality_rules import judge
 from tidelog.session import stored
 
+#: Near duplicates share four fifths of their five-word shingles or more.
+NEAR_SHINGLE = 5
+NEAR_PERCENT = 80
 
-def keep_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass, without the boilerplate lines of their host."""
-    from pyspark.sql import functions as F
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier draws."""
+    fitted = fit(docs, table(spark, sf_dir, "labels"))
+    return classify(docs, fitted).where("kept").select(*docs.columns)
+
+
+def keep_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the rules, without the boilerplate lines of their host."""
     kept = judge(docs).where("kept")
-    columns = {"text": F.col("clean_text"), "n_chars": F.char_length("clean_text").cast("long")}
-    return kept.select(*[columns.get(c, F.col(c)).alias(c) for c in docs.columns])
+    changed = {"text": F.col("clean_text"), "n_chars": F.char_length("clean_text").cast("long")}
+    return kept.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return one_of_each(docs, size=NEAR_SHINGLE, percent=NEAR_PERCENT)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
     return repeated(mix(docs)).select(*docs.columns)
 
 
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents with their ids and place in a sequence."""
+    return pack(docs)
+
+
 STAGES = [
+    ("quality classifier", keep_good),
     ("quality rules", keep_by_rules),
-    ("mixing", mix_sources),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("mixing sources to target weights", mix_sources),
+    ("packing", pack_sequences),
 ]
 
+#: Counts of hashed n-grams, draws and retrieval have no SQL.
 ORACLE_SQL = None
 
 

@@ -24,10 +24,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import looked_up, ref
+from tidelog.llm.common import WORD, free_prefix, looked_up, ref
 from tidelog.llm.components import components
 from tidelog.llm.shingles import shingle_sets
 from tidelog.session import stored
@@ -296,14 +296,10 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, p
     return pairs.join(left, "a").join(right, "b").mapInPandas(alike, "a long, b long")
 
 
-def jaccard_components(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    size: int = SHINGLE,
-    percent: int = PERCENT,
-) -> DataFrame:
-    """``id, n_shingles, component_id`` of every row of ``docs``.
+def jaccard_groups(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
+    """``id, key, n, cls, component_id`` of every row; ``key`` is a hash of the
+    text, ``component_id`` null where no row of the component has an id, and
+    ``root`` stands for the component in any case.
 
     Null texts and texts without words have no n-grams and link with nothing;
     they are their own component. Repeated rows and equal texts are one class.
@@ -349,11 +345,54 @@ def jaccard_components(
     roots = components(links.union(more), "a", "b").withColumnRenamed("node", "cls")
     named = roots.join(classes.select("cls", "least"), "cls")
     least = named.groupBy("root").agg(F.min("least").alias("named"))
-    named = named.select("cls", "root").join(least, "root").select("cls", "named")
+    named = named.select("cls", "root").join(least, "root").select("cls", "root", "named")
     ids = classes.select("cls", "least").join(named, "cls", "left")
-    ids = ids.select("cls", F.coalesce("named", "least").alias("component_id"))
-    return rows.select("id", "n", "cls").join(ids, "cls", "left").select(
-        F.col("id"),
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
+    ids = ids.select(
+        "cls", F.coalesce("root", "cls").alias("root"), F.coalesce("named", "least").alias("component_id")
+    )
+    full = F.col("n") > 0
+    return (
+        rows.select("id", "key", "n", "cls")
+        .join(ids, "cls", "left")
+        .select(
+            *("id", "key", "n"),
+            F.when(full, F.col("root")).alias("root"),
+            F.when(full, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
+        )
+    )
+
+
+def jaccard_components(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    size: int = SHINGLE,
+    percent: int = PERCENT,
+) -> DataFrame:
+    """``id, n_shingles, component_id`` of every row, as in ``jaccard_groups``."""
+    rows = jaccard_groups(docs, id_col, text_col, size, percent)
+    return rows.select("id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
+    """``docs`` with one row of each component, that with the least id (null
+    last, then by text); of rows equal in both, any one. Texts without words
+    all stay."""
+    p = free_prefix(docs, "one")
+    key, name, number = f"{p}key", f"{p}name", f"{p}number"
+    rows = jaccard_groups(docs, id_col, text_col, size, percent).where("n > 0")
+    chosen = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("o"), "id", "key")).alias("m"))
+    chosen = chosen.select(
+        F.col("m.key").alias(key),
+        F.coalesce(F.col("m.id").cast("string"), F.lit("")).alias(name),
+        F.lit(True).alias(f"{p}chosen"),
     )
+    text = F.coalesce(ref(text_col).cast("string"), F.lit(""))
+    named = F.coalesce(ref(id_col).cast("long").cast("string"), F.lit(""))
+    marked = docs.withColumn(key, F.xxhash64(text)).withColumn(name, named)
+    spoken = marked.where(text.rlike(WORD)).join(chosen, [key, name])
+    same = Window.partitionBy(key, name).orderBy(name)
+    spoken = spoken.withColumn(number, F.row_number().over(same)).where(F.col(number) == 1)
+    return spoken.select(*[ref(c) for c in docs.columns]).union(docs.where(~text.rlike(WORD)))

@@ -15,8 +15,10 @@ from tidelog.llm.mixing import mix
 from tidelog.llm.packing import pack
 from tidelog.llm.quality_rules import judge
 from tidelog.llm.sharding import shard
+from tidelog.llm.token_matrix import pack_matrix, read_matrix, write_matrix
 from tidelog.llm.url_filters import RULES, filter_urls
 from tidelog.llm.warc import archived
+from tidelog.session import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -163,11 +165,11 @@ def op6_quality_rules(spark, sf_dir):
 @query("op4_sharding")
 def op4_sharding(spark, sf_dir):
     """Differencing has no SQL; tests compare it with a direct one."""
-    placed = shard(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # the digest is taken first, so that no text follows its row
+    placed = shard(docs.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit("")))))
     return placed.select(
-        "doc_id",
-        "size",
-        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        *("doc_id", "size", "text_crc32"),
         F.lit("bytes").alias("law"),
         *("shard", "slot"),
         F.lit(None).cast("int").alias("grown_shard"),
@@ -237,3 +239,18 @@ def op9_quality_classifier(spark, sf_dir):
 def op10_ngram_jaccard(spark, sf_dir):
     """All pairs in SQL take too long on whole tables; tests try them all."""
     return jaccard_components(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+# --- 7: token matrices ------------------------------------------------------
+
+
+@query("op7_token_matrix")
+def op7_token_matrix(spark, sf_dir):
+    """Written to the shared folder and read back; tests compare every id."""
+    path = scratch_folder(spark, "matrix")
+    write_matrix(pack_matrix(table(spark, sf_dir, "documents")), path)
+    return read_matrix(spark, path).select(
+        *("sequence_id", "doc_ids", "starts", "lengths_before", "used"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.crc32("positions").alias("positions_crc32"),
+    )
