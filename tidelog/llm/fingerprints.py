@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelog.llm.common import free_prefix, looked_up, ref, text_of
 from tidelog.session import stored
@@ -151,7 +152,11 @@ def fingerprint(
     given = given.groupBy(key, digest).agg(
         *[F.first(c).alias(c) for c in (f"{p}need", f"{p}start", f"{p}hashes")]
     )
-    rows = docs.select(*[ref(c) for c in kept], *keyed, text_of(text_col).alias(text)).join(given, [key, digest])
+    # an integer id follows from its key; without it the rows are those that gave the starts, shuffled once
+    whole = docs.schema[id_col].dataType
+    derived = isinstance(whole, T.IntegralType)
+    carried = [c for c in kept if not (derived and c == id_col)]
+    rows = docs.select(*[ref(c) for c in carried], *keyed, text_of(text_col).alias(text)).join(given, [key, digest])
     rows = rows.withColumn(chars, F.char_length(text))
     edited, own, new = f"{p}edited", f"{p}own", f"{p}new"
     rows = rows.withColumn(
@@ -161,8 +166,9 @@ def fingerprint(
     rows = with_fingerprint(rows, edited, new, gram, window)
     rows = rows.withColumn(f"{p}own_hashes", hashes_of(F.col(own)))
     following = F.transform(f"{p}hashes", lambda x: x.cast("long") + F.lit(1 << 31))
+    same = F.when(F.col(key) != "", F.col(key)).cast(whole).alias(id_col)
     return rows.select(
-        *[ref(c) for c in kept],
+        *[ref(c) if c in carried else same for c in kept],
         F.col(chars).cast("long").alias("n_chars"),
         F.sha2(edited, 256).alias("edited_sha256"),
         shown(F.col(own)).alias("fingerprint"),
