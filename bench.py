@@ -11,7 +11,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,16 +19,15 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import sample_topics as topics  # noqa: E402
-from sample_queries import AVRO_SCHEMA, EVENT_COLUMNS, _avro_record  # noqa: E402
+from sample_queries import EVENT_COLUMNS  # noqa: E402
 from tidelog.functions import variants as V  # noqa: E402
 from tidelog.operators import decode, panels  # noqa: E402
-from tidelog.operators.avro import encode_avro  # noqa: E402
 from tidelog.operators.infer import infer_fields, schema_groups  # noqa: E402
 from tidelog.operators.lineprotocol import LineOptions, lp_long  # noqa: E402
 from tidelog.operators.wide import FieldSpec  # noqa: E402
 from tidelog.plans.query import TopicQuery  # noqa: E402
 from tidelog.plans.run import run  # noqa: E402
-from tidelog.session import configure  # noqa: E402
+from tidelog.session import configure, scratch_folder  # noqa: E402
 from tidelog.sources.offsets import last_n  # noqa: E402
 from tidelog.sources.topic import TOPIC_SCHEMA  # noqa: E402
 
@@ -105,15 +103,11 @@ def workloads(spark: SparkSession, folder: str):
     t_lp = stored(spark, folder, "lp", lp)
     text = topics._text("seq=", F.col("l_orderkey"), " value=", F.col("l_extendedprice"))
     t_text = stored(spark, folder, "text", lineitem_topic(spark, text))
-    avro = topics.events_with(spark, SF_DIR, encode_avro(_avro_record(), AVRO_SCHEMA, spark))
-    t_avro = stored(spark, folder, "avro", avro)
 
     lines = TopicQuery("lines", offset="earliest")
     events = TopicQuery("events", offset="earliest")
+    lp_query = TopicQuery("lp", offset="earliest", format="lineprotocol")
     plain = TopicQuery("lines", offset="earliest", format="plaintext")
-    inline = TopicQuery(
-        "events", offset="earliest", format="avro", schema_source="inline", schema=AVRO_SCHEMA
-    )
     wide_events = run(spark, events, t_events, fields=EVENT_COLUMNS)
     n_lines, n_events, n_orders = t_20.count(), t_events.count(), t_lp.count()
     by_type = wide_events.filter("error IS NULL").select(
@@ -124,14 +118,15 @@ def workloads(spark: SparkSession, folder: str):
         ("json20_wide", n_lines, lambda: run(spark, lines, t_20, fields=specs20)),
         ("json100_wide", n_lines, lambda: run(spark, lines, t_100, fields=specs100)),
         ("json20_long", n_lines, lambda: run(spark, TopicQuery("lines", offset="earliest", shape="long"), t_20)),
+        ("json20_wide_default", n_lines, lambda: run(spark, lines, t_20)),
         ("json20_infer", n_lines, lambda: infer_fields(t_20)),
         ("events_wide", n_events, lambda: wide_events),
         ("events_schema_groups", n_events, lambda: schema_groups(t_events)),
         ("events_audit", n_events, lambda: decode.decode_audit(decode.decode_json(t_events))),
         ("events_last_n", n_events, lambda: last_n(t_events, 100)),
         ("lineprotocol", n_orders, lambda: lp_long(t_lp)),
+        ("lineprotocol_wide", n_orders, lambda: run(spark, lp_query, t_lp)),
         ("lineprotocol_filtered", n_orders, lambda: lp_long(t_lp, LineOptions(measurements="cpu[12]", fields="field0"))),
-        ("avro", n_events, lambda: run(spark, inline, t_avro)),
         ("moving_mean", n_events, lambda: panels.moving_mean(by_type, "value", ["type"])),
         ("panel_mean", n_events, lambda: panels.reduce_mean(wide_events, "value", ["event.type"])),
     ]
@@ -139,7 +134,7 @@ def workloads(spark: SparkSession, folder: str):
 
 def main() -> None:
     spark = session()
-    folder = tempfile.mkdtemp(prefix="tidelog-bench-")
+    folder = scratch_folder(spark, "bench")
     seconds, rates = {}, {}
     for name, messages, build in workloads(spark, folder):
         times = []

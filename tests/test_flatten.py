@@ -135,10 +135,13 @@ def test_infer_widening_and_null_memory(topic):
     }
 
 
-def test_field_list_is_capped_and_sorted(topic):
+def test_field_list_is_sorted_and_whole(topic):
     df = topic(['{"item_10":1,"item_2":2,"b":{"c":1},"a.x":1}'])
-    fields = field_list(infer_fields(df), 3)
-    assert [f.path for f in fields] == ["a.x", "b.c", "item_10"]
+    fields = field_list(infer_fields(df))
+    assert [f.path for f in fields] == ["a.x", "b.c", "item_10", "item_2"]
+    # the cap is one of each message
+    two = topic(['{"a":1,"b":1}', '{"c":1,"d":1}'])
+    assert len(field_list(infer_fields(two, options=FlattenOptions(field_cap=2)))) == 4
     assert fields[0].depths == (1,) and fields[1].depths == (2,)
 
 

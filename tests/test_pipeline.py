@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tidelog.functions import wire
 from tidelog.operators import decode, panels
-from tidelog.operators.avro import decode_avro, encode_avro
+from tidelog.operators.avro import decode_avro
+from tidelog.operators.protobuf import decode_protobuf, message_at, message_paths
 from tidelog.operators.structs import flatten_struct
 from tidelog.operators.wide import FieldSpec
 from tidelog.plans.query import TopicQuery
@@ -31,7 +32,7 @@ def test_query_defaults_and_checks():
     q = TopicQuery("t")
     assert (q.format, q.offset, q.key_format, q.time_mode) == ("json", "latest", "none", "message")
     assert (q.schema_source, q.lp_precision, q.partition, q.last_n) == ("registry", "auto", "all", 100)
-    assert TopicQuery("t", last_n=-1).last_n == 100 and TopicQuery("t", last_n=10**9).last_n == 10**6
+    assert TopicQuery("t", last_n=-1).last_n == 100 and TopicQuery("t", last_n=10**9).last_n == 10**9
     assert q.fingerprint() == TopicQuery("t").fingerprint() != TopicQuery("t", alias="x").fingerprint()
     assert not TopicQuery("").is_valid
     with pytest.raises(ValueError, match="format must be one of"):
@@ -124,21 +125,34 @@ def test_partitions(topic):
     assert topic_partitions(df, "t").count() == 3
 
 
-def test_last_n_counts_offsets(topic, monkeypatch):
+def test_last_n_counts_offsets(topic):
     df = topic(["{}"] * 20, partitions=2, start=100)
     gaps = df.filter("offset NOT IN (107, 108)")
     kept = sorted(r["offset"] for r in offsets.last_n(gaps, 4).filter("partition = 0").collect())
     assert kept == [106, 109]
     assert offsets.last_n(gaps, 1000).count() == gaps.count()
-    monkeypatch.setattr(offsets, "LITERAL_BOUNDS", 1)
-    joined = offsets.last_n(gaps, 4)
-    assert sorted(r["offset"] for r in joined.filter("partition = 1").collect()) == [106, 109]
-    assert joined.columns == df.columns
+    many = topic(["{}"] * 900, partitions=300)
+    assert offsets.last_n(many, 2).count() == 600
+    assert offsets.after_high_water(many, offsets.offset_bounds(many)).count() == 0
 
 
-@pytest.mark.parametrize("literals", [256, 0])
-def test_after_high_water(topic, monkeypatch, literals):
-    monkeypatch.setattr(offsets, "LITERAL_BOUNDS", literals)
+def test_latest_in_batch_needs_bounds(spark, topic):
+    old, new = topic(['{"a":1}'] * 2), topic(['{"a":1}', '{"a":1}', '{"a":7}'])
+    with pytest.raises(ValueError, match="bounds"):
+        run(spark, TopicQuery("t"), new)
+    got = run(spark, TopicQuery("t"), new, bounds=offsets.offset_bounds(old)).collect()
+    assert [r["a"] for r in got] == [7]
+
+
+def test_last_value_at_the_largest_offsets(spark):
+    at = datetime(2024, 1, 1, tzinfo=UTC)
+    rows = [(at, 0, 2**62, 1.0), (at, 0, 2**62 + 1, 2.0), (at, 2_000_000_000, 3, 5.0), (at, 7, 2**63 - 1, 4.0)]
+    df = spark.createDataFrame(rows, "time timestamp, partition int, offset long, v double")
+    assert panels.reduce_last(df, "v").first()["last"] == 5.0
+    assert panels.reduce_last(df.where("partition = 0"), "v").first()["last"] == 2.0
+
+
+def test_after_high_water(topic):
     old, new = topic(["{}"] * 4, partitions=2), topic(["{}"] * 9, partitions=3)
     kept = offsets.after_high_water(new, offsets.offset_bounds(old)).collect()
     assert sorted((r["partition"], r["offset"]) for r in kept) == [(0, 2), (1, 2), (2, 0), (2, 1), (2, 2)]
@@ -178,34 +192,21 @@ def test_multi_query_aligns_types(spark, topic):
     assert got == {"x": (1.0, "true"), "y": (1.5, "2")}
 
 
-AVRO = {
-    "type": "record",
-    "name": "R",
-    "fields": [
-        {"name": "id", "type": "long"},
-        {"name": "x", "type": ["null", "double"]},
-        {"name": "m", "type": {"type": "map", "values": "long"}},
-        {"name": "s", "type": {"type": "record", "name": "S", "fields": [{"name": "t", "type": "string"}]}},
-        {"name": "again", "type": ["null", "S"]},
-    ],
-}
-
-
-def test_avro_round_trip_and_errors(spark):
-    schema = json.dumps(AVRO)
-    df = spark.sql(
-        "SELECT id, struct(id, IF(id % 2 = 0, id / 4D, NULL) AS x, map('k', id) AS m,"
-        " struct('é' AS t) AS s, IF(id = 1, struct('u' AS t), NULL) AS again) AS r"
-        " FROM VALUES (0L), (1L), (-9223372036854775808L) v(id)"
-    )
-    raw = df.select(encode_avro(F.col("r"), schema, spark, schema_id=3).alias("value")).collect()
-    values = [bytes(r["value"]) for r in raw] + [None, b"", b"\0\0\0\0\3\2"]
-    log = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "offset int, value binary")
-    flat = flatten_struct(decode_avro(log, schema).drop("value")).orderBy("offset").collect()
-    assert [r["id"] for r in flat] == [0, 1, -9223372036854775808, None, None, None]
-    assert [r["x"] for r in flat[:3]] == [0.0, None, -(2.0**61)]
-    assert (flat[1]["again.t"], flat[0]["s.t"], flat[1]["m"]) == ("u", "é", '{"k":1}')
-    assert [r["error"] is None for r in flat] == [True] * 5 + [False]
+def test_binary_formats_need_their_packages(spark, topic):
+    """Neither package is on this machine; nothing else stands in for it."""
+    df = topic([b"\0\0\0\0\1x"])
+    with pytest.raises(RuntimeError, match="spark-avro"):
+        decode_avro(df, '{"type":"record","name":"R","fields":[]}')
+    with pytest.raises(RuntimeError, match="spark-avro"):
+        run(spark, TopicQuery("t", offset="earliest", format="avro", schema_source="inline", schema="{}"), df)
+    with pytest.raises(RuntimeError, match="spark-protobuf"):
+        decode_protobuf(df, b"", "M")
+
+
+def test_unions_share_their_path(spark):
+    df = spark.sql("SELECT struct(1 AS a, struct(struct(5L AS z) AS member0, 7L AS member1) AS u, struct(1L AS member0, 'x' AS member1) AS w) AS body")
+    row = flatten_struct(df).first().asDict()
+    assert row == {"a": 1, "u": 7, "u.z": 5, "w": "1"}
 
 
 def test_wire_header_modes(spark):
@@ -233,7 +234,9 @@ INDEXES = [
     (b"\5", [5], 1),
     (b"\x81\0\7", [7], 3),
     (b"\xff", None, None),
-    (b"\1" + b"\xff" * 9 + b"\1", [1], 1),
+    (b"\1" + b"\xff" * 9 + b"\1", None, None),
+    (b"\5" + b"\xff" * 9 + b"\1\0", None, None),
+    (b"\2\1\0" + b"\xff" * 9, [1, 0], 3),
 ]
 
 
@@ -253,73 +256,54 @@ def test_schema_table(spark, topic):
     assert schemas.latest_schema(table, "t") == "new"
     with pytest.raises(LookupError):
         schemas.latest_schema(table, "missing")
-    df = spark.createDataFrame([(5,), (6,), (7,), (None,)], "schema_id bigint")
-
-    def read(part, schema):
-        return part.withColumn("body", F.lit(schema)).withColumn("error", F.lit(None).cast("string"))
-
-    got = {r["schema_id"]: (r["body"], r["error"]) for r in schemas.decode_by_schema(df, table, read).collect()}
-    assert got[5] == ("old", None) and got[6] == ("u", None)
-    assert got[7] == (None, "schema not found: id 7") and got[None][1] == "schema not found: id none"
-    rows = schemas.decode_by_schema(df, table, read, lambda: "bare").collect()
-    got = {r["schema_id"]: (r["body"], r["error"]) for r in rows}
-    assert got[None] == ("bare", None) and got[7][1] == "schema not found: id 7" and len(got) == 4
+    assert schemas.topic_schemas(table, "t") == {5: "old", 4: "new"}
+
+
+def test_decode_by_schema_is_one_projection(spark, tmp_path):
+    rows = [(5, '{"a":1}'), (6, '{"a":2.5,"b":"x"}'), (7, "{}"), (None, '{"c":true}'), (5, "no"), (5, None)]
+    spark.createDataFrame(rows, "schema_id bigint, value string").write.parquet(str(tmp_path / "log"))
+    known = {i: "other int" for i in range(100, 167)} | {5: "a bigint", 6: "a double, b string"}
+    for df in (spark.read.parquet(str(tmp_path / "log")), spark.readStream.schema("schema_id bigint, value string").parquet(str(tmp_path / "log"))):
+        out = schemas.decode_by_schema(df, known, F.from_json, F.col("value"))
+        assert out.columns == ["schema_id", "value", "a", "b", "other", "error"]
+        if df.isStreaming:
+            out.writeStream.format("memory").queryName("by_schema").trigger(availableNow=True).option(
+                "checkpointLocation", str(tmp_path / "cp")
+            ).start().awaitTermination()
+            out = spark.table("by_schema")
+        else:
+            assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+        got = {(r["schema_id"], r["value"]): (r["a"], r["b"], r["error"]) for r in out.collect()}
+        assert got[5, '{"a":1}'] == (1.0, None, None) and got[6, rows[1][1]] == (2.5, "x", None)
+        assert got[7, "{}"][2] == "schema not found: id 7" and got[None, rows[3][1]][2] == "schema not found: id none"
+        assert got[5, None] == (None, None, None) and len(got) == 6
+    bare = schemas.decode_by_schema(spark.createDataFrame(rows[3:4], "schema_id bigint, value string"), {}, F.from_json, F.col("value"), "c boolean")
+    assert bare.first()["c"] is True and bare.first()["error"] is None
 
 
-def protobuf_set():
+def test_protobuf_names_and_paths():
     d = pytest.importorskip("google.protobuf.descriptor_pb2")
     file = d.FileDescriptorProto(name="x.proto", package="p", syntax="proto3")
-    first = file.message_type.add(name="First")
-    first.field.add(name="a", number=1, type=3, label=1)
-    outer = file.message_type.add(name="Outer")
-    inner = outer.nested_type.add(name="Inner")
-    inner.field.add(name="u", number=1, type=4, label=1)
-    inner.field.add(name="raw", number=2, type=12, label=1)
-    inner.field.add(name="list", number=3, type=3, label=3)
-    inner.field.add(name="sub", number=4, type=11, label=1, type_name=".p.First")
-    return d.FileDescriptorSet(file=[file]).SerializeToString()
-
-
-def test_protobuf_types_presence_and_paths(spark, topic):
-    from tidelog.operators.protobuf import message_at
-
-    descriptor = protobuf_set()
+    file.message_type.add(name="First")
+    file.message_type.add(name="Outer").nested_type.add(name="Inner")
+    descriptor = d.FileDescriptorSet(file=[file]).SerializeToString()
     assert message_at(descriptor) == "p.First" and message_at(descriptor, (1, 0)) == "p.Outer.Inner"
+    assert message_paths(descriptor) == [(0,), (1,), (1, 0)]
     with pytest.raises(IndexError):
         message_at(descriptor, (4,))
-    head = b"\0\0\0\0\1"
-    big = b"\x08" + b"\xff" * 9 + b"\x01"
-    df = topic(
-        [
-            head + b"\0" + b"\x08\x05",
-            head + b"\2\1\0" + big + b"\x12\x02\xff\0" + b"\x1a\x02\1\2",
-            head + b"\2\1\0" + b"\x22\x02\x08\x07",
-            head + b"\1\7" + b"\x08\x05",
-            b"",
-            head + b"\0" + b"\x0f\x0f",
-        ]
-    )
-    query = TopicQuery("t", offset="earliest", format="protobuf", schema_source="inline", schema=descriptor)
-    got = {r["offset"]: r.asDict() for r in run(spark, query, df).collect()}
-    assert got[0]["a"] == 5 and got[0]["u"] is None
-    assert int(got[1]["u"]) == 2**64 - 1 and got[1]["raw"] == "/wA=" and got[1]["list"] == "[1,2]"
-    assert got[1]["sub.a"] is None and got[1]["error"] is None
-    assert got[2]["sub.a"] == 7 and int(got[2]["u"]) == 0 and got[2]["list"] is None
-    assert "out of range" in got[3]["error"]
-    assert got[4]["error"] is None and got[4]["a"] is None
-    assert got[5]["error"].startswith("protobuf decoding failed")
-
-
-@pytest.mark.parametrize("window_rows", [10**6, 1])
-def test_moving_mean_against_brute_force(spark, window_rows):
-    values = [None, 1.0, 2.5, None, float("nan"), 4.0, float("inf"), 5.0, 6.0, 7.0]
+
+
+@pytest.mark.parametrize("piece", [4096, 2])
+def test_moving_mean_against_brute_force(spark, monkeypatch, piece):
+    monkeypatch.setattr(panels, "PIECE_ROWS", piece)
+    values = [None, 1.0, 2.5, None, float("nan"), 4.0, float("inf"), 5.0, 6.0, 1e17]
     rows = [
         (s, i, values[(i * k) % 10] if i % 31 else None)
         for s, k in (("a", 1), ("b", 3), (None, 7))
         for i in range(40 if s != "b" else 7)
     ]
     df = spark.createDataFrame(rows, "s string, i int, v double")
-    out = panels.moving_mean(df, "v", ["s"], ["i"], fraction=0.1, window_rows=window_rows)
+    out = panels.moving_mean(df, "v", ["s"], ["i"], fraction=0.1)
     got = {(r["s"], r["i"]): r["moving_mean"] for r in out.collect()}
     assert len(got) == len(rows)
     for s in ("a", "b", None):

@@ -97,22 +97,6 @@ def test_line_protocol_streams(spark, topic, tmp_path):
     assert batch.count() == 3
 
 
-def test_binary_formats_stream(spark, topic, tmp_path):
-    schema = '{"type":"record","name":"R","fields":[{"name":"a","type":"long"}]}'
-    table = spark.createDataFrame(
-        [("t-value", 1, 7, schema)], "subject string, version int, id bigint, schema string"
-    )
-    source = TopicSource(path=str(tmp_path / "topic"))
-    framed = [b"\0\0\0\0\7\x0a", b"\0\0\0\0\x09\x0a", b"\x04"]
-    write_topic(topic(framed), source)
-    query = TopicQuery("t", offset="earliest", format="avro")
-    options = StreamOptions(str(tmp_path / "checkpoints"), available_now=True)
-    frame = run(spark, query, read_topic(spark, source, "t", stream=True), schemas=table)
-    start_stream(frame, query, options, path=str(tmp_path / "out")).awaitTermination()
-    got = {r["offset"]: (r["a"], r["error"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
-    assert got == {0: (5, None), 1: (None, "schema not found: id 9"), 2: (2, None)}
-
-
 def test_partition_and_topic_prune_folders(spark, stored):
     df = read_topic(spark, stored, "t").filter("partition = 1 AND offset >= 1")
     plan = df._jdf.queryExecution().executedPlan().toString()

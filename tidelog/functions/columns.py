@@ -43,27 +43,22 @@ def is_empty(value: Column) -> Column:
 _ORDER = "decimal(38,0)"
 
 
-def _power(digits: int) -> Column:
-    return F.lit("1" + "0" * digits).cast(f"decimal({digits + 1},0)")
-
-
-def message_order(time: Column, partition: Column, offset: Column) -> Column:
-    """(time, partition, offset) as one DECIMAL that sorts the same way.
+def message_order(time: Column, offset: Column) -> Column:
+    """(time, offset) of one partition as a DECIMAL that sorts the same way.
 
     A number is an aggregation buffer Spark can update in place, so "latest"
     and "first" stay hash aggregates; a struct would make it sort all rows.
-    Partitions below 10^6 and offsets below 10^15 fit; beyond that it raises.
+    Any time and any offset fit; partitions are compared afterwards, on the
+    one row that each of them has left.
     """
-    fits = partition.between(0, 10**6 - 1) & offset.between(0, 10**15 - 1)
-    micros = F.unix_micros(time).try_cast("decimal(17,0)") * _power(21)
-    place = partition.try_cast("decimal(6,0)") * _power(15) + offset.try_cast("decimal(15,0)")
-    order = micros.cast(_ORDER) + place.cast(_ORDER)
-    problem = F.raise_error(F.lit("partition or offset too large to order by"))
-    return F.when(fits, order.cast(_ORDER)).otherwise(problem.cast(_ORDER))
+    micros = F.unix_micros(time).cast("decimal(19,0)") * F.lit(str(10**19)).cast("decimal(20,0)")
+    return (micros.cast(_ORDER) + offset.cast("decimal(19,0)")).cast(_ORDER)
 
 
 def line_order(partition: Column, offset: Column, line: Column) -> Column:
-    """(partition, offset, line) as one DECIMAL that sorts the same way."""
-    high = partition.cast("decimal(10,0)") * _power(27)
-    low = offset.cast("decimal(19,0)") * _power(8) + line.cast("decimal(8,0)")
-    return (high.cast(_ORDER) + low.cast(_ORDER)).cast(_ORDER)
+    """(partition, offset, line) as one DECIMAL that sorts the same way: 31, 63
+    and 31 bits."""
+    high = partition.cast("decimal(10,0)") * F.lit(str(2**63)).cast("decimal(19,0)")
+    place = (high + offset.cast("decimal(19,0)")).cast("decimal(29,0)")
+    wide = (place * F.lit(2**31).cast("decimal(10,0)")).cast(_ORDER)
+    return (wide + line.cast("decimal(10,0)")).cast(_ORDER)

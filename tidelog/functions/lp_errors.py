@@ -90,9 +90,9 @@ def line_error(text: Column, number: Column, default: str) -> Column:
         .when(rest == "", "tag \"\" missing '='")
         .when(
             rest.startswith(","),
-            F.concat(F.lit("tag "), _quoted(F.substring(rest, 2, 1 << 30)), F.lit(" missing '='")),
+            F.concat(F.lit("tag "), _quoted(F.substring(rest, 2, (1 << 31) - 1)), F.lit(" missing '='")),
         )
-        .otherwise(_fields_reason(F.substring(rest, 2, 1 << 30)))
+        .otherwise(_fields_reason(F.substring(rest, 2, (1 << 31) - 1)))
     )
     numbered = F.concat(F.lit("line "), number.cast("string"), F.lit(": "), reason)
     return F.when(number < 1, default).otherwise(numbered)

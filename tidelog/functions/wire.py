@@ -13,7 +13,7 @@ HEADER = 5
 _INDEX_BYTES = 170
 _MAX_COUNT = 10
 _MAX_TERMINATED = 16
-_TO_END = 1 << 30
+_TO_END = (1 << 31) - 1
 _PATH = "struct<path:array<bigint>,skip:int>"
 
 
@@ -87,8 +87,10 @@ def _choose_form(numbers: Column) -> Column:
 
     values = F.transform(numbers, lambda n: n["value"])
     count = value(0)
-    counted = count.between(1, _MAX_COUNT) & (F.size(numbers) > count)
     size = count.cast("int")
+    # a number that does not fit ends the list as -1; no form may contain it
+    complete = F.size(numbers) - F.when(F.get(values, F.size(values) - 1) < 0, 1).otherwise(0)
+    counted = count.between(1, _MAX_COUNT) & (complete > count)
     by_count = _path(F.slice(values, F.lit(2), size), F.get(numbers, size)["end"])
     zero = F.array_position(values, 0).cast("int")
     terminated = zero.between(2, _MAX_TERMINATED + 1)
@@ -96,13 +98,13 @@ def _choose_form(numbers: Column) -> Column:
     return (
         F.when(counted, by_count)
         .when(terminated, by_zero)
-        .when(F.size(numbers) > 0, _path(F.array(count), F.get(numbers, 0)["end"]))
+        .when((complete > 0) & (complete == F.size(numbers)), _path(F.array(count), F.get(numbers, 0)["end"]))
     )
 
 
 def _varints(data: Column) -> Column:
     """Unsigned base-128 numbers at the start of ``data`` with the position
-    after each. Reading stops at one that does not fit 63 bits."""
+    after each. Reading stops at one that does not fit 63 bits, which is -1."""
     text = F.hex(data)
     places = F.sequence(F.lit(1), F.greatest(F.octet_length(data), F.lit(1)))
     empty = F.struct(
@@ -118,12 +120,14 @@ def _varints(data: Column) -> Column:
         low = F.when(fits, F.call_function("shiftleft", (byte % 128).cast("bigint"), state["shift"]))
         total = state["value"] + F.coalesce(low, F.lit(0))
         ended = byte < 128
+        number = F.when(fits, total).otherwise(F.lit(-1).cast("bigint"))
         done = F.concat(
-            state["done"], F.array(F.struct(total.alias("value"), place.cast("int").alias("end")))
+            state["done"], F.array(F.struct(number.alias("value"), place.cast("int").alias("end")))
         )
-        go = state["open"] & byte.isNotNull() & fits
+        read = state["open"] & byte.isNotNull()
+        go = read & fits
         return F.struct(
-            F.when(go & ended, done).otherwise(state["done"]).alias("done"),
+            F.when(go & ended | read & ~fits, done).otherwise(state["done"]).alias("done"),
             F.when(go & ~ended, total).otherwise(F.lit(0).cast("bigint")).alias("value"),
             F.when(go & ~ended, state["shift"] + 7).otherwise(F.lit(0)).alias("shift"),
             go.alias("open"),

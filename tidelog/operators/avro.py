@@ -1,158 +1,32 @@
-"""Avro payloads to a typed struct.
+"""Avro payloads to a typed struct, by Spark's own Avro functions.
 
-With the spark-avro package this is ``from_avro``. Without it a small Arrow UDF
-reads the records to JSON text and ``from_json`` types them.
+They come with the ``spark-avro`` package; without it these functions raise.
 """
 
 from __future__ import annotations
 
-import json
-import struct as binary
-from base64 import b64encode
-from collections.abc import Callable, Iterator
-from io import BytesIO
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidelog.functions import wire
 from tidelog.functions.columns import is_empty
 
-_PRIMITIVES = {
-    "null": T.NullType(),
-    "boolean": T.BooleanType(),
-    "int": T.LongType(),
-    "long": T.LongType(),
-    "float": T.DoubleType(),
-    "double": T.DoubleType(),
-    "string": T.StringType(),
-    "bytes": T.StringType(),
-}
+FAILED = "avro decoding failed: failed to decode Avro message"
 
 
-def has_spark_avro(spark: SparkSession) -> bool:
+def require_avro(spark: SparkSession) -> None:
     try:
-        return spark._jvm.java.lang.Class.forName("org.apache.spark.sql.avro.AvroDataToCatalyst") is not None
-    except Exception:
-        return False
-
-
-def _name(names: dict, schema: dict, meaning):
-    """Remember a named type, also under its full name, for later references."""
-    names[schema["name"]] = meaning
-    if "namespace" in schema:
-        names[f"{schema['namespace']}.{schema['name']}"] = meaning
-    return meaning
-
-
-def spark_type(schema, names: dict | None = None) -> T.DataType:
-    """Spark type of an Avro schema. A union of null and one type is that
-    type; a union of several is a struct of members, later coalesced."""
-    names = {} if names is None else names
-    if isinstance(schema, list):
-        members = [s for s in schema if s != "null"]
-        if len(members) == 1:
-            return spark_type(members[0], names)
-        kinds = [spark_type(m, names) for m in members]
-        numeric = all(isinstance(k, T.LongType | T.DoubleType) for k in kinds)
-        return T.DoubleType() if numeric and kinds else T.StringType()
-    if isinstance(schema, str):
-        return _PRIMITIVES[schema] if schema in _PRIMITIVES else names[schema]
-    kind = schema["type"]
-    if kind == "record":
-        fields = _name(names, schema, T.StructType())
-        for f in schema["fields"]:
-            fields.add(f["name"], spark_type(f["type"], names))
-        return fields
-    if kind in ("enum", "fixed"):
-        return _name(names, schema, T.StringType())
-    if kind == "array":
-        return T.ArrayType(spark_type(schema["items"], names))
-    if kind == "map":
-        return T.MapType(T.StringType(), spark_type(schema["values"], names))
-    return spark_type(kind, names)
-
-
-def _long(data: BytesIO) -> int:
-    shift = value = 0
-    while True:
-        byte = data.read(1)[0]
-        value |= (byte & 127) << shift
-        if byte < 128:
-            return (value >> 1) ^ -(value & 1)
-        shift += 7
-
-
-def _exactly(data: BytesIO, size: int) -> bytes:
-    found = data.read(size)
-    if size < 0 or len(found) != size:
-        raise ValueError("short buffer")
-    return found
-
-
-def _blocks(data: BytesIO) -> Iterator[None]:
-    while count := _long(data):
-        if count < 0:
-            _long(data)
-        yield from (None for _ in range(abs(count)))
-
+        spark._jvm.java.lang.Class.forName("org.apache.spark.sql.avro.AvroDataToCatalyst")
+    except Exception as missing:
+        raise RuntimeError("Avro needs the spark-avro package on the session's class path") from missing
 
-def _reader(schema, names: dict) -> Callable[[BytesIO], object]:
-    if isinstance(schema, list):
-        members = [_reader(s, names) for s in schema]
-        return lambda d: members[_long(d)](d)
-    if isinstance(schema, dict):
-        kind = schema["type"]
-        if kind == "record":
-            fields: list = []
-            _name(names, schema, lambda d: {n: r(d) for n, r in fields})
-            fields += [(f["name"], _reader(f["type"], names)) for f in schema["fields"]]
-            return names[schema["name"]]
-        if kind == "enum":
-            return _name(names, schema, lambda d: schema["symbols"][_long(d)])
-        if kind == "fixed":
-            return _name(
-                names, schema, lambda d: b64encode(_exactly(d, schema["size"])).decode()
-            )
-        if kind == "array":
-            item = _reader(schema["items"], names)
-            return lambda d: [item(d) for _ in _blocks(d)]
-        if kind == "map":
-            value = _reader(schema["values"], names)
-            return lambda d: {_exactly(d, _long(d)).decode(): value(d) for _ in _blocks(d)}
-        return _reader(kind, names)
-    simple = {
-        "null": lambda d: None,
-        "boolean": lambda d: _exactly(d, 1) != b"\0",
-        "int": _long,
-        "long": _long,
-        "float": lambda d: binary.unpack("<f", _exactly(d, 4))[0],
-        "double": lambda d: binary.unpack("<d", _exactly(d, 8))[0],
-        "string": lambda d: _exactly(d, _long(d)).decode(),
-        "bytes": lambda d: b64encode(_exactly(d, _long(d))).decode(),
-    }
-    return simple[schema] if schema in simple else (lambda d: names[schema](d))
 
+def avro_body(payload: Column, schema: str, spark: SparkSession) -> Column:
+    """The record of an Avro payload; null where it cannot be read."""
+    require_avro(spark)
+    from pyspark.sql.avro.functions import from_avro
 
-def _json_udf(schema_text: str):
-    @F.pandas_udf("json string, error string")
-    def read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        reader = _reader(json.loads(schema_text), {})
-
-        def one(payload):
-            if payload is None:
-                return None, None
-            try:
-                return json.dumps(reader(BytesIO(payload)), ensure_ascii=False), None
-            except (ValueError, IndexError, KeyError, UnicodeDecodeError) as error:
-                return None, f"failed to decode Avro message: {error}"
-
-        for batch in batches:
-            yield pd.DataFrame([one(p) for p in batch], columns=["json", "error"])
-
-    return read
+    return from_avro(payload, schema, {"mode": "PERMISSIVE"})
 
 
 def decode_avro(
@@ -162,84 +36,15 @@ def decode_avro(
     it is a row with a null body and no error."""
     payload = F.when(~is_empty(F.col(value)), wire.body(F.col(value), wire_format))
     framed = df.withColumn("_payload", payload)
-    if has_spark_avro(df.sparkSession):
-        from pyspark.sql.avro.functions import from_avro
-
-        decoded = framed.withColumn("body", from_avro("_payload", schema, {"mode": "PERMISSIVE"}))
-        failed = F.col("_payload").isNotNull() & F.col("body").isNull()
-        error = F.when(failed, "avro decoding failed: failed to decode Avro message")
-        return decoded.withColumn("error", error).drop("_payload")
-    read = framed.withColumn("_read", _json_udf(schema)("_payload"))
-    return read.select(
-        *df.columns,
-        F.from_json("_read.json", spark_type(json.loads(schema)), {"allowNonNumericNumbers": "true"}).alias("body"),
-        F.concat(F.lit("avro decoding failed: "), F.col("_read.error")).alias("error"),
-    )
-
-
-def _writer(schema, names: dict) -> Callable[[object], bytes]:
-    def long(n) -> bytes:
-        n = int(n)
-        n = (n << 1) ^ (n >> 63)
-        out = bytearray()
-        while n > 127:
-            out.append(n & 127 | 128)
-            n >>= 7
-        return bytes([*out, n])
-
-    if isinstance(schema, list):
-        members = [_writer(s, names) for s in schema]
-        null = schema.index("null") if "null" in schema else None
-        other = next(i for i, s in enumerate(schema) if s != "null")
-        return lambda v: long(null) if v is None else long(other) + members[other](v)
-    if isinstance(schema, dict):
-        kind = schema["type"]
-        if kind == "record":
-            fields: list = []
-            _name(names, schema, lambda v: b"".join(w(v.get(n)) for n, w in fields))
-            fields += [(f["name"], _writer(f["type"], names)) for f in schema["fields"]]
-            return names[schema["name"]]
-        if kind == "enum":
-            return _name(names, schema, lambda v: long(schema["symbols"].index(v)))
-        if kind == "array":
-            item = _writer(schema["items"], names)
-            return lambda v: (long(len(v)) + b"".join(map(item, v)) if v else b"") + b"\0"
-        if kind == "map":
-            value, text = _writer(schema["values"], names), _writer("string", names)
-            return (
-                lambda v: (long(len(v)) + b"".join(text(k) + value(x) for k, x in v.items()) if v else b"") + b"\0"
-            )
-        return _writer(kind, names)
-
-    def sized(data: bytes) -> bytes:
-        return long(len(data)) + data
-
-    simple = {
-        "null": lambda v: b"",
-        "boolean": lambda v: b"\1" if v else b"\0",
-        "int": long,
-        "long": long,
-        "float": lambda v: binary.pack("<f", v),
-        "double": lambda v: binary.pack("<d", v),
-        "string": lambda v: sized(v.encode()),
-        "bytes": lambda v: sized(v.encode()),
-    }
-    return simple[schema] if schema in simple else names[schema]
+    decoded = framed.withColumn("body", avro_body(F.col("_payload"), schema, df.sparkSession))
+    failed = F.col("_payload").isNotNull() & F.col("body").isNull()
+    return decoded.withColumn("error", F.when(failed, FAILED)).drop("_payload")
 
 
 def encode_avro(record: Column, schema: str, spark: SparkSession, schema_id: int | None = None) -> Column:
     """A struct column to Avro bytes, framed when ``schema_id`` is given."""
-    if has_spark_avro(spark):
-        from pyspark.sql.avro.functions import to_avro
-
-        payload = to_avro(record, schema)
-    else:
-
-        @F.pandas_udf("binary")
-        def write(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            writer = _writer(json.loads(schema), {})
-            for batch in batches:
-                yield batch.map(lambda text: writer(json.loads(text)))
+    require_avro(spark)
+    from pyspark.sql.avro.functions import to_avro
 
-        payload = write(F.to_json(record, {"ignoreNullFields": "false"}))
+    payload = to_avro(record, schema)
     return payload if schema_id is None else wire.with_header(schema_id, payload)

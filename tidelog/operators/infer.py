@@ -47,25 +47,25 @@ def infer_fields(
     ``last_type`` is the type of the newest non-null value. Only partial
     aggregates per path are shuffled.
     """
-    order = message_order(F.col("timestamp"), F.col("partition"), F.col("offset"))
+    order = message_order(F.col("timestamp"), F.col("offset"))
     items = text_leaves(F.col(value), options, prefix, wrap_array=not prefix)
-    leaves = df.select(order.alias("_at"), F.inline_outer(items).alias("path", "depth", "node"))
+    place = [F.col("timestamp").alias("_time"), F.col("partition").alias("_partition"), order.alias("_at")]
+    leaves = df.select(*place, F.inline_outer(items).alias("path", "depth", "node"))
     typed = leaves.filter(F.col("path").isNotNull()).select(
-        "_at", "path", "depth", V.leaf_type(F.col("node")).alias("kind")
+        "_time", "_partition", "_at", "path", "depth", V.leaf_type(F.col("node")).alias("kind")
     )
-    # per path and type first: numbers only, so a hash aggregate without a sort
-    by_type = typed.groupBy("path", "kind").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.max("_at").alias("last"),
-        F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("depth"))).alias("depths"),
+    # per path, type and partition first: numbers only, so a hash aggregate without a sort
+    by_type = typed.groupBy("path", "kind", "depth", "_partition").agg(
+        F.count(F.lit(1)).alias("rows"), F.max("_time").alias("_time"), F.max("_at").alias("_at")
     )
+    last = F.struct("_time", "_partition", "_at")
     known = F.col("kind") != V.NULL
     stats = by_type.groupBy("path").agg(
         F.bit_or(_bit(F.col("kind"))).alias("mask"),
         F.sum("rows").alias("messages"),
         F.sum(F.when(known, 0).otherwise(F.col("rows"))).alias("nulls"),
-        F.max_by("kind", F.when(known, F.col("last"))).alias("last_type"),
-        F.bit_or("depths").alias("depths"),
+        F.max_by("kind", F.when(known, last)).alias("last_type"),
+        F.sort_array(F.collect_set("depth")).alias("depths"),
     )
     return stats.select(
         "path",
@@ -78,18 +78,11 @@ def infer_fields(
     )
 
 
-def field_list(inferred: DataFrame, cap: int) -> list[FieldSpec]:
-    """At most ``cap`` fields, the first in byte order of the path."""
-    rows = inferred.orderBy("path").limit(cap).collect()
-    return [
-        FieldSpec(
-            r["path"],
-            r["type"],
-            r["mixed"],
-            tuple(d for d in range(1, 32) if r["depths"] >> d & 1),
-        )
-        for r in rows
-    ]
+def field_list(inferred: DataFrame) -> list[FieldSpec]:
+    """All fields of the topic in byte order of the path; the field cap is one
+    of each message, so a topic may have more."""
+    rows = inferred.orderBy("path").collect()
+    return [FieldSpec(r["path"], r["type"], r["mixed"], tuple(r["depths"])) for r in rows]
 
 
 def schema_groups(

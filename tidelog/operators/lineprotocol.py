@@ -8,6 +8,7 @@ keeps the regular expressions from being evaluated twice.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -25,7 +26,7 @@ RESERVED = ("Time", "_measurement", "_field", "value", "value_str", "partition",
 NO_LINES = "lineprotocol payload produced no parseable lines"
 OUT_OF_RANGE = "timestamp out of range"
 
-_TO_END = 1 << 30
+_TO_END = (1 << 31) - 1
 _EMPTY_MAP = "map<string,string>"
 # The two encodings of a line between the explodes, told apart by the start:
 #   MARK, then measurement, tags, fields and timestamp separated by MARK (all
@@ -298,19 +299,25 @@ def lp_long(df: DataFrame, options: LineOptions = LineOptions()) -> DataFrame:
 def lp_tag_keys(
     df: DataFrame, options: LineOptions = LineOptions(), cap: int = DEFAULT_CAP
 ) -> list[str]:
-    """Tag keys in first-seen order, at most ``cap`` of them.
+    """Tag keys in first-seen order, at most ``cap`` of them; a warning tells
+    if there are more.
 
     First seen is by (timestamp, partition, offset, line, position). Lines are
     first reduced to their distinct key lists, which are few, so what is
     exploded and shuffled does not grow with the topic.
     """
     lines = filtered_lines(df, options).filter(F.size("tags") > 0)
-    at = message_order(F.col("timestamp"), F.col("partition"), F.col("offset"))
-    lists = lines.groupBy(F.map_keys("tags").alias("keys"), "line").agg(F.min(at).alias("at"))
-    keys = lists.select("at", "line", F.posexplode("keys").alias("position", "key"))
-    first = F.min(F.struct("at", "line", "position"))
-    rows = keys.groupBy("key").agg(first.alias("first")).orderBy("first").limit(cap).collect()
-    return [r["key"] for r in rows]
+    at = message_order(F.col("timestamp"), F.col("offset"))
+    lists = lines.groupBy(F.map_keys("tags").alias("keys"), "line", "partition").agg(
+        F.min("timestamp").alias("time"), F.min(at).alias("at")
+    )
+    place = ["time", "partition", "at", "line", "position"]
+    keys = lists.select(*place[:-1], F.posexplode("keys").alias("position", "key"))
+    first = keys.groupBy("key").agg(F.min(F.struct(*place)).alias("first"))
+    rows = first.orderBy("first").limit(cap + 1).collect()
+    if len(rows) > cap:
+        warnings.warn(f"more than {cap} tag keys; the others are left out", stacklevel=2)
+    return [r["key"] for r in rows[:cap]]
 
 
 def tag_column_names(keys: Sequence[str]) -> dict[str, str]:

@@ -7,12 +7,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelog.functions.columns import message_order, ref
-from tidelog.session import ensure_checkpoint_dir
 
-# a series longer than this is numbered in pieces instead of in one task
-WINDOW_ROWS = 1_000_000
+# rows whose totals one task of the moving mean adds up
+PIECE_ROWS = 4096
 
 
 def select_fields(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -35,12 +35,20 @@ def reduce_last(
     """Latest non-null value by ``order``."""
     kinds = tuple(df.schema[c].dataType.simpleString() for c in order)
     columns = [ref(c) for c in order]
+    keys = [ref(c).alias(f"_k{i}") for i, c in enumerate(by)]
+    known = ref(value).isNotNull()
     if kinds == ("timestamp", "int", "bigint"):
-        at = message_order(*columns)
+        # within a partition first, by a number; then among the partitions
+        time, partition, offset = columns
+        at = F.when(known, message_order(time, offset))
+        latest = df.groupBy(*keys, partition.alias("_p")).agg(
+            F.max_by(ref(value), at).alias("_v"), F.max(F.when(known, time)).alias("_t"), F.max(at).alias("_at")
+        )
+        place = F.when(F.col("_at").isNotNull(), F.struct("_t", "_p", "_at"))
+        last = latest.groupBy(*[f"_k{i}" for i in range(len(by))]).agg(F.max_by("_v", place).alias("last"))
     else:
-        at = F.struct(*columns)
-    latest = F.max_by(ref(value), F.when(ref(value).isNotNull(), at))
-    return df.groupBy(*[ref(c) for c in by]).agg(latest.alias("last"))
+        last = df.groupBy(*keys).agg(F.max_by(ref(value), F.when(known, F.struct(*columns))).alias("last"))
+    return last.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(by)], "last")
 
 
 def reduce_mean(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -51,134 +59,103 @@ def footer_sum(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     return df.groupBy(*[ref(c) for c in by]).agg(F.sum(ref(value)).alias("sum"))
 
 
+def _stretch(df: DataFrame, column: str) -> Column:
+    """A coarse step of an ordering column: an hour, or 4,096 of a number."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.TimestampType):
+        return F.floor(F.unix_micros(ref(column)) / F.lit(3_600_000_000))
+    if isinstance(kind, T.NumericType):
+        return F.floor(ref(column) / F.lit(PIECE_ROWS))
+    return F.lit(0).cast("bigint")
+
+
+def _same(columns: Sequence[str], mark: str) -> Column:
+    """Null-safe equality of columns with those of a side renamed by ``mark``."""
+    test = F.lit(True)
+    for c in columns:
+        test = test & F.col(c).eqNullSafe(F.col(f"{c}{mark}"))
+    return test
+
+
 def moving_mean(
     df: DataFrame,
     value: str,
     series: Sequence[str],
     order: Sequence[str] = ("time", "partition", "offset"),
     fraction: float = 0.1,
-    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """Trailing mean over ``fraction`` of each series' rows (at least one row),
     added as ``moving_mean``; ``order`` must be unique within a series.
 
-    The window length differs per series, which a Spark frame cannot express,
-    so the mean is a difference of running totals: row i against row i - w of
-    the same series. Each row is sent to its own position and to position
-    i + w, where the two meet in groups of at most two.
+    A series is cut into blocks as long as its window. A window is then the
+    end of one block and the beginning of the next: two totals that are added,
+    so no value is taken off again and none can spoil what follows it. Rows
+    are numbered from counts per hour (or per step of a number), and totals
+    are taken in pieces of ``PIECE_ROWS``, so no series is one task.
     """
-    columns = df.columns
-    longest = df.groupBy(*[ref(c) for c in series]).count().agg(F.max("count")).collect()[0][0]
-    numbered = _numbered(df, value, series, order, (longest or 0) > window_rows)
-    width = F.greatest(F.lit(1), F.round(F.col("_n") * fraction).cast("bigint"))
-    totals = F.struct(*[F.col(c) for c in numbered.columns if c.startswith("_t_")])
-    own = F.struct(*[ref(c) for c in columns])
-    sent = numbered.select(
-        *[ref(c).alias(f"_s{i}") for i, c in enumerate(series)],
-        F.inline(
-            F.array(
-                F.struct(
-                    F.col("_row").alias("_at"), own.alias("_own"), totals.alias("_now"),
-                    F.lit(None).cast(_TOTALS).alias("_lag"),
-                ),
-                F.struct(
-                    (F.col("_row") + width).alias("_at"), F.lit(None).alias("_own"),
-                    F.lit(None).cast(_TOTALS).alias("_now"), totals.alias("_lag"),
-                ),
-            )
-        ),
-    )
-    met = sent.groupBy(*[f"_s{i}" for i in range(len(series))], "_at").agg(
-        *[F.first(c, ignorenulls=True).alias(c) for c in ("_own", "_now", "_lag")]
-    )
-
-    def inside(name: str) -> Column:
-        now, lag = F.col("_now")[f"_t_{name}"], F.col("_lag")[f"_t_{name}"]
-        return now - F.coalesce(lag, F.lit(0))
-
-    finite = F.when(inside("count") > 0, inside("sum") / inside("count"))
-    mean = (
-        F.when((inside("nan") > 0) | ((inside("up") > 0) & (inside("down") > 0)), float("nan"))
-        .when(inside("up") > 0, float("inf"))
-        .when(inside("down") > 0, float("-inf"))
-        .otherwise(finite)
-    )
-    return met.filter(F.col("_own").isNotNull()).select("_own.*", mean.alias("moving_mean"))
-
-
-_TOTALS = "struct<_t_sum:double,_t_count:bigint,_t_nan:bigint,_t_up:bigint,_t_down:bigint>"
-
-
-def _parts(value: Column) -> dict[str, Column]:
-    """What to total: infinities and NaN are counted apart, because they would
-    never leave a running sum."""
-    up, down, nan = value == float("inf"), value == float("-inf"), F.isnan(value)
-    finite = value.isNotNull() & ~up & ~down & ~nan
-    return {
-        "sum": F.when(finite, value.cast("double")).otherwise(0.0),
-        "count": F.when(finite, 1).otherwise(0),
-        "nan": F.when(nan, 1).otherwise(0),
-        "up": F.when(up, 1).otherwise(0),
-        "down": F.when(down, 1).otherwise(0),
-    }
-
-
-def _numbered(
-    df: DataFrame, value: str, series: Sequence[str], order: Sequence[str], split: bool
-) -> DataFrame:
-    """Add row number ``_row``, series size ``_n`` and running totals ``_t_*``."""
-    keys = [ref(c) for c in series]
-    by_order = [ref(c) for c in order]
-    parts = _parts(ref(value))
-    if not split:
-        whole = Window.partitionBy(*keys)
-        running = whole.orderBy(*by_order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.select(
-            "*",
-            F.count(F.lit(1)).over(whole).alias("_n"),
-            F.count(F.lit(1)).over(running).alias("_row"),
-            *[F.sum(c).over(running).alias(f"_t_{n}") for n, c in parts.items()],
-        )
-
-    # A long series is cut into ranges of its order, totals are taken per
-    # range, and each range starts from the totals of the ranges before it.
-    # The cut must not change between its two uses, hence the checkpoint.
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    ranged = df.repartitionByRange(*keys, *by_order).withColumn("_range", F.spark_partition_id())
-    ranged = ranged.checkpoint()
-    per_range = ranged.groupBy(*keys, "_range").agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.sum(c).alias(f"_p_{n}") for n, c in parts.items()]
+    keys = [f"_k{i}" for i in range(len(series))]
+    base = df.select(
+        F.struct(*[ref(c) for c in df.columns]).alias("_own"),
+        *[ref(c).alias(k) for c, k in zip(series, keys, strict=True)],
+        *[ref(c).alias(f"_o{i}") for i, c in enumerate(order)],
+        _stretch(df, order[0]).alias("_step"),
+        F.coalesce(ref(value).cast("double"), F.lit(0.0)).alias("_v"),
+        F.when(ref(value).isNotNull(), 1).otherwise(0).cast("bigint").alias("_c"),
     )
+    by_order = [f"_o{i}" for i in range(len(order))]
     whole = Window.partitionBy(*keys)
-    earlier = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-
-    def before(column: str) -> Column:
-        return F.coalesce(F.sum(column).over(earlier), F.lit(0))
-
-    starts = per_range.select(
-        *[k.alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col("_range").alias("_r"),
+    steps = base.groupBy(*keys, "_step").agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = whole.orderBy("_step").rowsBetween(Window.unboundedPreceding, -1)
+    steps = steps.select(
+        *[F.col(c).alias(f"{c}_r") for c in (*keys, "_step")],
         F.sum("_rows").over(whole).alias("_n"),
-        before("_rows").alias("_b_row"),
-        *[before(f"_p_{n}").alias(f"_b_{n}") for n in parts],
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
+    )
+    inside = Window.partitionBy(*keys, "_step").orderBy(*by_order)
+    rows = base.withColumn("_at", F.row_number().over(inside) - 1)
+    rows = rows.join(steps, _same([*keys, "_step"], "_r"))
+    rows = rows.withColumn("_at", F.col("_at") + F.col("_before"))
+    rows = rows.withColumn("_w", F.greatest(F.lit(1), F.round(F.col("_n") * fraction).cast("bigint")))
+    rows = rows.select(
+        "_own", *keys, "_at", "_w", "_n", "_v", "_c",
+        F.expr("_at div _w").alias("_block"), (F.col("_at") % F.col("_w")).alias("_place"),
+    ).withColumn("_piece", F.floor(F.col("_place") / PIECE_ROWS))
+    pieces = rows.groupBy(*keys, "_block", "_piece").agg(F.sum("_v").alias("_pv"), F.sum("_c").alias("_pc"))
+    block = Window.partitionBy(*keys, "_block").orderBy("_piece")
+    ahead, behind = block.rowsBetween(Window.unboundedPreceding, -1), block.rowsBetween(1, Window.unboundedFollowing)
+    pieces = pieces.select(
+        *[F.col(c).alias(f"{c}_r") for c in (*keys, "_block", "_piece")],
+        *[
+            F.coalesce(F.sum(c).over(side), F.lit(0)).alias(f"{c}{name}")
+            for c in ("_pv", "_pc")
+            for side, name in ((ahead, "_a"), (behind, "_b"))
+        ],
     )
-    match = F.col("_range") == F.col("_r")
-    for i, k in enumerate(keys):
-        match = match & k.eqNullSafe(F.col(f"_k{i}"))
-    running = (
-        Window.partitionBy(*keys, "_range")
-        .orderBy(*by_order)
-        .rowsBetween(Window.unboundedPreceding, 0)
+    piece = Window.partitionBy(*keys, "_block", "_piece").orderBy("_at")
+    begun, left = piece.rowsBetween(Window.unboundedPreceding, 0), piece.rowsBetween(0, Window.unboundedFollowing)
+    for c in ("_v", "_c"):
+        rows = rows.withColumn(f"{c}p", F.sum(c).over(begun)).withColumn(f"{c}s", F.sum(c).over(left))
+    rows = rows.join(pieces, _same([*keys, "_block", "_piece"], "_r"))
+    start = F.struct((F.col("_pv_a") + F.col("_vp")).alias("v"), (F.col("_pc_a") + F.col("_cp")).alias("c"))
+    end = F.struct((F.col("_vs") + F.col("_pv_b")).alias("v"), (F.col("_cs") + F.col("_pc_b")).alias("c"))
+    total = "struct<v:double,c:bigint>"
+    # a row's end of its block is wanted by the row that closes the window it opens
+    wanted = (F.col("_place") > 0) & (F.col("_at") + F.col("_w") <= F.col("_n"))
+    own = F.struct(
+        F.col("_at"), F.col("_own"), start.cast(total).alias("_start"), F.lit(None).cast(total).alias("_end")
     )
-    within = ranged.select(
-        "*",
-        F.count(F.lit(1)).over(running).alias("_w_row"),
-        *[F.sum(c).over(running).alias(f"_w_{n}") for n, c in parts.items()],
+    sent = F.struct(
+        (F.col("_at") + F.col("_w") - 1).alias("_at"),
+        F.lit(None).cast(rows.schema["_own"].dataType).alias("_own"),
+        F.lit(None).cast(total).alias("_start"),
+        end.cast(total).alias("_end"),
     )
-    return within.join(starts, match).select(
-        *[ref(c) for c in df.columns],
-        "_n",
-        (F.col("_w_row") + F.col("_b_row")).alias("_row"),
-        *[(F.col(f"_w_{n}") + F.col(f"_b_{n}")).alias(f"_t_{n}") for n in parts],
+    both = F.when(wanted, F.array(own, sent)).otherwise(F.array(own))
+    met = (
+        rows.select(*keys, F.inline(both))
+        .groupBy(*keys, "_at")
+        .agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("_own", "_start", "_end")])
     )
+    count = F.col("_start.c") + F.coalesce(F.col("_end.c"), F.lit(0))
+    summed = F.col("_start.v") + F.coalesce(F.col("_end.v"), F.lit(0.0))
+    return met.select("_own.*", F.when(count > 0, summed / count).alias("moving_mean"))

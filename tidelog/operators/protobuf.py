@@ -1,53 +1,39 @@
-"""Protobuf payloads to a typed struct, described by a descriptor set.
+"""Protobuf payloads to a typed struct, by Spark's own Protobuf functions.
 
-With the spark-protobuf package this is ``from_protobuf``. Without it a small
-Arrow UDF over ``google.protobuf`` (when installed) prints the messages as JSON
-text and ``from_json`` types them.
+They come with the ``spark-protobuf`` package; without it these functions
+raise. Names and index paths of messages are read from the descriptor set on
+the driver, for which ``google.protobuf`` is needed.
 """
 
 from __future__ import annotations
 
-import json
-from base64 import b64encode
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidelog.functions import wire
 from tidelog.functions.columns import is_empty
-from tidelog.operators.flatten import FlattenOptions
-from tidelog.operators.structs import flatten_struct
-from tidelog.sources.schemas import MAX_SCHEMAS
 
-try:
-    from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
-    from google.protobuf.descriptor import FieldDescriptor as FD
-except ImportError:  # the package is optional
-    descriptor_pb2 = None
+FAILED = "protobuf decoding failed"
+BAD_INDEX = "protobuf decoding failed: bad message index"
+NO_MESSAGE = "protobuf decoding failed: protobuf message index out of range"
 
 
-def has_spark_protobuf(spark: SparkSession) -> bool:
-    name = "org.apache.spark.sql.protobuf.ProtobufDataToCatalyst"
+def require_protobuf(spark: SparkSession) -> None:
     try:
-        return spark._jvm.java.lang.Class.forName(name) is not None
-    except Exception:
-        return False
+        spark._jvm.java.lang.Class.forName("org.apache.spark.sql.protobuf.ProtobufDataToCatalyst")
+    except Exception as missing:
+        raise RuntimeError("Protobuf needs the spark-protobuf package on the session's class path") from missing
+
 
+def _file(descriptor_set: bytes):
+    from google.protobuf import descriptor_pb2
 
-def _files(descriptor_set: bytes):
-    files = descriptor_pb2.FileDescriptorSet.FromString(descriptor_set)
-    pool = descriptor_pool.DescriptorPool()
-    for f in files.file:
-        pool.Add(f)
-    return pool, files.file[-1]
+    return descriptor_pb2.FileDescriptorSet.FromString(descriptor_set).file[-1]
 
 
 def message_at(descriptor_set: bytes, path: tuple[int, ...] = (0,)) -> str:
     """Full name of the message at an index path; (0,) is the default one."""
-    _, file = _files(descriptor_set)
+    file = _file(descriptor_set)
     messages, names = file.message_type, [file.package] if file.package else []
     for index in path:
         if not 0 <= index < len(messages):
@@ -66,85 +52,27 @@ def message_paths(descriptor_set: bytes) -> list[tuple[int, ...]]:
             found += [(*prefix, i), *below(message.nested_type, (*prefix, i))]
         return found
 
-    return below(_files(descriptor_set)[1].message_type, ())
-
-
-def _descriptor(descriptor_set: bytes, name: str):
-    return _files(descriptor_set)[0].FindMessageTypeByName(name)
-
-
-def spark_type(descriptor) -> T.StructType:
-    return T.StructType([T.StructField(f.name, _field_type(f)) for f in descriptor.fields])
-
-
-def _is_map(field) -> bool:
-    kind = field.message_type
-    return kind is not None and kind.GetOptions().map_entry
-
-
-def _field_type(field) -> T.DataType:
-    if _is_map(field):
-        return T.MapType(T.StringType(), _single_type(field.message_type.fields_by_name["value"]))
-    single = _single_type(field)
-    return T.ArrayType(single) if field.is_repeated else single
-
-
-def _single_type(field) -> T.DataType:
-    if field.message_type is not None:
-        return spark_type(field.message_type)
-    if field.type in (FD.TYPE_UINT64, FD.TYPE_FIXED64, FD.TYPE_UINT32, FD.TYPE_FIXED32):
-        return T.DecimalType(20, 0)
-    if field.type in (FD.TYPE_STRING, FD.TYPE_BYTES, FD.TYPE_ENUM):
-        return T.StringType()
-    if field.type in (FD.TYPE_DOUBLE, FD.TYPE_FLOAT):
-        return T.DoubleType()
-    return T.BooleanType() if field.type == FD.TYPE_BOOL else T.LongType()
-
-
-def _to_plain(message) -> dict:
-    out: dict = {}
-    for field in message.DESCRIPTOR.fields:
-        value = getattr(message, field.name)
-        if _is_map(field):
-            kind = field.message_type.fields_by_name["value"]
-            out[field.name] = {str(k): _single(kind, value[k]) for k in value} or None
-        elif field.is_repeated:
-            out[field.name] = [_single(field, v) for v in value] or None
-        elif field.has_presence and not message.HasField(field.name):
-            out[field.name] = None
-        else:
-            out[field.name] = _single(field, value)
-    return out
-
+    return below(_file(descriptor_set).message_type, ())
 
-def _single(field, value):
-    if field.message_type is not None:
-        return _to_plain(value)
-    if field.type == FD.TYPE_BYTES:
-        return b64encode(value).decode()
-    if field.type == FD.TYPE_ENUM:
-        known = field.enum_type.values_by_number.get(value)
-        return known.name if known else str(value)
-    return value
 
+def protobuf_body(payload: Column, descriptor_set: bytes, message: str, spark: SparkSession) -> Column:
+    """The message of a payload without header; null where it cannot be read."""
+    require_protobuf(spark)
+    from pyspark.sql.protobuf.functions import from_protobuf
 
-def _json_udf(descriptor_set: bytes, name: str):
-    @F.pandas_udf("json string, error string")
-    def read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        kind = message_factory.GetMessageClass(_descriptor(descriptor_set, name))
+    options = {"mode": "PERMISSIVE", "emit.default.values": "true", "upcast.unsigned.ints": "true"}
+    return from_protobuf(payload, message, options=options, binaryDescriptorSet=descriptor_set)
 
-        def one(payload):
-            if payload is None:
-                return None, None
-            try:
-                return json.dumps(_to_plain(kind.FromString(payload)), ensure_ascii=False), None
-            except Exception as error:  # DecodeError has no stable home
-                return None, f"failed to decode protobuf message: {error}"
 
-        for batch in batches:
-            yield pd.DataFrame([one(p) for p in batch], columns=["json", "error"])
-
-    return read
+def framed_payload(value: Column, wire_format: str = "auto") -> tuple[Column, Column, Column]:
+    """Payload behind header and index, the index path (null without header),
+    and whether the index cannot be read."""
+    framed = ~is_empty(value) & wire.has_header(value, wire_format)
+    after = wire.body(value, wire_format)
+    index = F.when(framed, wire.message_index(after))
+    bad = framed & index["path"].isNull()
+    skipped = F.substring(after, F.coalesce(index["skip"], F.lit(0)) + 1, F.lit((1 << 31) - 1))
+    return F.when(~is_empty(value) & ~bad, skipped), index["path"], bad
 
 
 def decode_protobuf(
@@ -153,92 +81,19 @@ def decode_protobuf(
     message: str | None = None,
     wire_format: str = "auto",
     value: str = "value",
-    index_path: tuple[int, ...] | None = None,
 ) -> DataFrame:
     """Add the struct ``body`` and ``error``; an empty payload is not decoded.
 
-    ``message`` (or ``index_path``) names the type to read; the default is the
-    first message of the file. A framed payload must carry that type's index
-    path, otherwise it is an error row: see :func:`decode_protobuf_topic` for
-    topics that mix types.
-    """
-    name = message or message_at(descriptor_set, index_path or (0,))
-    filled = ~is_empty(F.col(value))
-    framed = filled & wire.has_header(F.col(value), wire_format)
-    after = wire.body(F.col(value), wire_format)
-    indexed = df.withColumn("_index", F.when(framed, wire.message_index(after)))
-    ok = ~framed | F.col("_index").isNotNull()
-    skipped = F.substring(after, F.coalesce(F.col("_index.skip"), F.lit(0)) + 1, F.lit(1 << 30))
-    ready = indexed.withColumn("_payload", F.when(filled & ok, skipped)).withColumn(
-        "_unread", filled & ~ok
-    )
-    header_error = F.when(F.col("_unread"), "protobuf decoding failed: bad message index")
-    if has_spark_protobuf(df.sparkSession):
-        from pyspark.sql.protobuf.functions import from_protobuf
-
-        options = {"mode": "PERMISSIVE", "emit.default.values": "true"}
-        body = from_protobuf("_payload", name, options=options, binaryDescriptorSet=descriptor_set)
-        decoded = ready.withColumn("body", body)
-        failed = F.col("_payload").isNotNull() & F.col("body").isNull()
-        error = F.coalesce(header_error, F.when(failed, "protobuf decoding failed"))
-        return decoded.select(*df.columns, "body", error.alias("error"))
-    if descriptor_pb2 is None:
-        raise RuntimeError("decoding Protobuf needs spark-protobuf or google.protobuf")
-    read = ready.withColumn("_read", _json_udf(descriptor_set, name)("_payload"))
-    failed = F.concat(F.lit("protobuf decoding failed: "), F.col("_read.error"))
-    return read.select(
-        *df.columns,
-        F.from_json("_read.json", spark_type(_descriptor(descriptor_set, name))).alias("body"),
-        F.coalesce(header_error, failed).alias("error"),
-    )
-
-
-def decode_protobuf_topic(
-    df: DataFrame,
-    descriptor_set: bytes,
-    wire_format: str = "auto",
-    options: FlattenOptions = FlattenOptions(),
-    prefix: str = "",
-) -> DataFrame:
-    """Decode a topic whose frames may name different messages of one file.
-
-    The distinct index paths are few (the messages of a file); each is decoded
-    with its own type, flattened, and the results are united by column name. A
-    stream gets a branch for every message of the file.
+    ``message`` names the type to read; the default is the first message of
+    the file.
     """
-    value = F.col("value")
-    framed = ~is_empty(value) & wire.has_header(value, wire_format)
-    path = F.when(framed, wire.message_index(wire.body(value, wire_format))["path"])
-    if df.isStreaming:
-        found_paths = {(), *message_paths(descriptor_set)}
-    else:
-        rows = df.select(path.alias("path")).distinct().limit(MAX_SCHEMAS + 1).collect()
-        found_paths = {tuple(r["path"]) if r["path"] else () for r in rows}
-    if len(found_paths) > MAX_SCHEMAS:
-        raise ValueError(f"more than {MAX_SCHEMAS} message index paths in one topic")
-    marked = df.withColumn("_path", path)
-    result = None
-    for found in sorted(found_paths):
-        same = F.array(*[F.lit(i).cast("bigint") for i in found]) if found else F.lit(None)
-        part = marked.filter(F.col("_path").eqNullSafe(same)).drop("_path")
-        try:
-            decoded = decode_protobuf(
-                part, descriptor_set, wire_format=wire_format, index_path=found or None
-            )
-            branch = flatten_struct(decoded, options=options, prefix=prefix)
-        except IndexError as missing:
-            branch = part.withColumn("error", F.lit(f"protobuf decoding failed: {missing}"))
-        result = branch if result is None else result.unionByName(branch, allowMissingColumns=True)
-    if df.isStreaming:
-        known = [F.array(*[F.lit(i).cast("bigint") for i in p]) for p in found_paths if p]
-        stray = marked.filter(F.col("_path").isNotNull())
-        for p in known:
-            stray = stray.filter(~F.col("_path").eqNullSafe(p))
-        error = F.lit("protobuf decoding failed: protobuf message index out of range")
-        stray = stray.drop("_path").withColumn("error", error)
-        result = result.unionByName(stray, allowMissingColumns=True)
-    # a topic without messages has no types to show
-    return df.withColumn("error", F.lit(None).cast("string")) if result is None else result
+    name = message or message_at(descriptor_set)
+    payload, _, bad = framed_payload(F.col(value), wire_format)
+    ready = df.withColumn("_payload", payload).withColumn("_bad", bad)
+    decoded = ready.withColumn("body", protobuf_body(F.col("_payload"), descriptor_set, name, df.sparkSession))
+    failed = F.col("_payload").isNotNull() & F.col("body").isNull()
+    error = F.when(F.col("_bad"), BAD_INDEX).when(failed, FAILED)
+    return decoded.withColumn("error", error).drop("_payload", "_bad")
 
 
 def encode_protobuf(
@@ -250,20 +105,8 @@ def encode_protobuf(
     index: int = 0,
 ) -> Column:
     """A struct column to Protobuf bytes, framed when ``schema_id`` is given."""
-    if has_spark_protobuf(spark):
-        from pyspark.sql.protobuf.functions import to_protobuf
-
-        payload = to_protobuf(record, message, binaryDescriptorSet=descriptor_set)
-    else:
-        from google.protobuf import json_format
-
-        @F.pandas_udf("binary")
-        def write(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            kind = message_factory.GetMessageClass(_descriptor(descriptor_set, message))
-            for batch in batches:
-                yield batch.map(
-                    lambda text: json_format.Parse(text, kind()).SerializeToString()
-                )
+    require_protobuf(spark)
+    from pyspark.sql.protobuf.functions import to_protobuf
 
-        payload = write(F.to_json(record))
+    payload = to_protobuf(record, message, binaryDescriptorSet=descriptor_set)
     return payload if schema_id is None else wire.with_header(schema_id, payload, F.lit(index))

@@ -16,7 +16,6 @@ PRECISIONS = ("auto", "ns", "us", "ms", "s")
 SCHEMA_SOURCES = ("registry", "inline")
 SHAPES = ("long", "wide", "variant")
 DEFAULT_LAST_N = 100
-MAX_LAST_N = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -69,8 +68,8 @@ class TopicQuery:
 
 
 def effective_last_n(n: int) -> int:
-    """Zero or less means the default; the upper bound is one million."""
-    return DEFAULT_LAST_N if n <= 0 else min(n, MAX_LAST_N)
+    """Zero or less means the default; there is no upper bound."""
+    return DEFAULT_LAST_N if n <= 0 else n
 
 
 def _one_of(name: str, value: object, allowed: tuple[str, ...]) -> None:

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import partial, reduce
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions import wire
-from tidelog.functions.columns import ref
-from tidelog.operators import decode, naming
-from tidelog.operators.avro import decode_avro
+from tidelog.functions.columns import is_empty, ref
+from tidelog.operators import decode, naming, protobuf
+from tidelog.operators.avro import FAILED as AVRO_FAILED
+from tidelog.operators.avro import avro_body
 from tidelog.operators.flatten import (
     FlattenOptions,
     explode_leaves,
@@ -21,8 +22,6 @@ from tidelog.operators.flatten import (
 )
 from tidelog.operators.infer import field_list, infer_fields
 from tidelog.operators.lineprotocol import LineOptions, lp_long, lp_tag_keys, lp_wide
-from tidelog.operators.protobuf import decode_protobuf, decode_protobuf_topic
-from tidelog.operators.structs import flatten_struct
 from tidelog.operators.wide import (
     FieldSpec,
     column_name,
@@ -32,8 +31,8 @@ from tidelog.operators.wide import (
 )
 from tidelog.plans.query import TopicQuery
 from tidelog.session import configure
-from tidelog.sources.offsets import last_n, select_partitions
-from tidelog.sources.schemas import decode_by_schema, latest_schema
+from tidelog.sources.offsets import after_high_water, last_n, select_partitions
+from tidelog.sources.schemas import decode_by_schema, latest_schema, topic_schemas
 from tidelog.sources.topic import TopicSource, drop_control_records, read_topic
 
 
@@ -89,6 +88,10 @@ def messages(
     df = select_partitions(df, query.partition)
     if query.offset == "last_n":
         df = last_n(df, query.last_n, bounds)
+    elif query.offset == "latest" and not df.isStreaming:
+        if bounds is None:
+            raise ValueError("latest reads what is newer than given offset bounds; give them or use earliest")
+        df = after_high_water(df, bounds)
     return drop_control_records(df) if query.drop_control else df
 
 
@@ -108,7 +111,7 @@ def _key_specs(df: DataFrame, query: TopicQuery, given: Sequence[FieldSpec] | No
         return []
     if given is None:
         options = query.flatten
-        given = field_list(infer_fields(df, "key", options, prefix="key"), options.field_cap)
+        given = field_list(infer_fields(df, "key", options, prefix="key"))
     return in_column_order(given)
 
 
@@ -174,7 +177,7 @@ def json_wide(
     payload is judged a second time only if that pass met something odd."""
     if fields is None:
         options = query.flatten
-        fields = field_list(infer_fields(df, "value", options), options.field_cap)
+        fields = field_list(infer_fields(df, "value", options))
     reader = wide_reader(fields)
     key = _Key(df, query, key_fields)
     parsed = df.select("*", reader.parsed(F.col("value")).alias("_record"), *key.parsed())
@@ -240,6 +243,23 @@ def _line_protocol(df: DataFrame, query: TopicQuery, tag_keys: Sequence[str] | N
 _BODY = "\u0001body."
 
 
+def _message(payload: Column, descriptor_set: bytes, name: str | None, spark: SparkSession) -> Column:
+    """The named message, or a union of all messages of the file by their
+    index path, of which a payload fills the one its header names."""
+    if name is not None:
+        return protobuf.protobuf_body(payload, descriptor_set, name, spark)
+    first = F.when(F.col("_path").isNull(), payload)
+    members = [protobuf.protobuf_body(first, descriptor_set, protobuf.message_at(descriptor_set), spark)]
+    for path in protobuf.message_paths(descriptor_set):
+        here = F.col("_path") == F.array(*[F.lit(i).cast("bigint") for i in path])
+        named = protobuf.message_at(descriptor_set, path)
+        members.append(protobuf.protobuf_body(F.when(here, payload), descriptor_set, named, spark))
+    some = F.lit(False)
+    for m in members:
+        some = some | m.isNotNull()
+    return F.when(some, F.struct(*[m.alias(f"member{i}") for i, m in enumerate(members)]))
+
+
 def _binary(
     df: DataFrame,
     query: TopicQuery,
@@ -248,28 +268,35 @@ def _binary(
 ) -> DataFrame:
     """Avro and Protobuf: an inline schema, the one each header names, or for
     unframed payloads the latest of the topic's subject."""
-    options = query.flatten
-
-    def decoded(part: DataFrame, schema: str | bytes) -> DataFrame:
-        if query.format == "avro":
-            read = decode_avro(part, schema, query.wire_format)
-        elif query.message_name is None:
-            return decode_protobuf_topic(part, bytes(schema), query.wire_format, options, _BODY)
-        else:
-            read = decode_protobuf(part, bytes(schema), query.message_name, query.wire_format)
-        return flatten_struct(read, options=options, prefix=_BODY)
-
+    spark = df.sparkSession
+    avro = query.format == "avro"
+    if query.schema_source == "inline" and not query.schema:
+        raise ValueError("an inline schema was selected but none was given")
+    if query.schema_source != "inline" and schemas is None:
+        raise ValueError("a registry schema needs the schemas table")
+    framed = wire.has_header(F.col("value"), query.wire_format)
     if query.schema_source == "inline":
-        if not query.schema:
-            raise ValueError("an inline schema was selected but none was given")
-        flat = decoded(df, query.schema)
+        known, unframed, number = {}, query.schema, F.lit(None)
+    else:
+        known, number = topic_schemas(schemas, query.topic), F.when(framed, wire.schema_id(F.col("value")))
+        unframed = latest_schema(schemas, query.topic)
+    if avro:
+        marked = df.withColumn("_payload", F.when(~is_empty(F.col("value")), wire.body(F.col("value"), query.wire_format)))
     else:
-        if schemas is None:
-            raise ValueError("a registry schema needs the schemas table")
-        framed = wire.has_header(F.col("value"), query.wire_format)
-        marked = df.withColumn("schema_id", F.when(framed, wire.schema_id(F.col("value"))))
-        latest = partial(latest_schema, schemas, query.topic)
-        flat = decode_by_schema(marked, schemas, decoded, latest).drop("schema_id")
+        payload, path, bad = protobuf.framed_payload(F.col("value"), query.wire_format)
+        marked = df.withColumn("_payload", payload).withColumn("_path", path).withColumn("_bad", bad)
+
+    def read(payload: Column, schema: str | bytes) -> Column:
+        if avro:
+            return avro_body(payload, schema, spark)
+        return _message(payload, bytes(schema), query.message_name, spark)
+
+    marked = marked.withColumn("schema_id", number.cast("bigint"))
+    failed = AVRO_FAILED if avro else protobuf.FAILED
+    flat = decode_by_schema(marked, known, read, F.col("_payload"), unframed, failed, query.flatten, _BODY)
+    if not avro:
+        flat = flat.withColumn("error", F.when(F.col("_bad"), protobuf.BAD_INDEX).otherwise(F.col("error")))
+    flat = flat.drop("schema_id", "_payload", "_path", "_bad")
     paths = [c.removeprefix(_BODY) for c in flat.columns if c.startswith(_BODY)]
     values = {p: ref(_BODY + p) for p in sorted(paths, key=str.encode)}
     return _fixed(flat, query, values, F.col("error"), key_fields)

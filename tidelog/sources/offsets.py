@@ -10,10 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.plans.query import DEFAULT_LAST_N, effective_last_n
-from tidelog.session import ensure_checkpoint_dir
-
-# up to this many partitions the bounds become literals of the scan filter
-LITERAL_BOUNDS = 256
 
 
 def select_partitions(
@@ -50,23 +46,14 @@ def last_n(df: DataFrame, n: int = DEFAULT_LAST_N, bounds: DataFrame | None = No
     """Messages with ``offset >= latest - n``, per partition.
 
     This counts offsets, not rows: gaps in a partition give fewer rows. The
-    bounds come from ``df`` unless given (a stream needs them given).
+    bounds come from ``df`` unless given (a stream needs them given); they
+    reach the driver, a row per partition, and become literals of the scan.
     """
     start = F.greatest(F.col("latest") - effective_last_n(n), F.col("earliest"))
     starts = (bounds if bounds is not None else offset_bounds(df)).select(
         "topic", "partition", start.alias("start")
     )
-    few = starts.limit(LITERAL_BOUNDS + 1).collect()
-    if len(few) <= LITERAL_BOUNDS:
-        return from_offsets(df, {(r["topic"], r["partition"]): r["start"] for r in few})
-    # many partitions: an equi-join, whose side Spark broadcasts only if it is small
-    if df.isStreaming:
-        starts = _fixed(starts)
-    return (
-        df.join(starts, ["topic", "partition"])
-        .filter(F.col("offset") >= F.col("start"))
-        .select(*df.columns)
-    )
+    return from_offsets(df, {(r["topic"], r["partition"]): r["start"] for r in starts.collect()})
 
 
 def from_offsets(df: DataFrame, starts: Mapping[tuple[str, int], int]) -> DataFrame:
@@ -93,25 +80,11 @@ def after_high_water(df: DataFrame, high_water: DataFrame) -> DataFrame:
     The bounds are fixed here, once: a stream would otherwise look them up
     again for every batch and never see anything new.
     """
-    seen = high_water.select("topic", "partition", F.col("latest").alias("_seen"))
-    few = seen.limit(LITERAL_BOUNDS + 1).collect()
-    if len(few) <= LITERAL_BOUNDS:
-        old = [
-            (F.col("topic") == r["topic"])
-            & (F.col("partition") == r["partition"])
-            & (F.col("offset") < r["_seen"])
-            for r in few
-        ]
-        return df.filter(~_balanced_or(old)) if old else df
-    joined = df.join(_fixed(seen), ["topic", "partition"], "left")
-    return joined.filter(
-        F.col("_seen").isNull() | (F.col("offset") >= F.col("_seen"))
-    ).select(*df.columns)
-
-
-def _fixed(bounds: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(bounds.sparkSession)
-    return bounds.checkpoint()
+    old = [
+        (F.col("topic") == r["topic"]) & (F.col("partition") == r["partition"]) & (F.col("offset") < r["latest"])
+        for r in high_water.select("topic", "partition", "latest").collect()
+    ]
+    return df.filter(~_balanced_or(old)) if old else df
 
 
 def starting_offsets_json(bounds: DataFrame, n: int) -> str:

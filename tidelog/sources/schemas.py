@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# distinct schemas decoded in one query; each is its own branch of the plan
-MAX_SCHEMAS = 64
+from tidelog.functions.columns import ref
+from tidelog.operators.flatten import FlattenOptions
+from tidelog.operators.structs import united_leaves
 
 
 def subject_name(topic: str) -> str:
@@ -37,51 +37,41 @@ def latest_schema(schemas: DataFrame, topic: str) -> str | bytes:
     return rows[0]["schema"]
 
 
-def used_schemas(df: DataFrame, schemas: DataFrame) -> list[tuple[int | None, str | bytes | None]]:
-    """The ids in ``df.schema_id``, NULL included, with their schemas.
-
-    A batch is reduced to its distinct ids before anything leaves the
-    executors; a stream may meet any id of the table, and none. More than
-    ``MAX_SCHEMAS`` is an error.
-    """
-    known = schemas.select(F.col("id").alias("schema_id"), "schema").dropDuplicates(["schema_id"])
-    if df.isStreaming:
-        found = known
-    else:
-        found = df.select("schema_id").distinct().join(known, "schema_id", "left")
-    rows = found.limit(MAX_SCHEMAS + 1).collect()
-    if len(rows) > MAX_SCHEMAS:
-        raise ValueError(f"more than {MAX_SCHEMAS} schemas in one topic; select fewer ids")
-    result = sorted(
-        ((r["schema_id"], r["schema"]) for r in rows), key=lambda r: (r[0] is None, r[0])
-    )
-    return [*result, (None, None)] if df.isStreaming else result
+def topic_schemas(schemas: DataFrame, topic: str) -> dict[int, str | bytes]:
+    """All schemas of the topic's value subject by id: registry rows, a few
+    for each change of the topic's schema."""
+    rows = schemas.filter(F.col("subject") == subject_name(topic)).select("id", "schema").distinct().collect()
+    return {r["id"]: r["schema"] for r in rows}
 
 
 def decode_by_schema(
     df: DataFrame,
-    schemas: DataFrame,
-    decode: Callable[[DataFrame, str | bytes], DataFrame],
-    unframed: Callable[[], str | bytes] | None = None,
+    known: Mapping[int, str | bytes],
+    read: Callable[[Column, str | bytes], Column],
+    payload: Column,
+    unframed: str | bytes | None = None,
+    failed: str = "decoding failed",
+    options: FlattenOptions = FlattenOptions(),
+    prefix: str = "",
 ) -> DataFrame:
-    """Decode each message with the schema its ``schema_id`` names and union
-    the results by column name.
+    """Decode each message with the schema its ``schema_id`` names: a column
+    per path of any schema, after ``prefix``, and ``error``.
 
-    Rows without an id are read with the schema ``unframed`` returns, if it is
-    given. A message whose schema is not known becomes an error row. There is
-    one branch per schema in use, and no more.
+    ``read(payload, schema)`` gives the struct column of a payload, null where
+    it cannot be read. Rows without an id are read with ``unframed``, if it is
+    given; a message whose schema is not known is an error row. It is one
+    projection of ``df``: nothing is read twice or united.
     """
-    used = used_schemas(df, schemas)
-    known = [(i, s) for i, s in used if s is not None]
-    branches = [decode(df.filter(F.col("schema_id") == i), schema) for i, schema in known]
-    if unframed is not None and any(i is None for i, _ in used):
-        branches.append(decode(df.filter(F.col("schema_id").isNull()), unframed()))
-    lost = ~F.col("schema_id").isin([i for i, _ in known])
-    if unframed is None:
-        lost = F.col("schema_id").isNull() | lost
-    unknown = any(s is None and (i is not None or unframed is None) for i, s in used)
-    if unknown or df.isStreaming or not branches:
-        shown = F.coalesce(F.col("schema_id").cast("string"), F.lit("none"))
-        error = F.concat(F.lit("schema not found: id "), shown)
-        branches.append(df.filter(lost).withColumn("error", error))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), branches)
+    number = F.col("schema_id")
+    tests = [(number == i, schema) for i, schema in sorted(known.items())]
+    if unframed is not None:
+        tests.append((number.isNull(), unframed))
+    bodies = [F.when(test & payload.isNotNull(), read(payload, schema)) for test, schema in tests]
+    found = F.lit(False)
+    for test, _ in tests:
+        found = found | F.coalesce(test, F.lit(False))
+    lost = F.concat(F.lit("schema not found: id "), F.coalesce(number.cast("string"), F.lit("none")))
+    marked = df.withColumn("_found", found).withColumn("_filled", payload.isNotNull())
+    flat, names = united_leaves(marked, bodies, options, prefix)
+    error = F.when(~F.col("_found"), lost).when(F.col("_filled") & ~F.col("_read"), F.lit(failed))
+    return flat.select(*[ref(c) for c in df.columns], *[ref(c) for c in names], error.alias("error"))

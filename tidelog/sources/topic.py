@@ -96,9 +96,9 @@ def drop_control_records(df: DataFrame) -> DataFrame:
     return df.filter(~F.coalesce(marker, F.lit(False)))
 
 
-def topic_catalog(df: DataFrame, prefix: str = "", limit: int = 5) -> DataFrame:
-    """Partitions, offset and time bounds of the first ``limit`` topics whose
-    name starts with ``prefix``; 0 means all of them."""
+def topic_catalog(df: DataFrame, prefix: str = "", limit: int = 0) -> DataFrame:
+    """Partitions, offset and time bounds of the topics whose name starts with
+    ``prefix``; a ``limit`` above 0 lists only the first so many by name."""
     chosen = df.filter(F.col("topic").startswith(prefix)) if prefix else df
     if limit > 0:
         # at most ``limit`` names reach the driver; as literals they prune the scan
