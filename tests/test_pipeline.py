@@ -136,6 +136,12 @@ def test_last_n_counts_offsets(topic):
     assert offsets.after_high_water(many, offsets.offset_bounds(many)).count() == 0
 
 
+def test_taken_names_are_prefixed_until_free(spark, topic):
+    df = topic(['{"time":2,"value":{"time":1},"error":"e"}'])
+    row = run(spark, TopicQuery("t", offset="earliest"), df).first()
+    assert (row["value.value.time"], row["value.time"], row["value.error"]) == (2, 1, "e")
+
+
 def test_latest_in_batch_needs_bounds(spark, topic):
     old, new = topic(['{"a":1}'] * 2), topic(['{"a":1}', '{"a":1}', '{"a":7}'])
     with pytest.raises(ValueError, match="bounds"):

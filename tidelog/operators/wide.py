@@ -65,6 +65,21 @@ def column_name(path: str, taken: Sequence[str] = RESERVED) -> str:
     return f"value.{path}" if path in taken else path
 
 
+def column_names(paths: Sequence[str], taken: Sequence[str] = RESERVED) -> dict[str, str]:
+    """The published name of each path; ``value.`` is put before a taken one
+    until it is free."""
+    used = {*taken, *paths}
+    names = {}
+    for path in paths:
+        name = path
+        if path in taken:
+            while name in used:
+                name = f"value.{name}"
+            used.add(name)
+        names[path] = name
+    return names
+
+
 def _array_index(path: str) -> int | None:
     head = path.split(".", 1)[0]
     digits = head.removeprefix("item_")

@@ -24,7 +24,7 @@ from tidelog.operators.infer import field_list, infer_fields
 from tidelog.operators.lineprotocol import LineOptions, lp_long, lp_tag_keys, lp_wide
 from tidelog.operators.wide import (
     FieldSpec,
-    column_name,
+    column_names,
     in_column_order,
     json_error,
     wide_reader,
@@ -146,12 +146,13 @@ def _assemble(
     keys = {n: c for n, c in key.columns().items() if n not in values}
     good = error.isNull()
     shown = {n: F.when(good, c) for n, c in sorted(keys.items(), key=lambda i: i[0].encode())}
+    names = column_names([*shown, *values])
     return df.select(
         _time(query, error).alias("time"),
         *_partition(query),
         "offset",
-        *[c.alias(column_name(n)) for n, c in shown.items()],
-        *[c.alias(column_name(n)) for n, c in values.items()],
+        *[c.alias(names[n]) for n, c in shown.items()],
+        *[c.alias(names[n]) for n, c in values.items()],
         error.alias("error"),
     )
 

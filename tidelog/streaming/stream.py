@@ -48,6 +48,7 @@ def stream_frame(
     fields: Sequence[FieldSpec] | None = None,
     key_fields: Sequence[FieldSpec] | None = None,
     tag_keys: Sequence[str] | None = None,
+    schemas: DataFrame | None = None,
     high_water: DataFrame | None = None,
     options: StreamOptions | None = None,
 ) -> DataFrame:
@@ -72,7 +73,7 @@ def stream_frame(
         spark, source, query.topic, stream=True,
         partition=query.partition, starting_offsets=starting, options=limits,
     )
-    bounds = None
+    bounds = high_water if query.offset == "last_n" else None
     if source.kind == "table" and query.offset != "earliest":
         bounds = high_water
         if bounds is None:
@@ -81,8 +82,9 @@ def stream_frame(
             messages = after_high_water(messages, bounds)
             bounds = None
     return run(
-        spark, query, messages, fields=fields, key_fields=key_fields, tag_keys=tag_keys, bounds=bounds
-    )
+        spark, query, messages, fields=fields, key_fields=key_fields, tag_keys=tag_keys,
+        schemas=schemas, bounds=bounds,
+    )
 
 
 def start_stream(
