@@ -30,7 +30,6 @@ from tidelog.operators.lineprotocol import (
     lp_wide,
     parse_lines,
 )
-from tidelog.operators.structs import flatten_struct
 from tidelog.operators.wide import FieldSpec
 from tidelog.plans.query import TopicQuery
 from tidelog.plans.run import json_wide, run, run_many

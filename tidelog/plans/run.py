@@ -15,7 +15,6 @@ from tidelog.operators import decode, naming, protobuf
 from tidelog.operators.avro import FAILED as AVRO_FAILED
 from tidelog.operators.avro import avro_body
 from tidelog.operators.flatten import (
-    FlattenOptions,
     explode_leaves,
     merge_key_leaves,
     text_leaves,
