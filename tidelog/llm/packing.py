@@ -146,15 +146,12 @@ class Bm25Index:
     def scores(self, seed: int) -> np.ndarray:
         """BM25 of every document for the terms of ``seed``."""
         term = self.terms[seed]
-        begin, end = self.starts[term], self.starts[term + 1]
-        lengths = end - begin
-        total = int(lengths.sum())
-        if not total:
+        lists = list(zip(self.starts[term].tolist(), self.starts[term + 1].tolist(), strict=True))
+        if not lists:
             return np.zeros(self.size)
-        # positions of all postings of the terms, list after list
-        shift = np.repeat(begin - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths)
-        at = shift + np.arange(total)
-        return np.bincount(self.docs[at], self.weights[at], self.size)
+        docs = np.concatenate([self.docs[a:b] for a, b in lists])
+        weights = np.concatenate([self.weights[a:b] for a, b in lists])
+        return np.bincount(docs, weights, self.size)
 
 
 def fill_windows(

@@ -22,7 +22,7 @@ SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 _LETTERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff"
 _NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
 _PIECES = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[{_NUMBERS}]|[^ \t-\r{_LETTERS}{_NUMBERS}]+")
-#: Texts with one of these go to the tokenizer whole.
+#: Texts with a piece that has one of these go to the tokenizer whole.
 _OTHER = re.compile(r"[^\t-\r\x20-\x7e\xa1-\xff]|<\|")
 
 
@@ -87,20 +87,26 @@ class PieceTokenizer:
         texts = [t or "" for t in texts]
         if not self.by_piece:
             return self._whole(texts)
-        result: list[bytes | None] = [None] * len(texts)
-        other = [i for i, t in enumerate(texts) if _OTHER.search(t)]
-        for i, ids in zip(other, self._whole([texts[i] for i in other]), strict=True):
-            result[i] = ids
-        pieces = {i: _PIECES.findall(t.lower()) for i, t in enumerate(texts) if result[i] is None}
+        pieces = [_PIECES.findall(t.lower()) for t in texts]
         lately, before = self.lately, self.before
-        wanted = [p for p in set().union(*pieces.values()) if p not in lately]
+        wanted = [p for p in set().union(*pieces) if p not in lately]
         again = {p: before[p] for p in wanted if p in before}
-        new = self._learn([p for p in wanted if p not in again])
+        fresh = [p for p in wanted if p not in again]
+        odd = [p for p in fresh if _OTHER.search(p)]
+        new = self._learn([p for p in fresh if not _OTHER.search(p)] if odd else fresh)
         lately.update(again)
         lately.update(new)
-        for i, found in pieces.items():
-            result[i] = b"".join(map(lately.__getitem__, found))
-        for p in [p for p in new if len(p) > CACHE_CHARS]:
+        lately.update(dict.fromkeys(odd))
+        result: list[bytes | None] = []
+        for found in pieces:
+            try:
+                result.append(b"".join(map(lately.__getitem__, found)))
+            except TypeError:  # an odd piece has no ids
+                result.append(None)
+        whole = [i for i, ids in enumerate(result) if ids is None]
+        for i, ids in zip(whole, self._whole([texts[i] for i in whole]), strict=True):
+            result[i] = ids
+        for p in [p for p in fresh if len(p) > CACHE_CHARS]:
             del lately[p]
         if len(lately) > CACHE_PIECES:
             self.before, self.lately = lately, {}
