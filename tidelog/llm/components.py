@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from tidelog.session import stored
 
 
+def _mark(edges: DataFrame) -> tuple:
+    """Number and sum of hashes of the links: equal if nothing has changed."""
+    hashed = F.xxhash64("u", "v").cast("decimal(20,0)")
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(hashed)).first())
+
+
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """``node, root`` of every node with a link; the root is the least node.
 
@@ -18,20 +24,19 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     edges = stored(edges, "edges")
+    mark = _mark(edges)
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         # larger neighbours to the least node
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stored(large.where("u <> v").distinct(), "edges")
+        large = large.where("u <> v").distinct()
         # the node and its smaller neighbours to the least of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(low, "u")
+        joined = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(joined.select("u", F.col("m").alias("v")))
-        small = stored(small.where("u <> v").distinct(), "edges")
-        same = small.join(edges, ["u", "v"], "left_anti").isEmpty() and edges.join(small, ["u", "v"], "left_anti").isEmpty()
-        edges = small
-        if same:
+        edges = stored(small.where("u <> v").distinct(), "edges")
+        before, mark = mark, _mark(edges)
+        if mark == before:
             break
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return nodes.union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
