@@ -10,10 +10,11 @@ the shared n-gram, and by how far the counts of n-grams in ``PARTS`` hash
 classes let the sets overlap (which also bounds what lies behind the prefix).
 What is left is verified once per pair on the whole sets.
 
-What is asked for is links and components, so pairs inside a component that
-earlier links have joined are not needed. The join runs twice: first on
-neighbours in the list of an n-gram only, a number of pairs in proportion to
-the lists; then on all pairs between different components. Lists longer than
+What is asked for is components, so pairs inside a component that earlier
+links have joined are not needed. The join runs three times: on neighbours in
+the list of an n-gram, then on the first partner of each row, both a number of
+pairs in proportion to the lists; then on all pairs left between different
+components. Lists longer than
 ``BLOCK`` are cut into blocks, and pairs of blocks are tasks of their own.
 """
 
@@ -36,7 +37,9 @@ SHINGLE = 4
 PERCENT = 85
 #: Counters of the n-gram order: fixed, 2 MB.
 COUNTERS = 1 << 18
-PARTS = 64
+#: Hash classes of n-grams; a byte each for every class of documents.
+PARTS = 256
+_FULL = 255
 BLOCK = 1000
 
 _GROUP = 1024  # counters in a row when they are added up
@@ -46,10 +49,10 @@ def _class_of(shingles: np.ndarray) -> int:
     return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes()))))
 
 
-def _parts(shingles: np.ndarray) -> np.ndarray:
-    """n-grams by hash class; counts above 65,535 stay there, which only
-    weakens nothing: such sets are not filtered by them."""
-    return np.minimum(np.bincount((shingles & np.uint64(PARTS - 1)).astype(np.int64), minlength=PARTS), 65535)
+def _parts(shingles: np.ndarray) -> bytes:
+    """n-grams by hash class; a count of 255 stands for more as well."""
+    counts = np.bincount((shingles & np.uint64(PARTS - 1)).astype(np.int64), minlength=PARTS)
+    return np.minimum(counts, _FULL).astype(np.uint8).tobytes()
 
 
 def _counter(shingles: np.ndarray) -> np.ndarray:
@@ -73,7 +76,7 @@ def shingled(docs: DataFrame, size: int) -> DataFrame:
             for s in shingle_sets(batch["text"].tolist(), size):
                 n.append(len(s))
                 cls.append(_class_of(s))
-                parts.append(_parts(s).astype("<u2").tobytes())
+                parts.append(_parts(s))
                 if cls[-1] not in seen:
                     seen.add(cls[-1])
                     counters += np.bincount(_counter(s), minlength=COUNTERS) if len(s) > COUNTERS else 0
@@ -180,44 +183,59 @@ def _fits(x: pd.DataFrame, i: np.ndarray, j: np.ndarray, percent: int) -> np.nda
 
 
 def _overlaps(x: pd.DataFrame, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
-    """Pairs whose hash classes leave room for the overlap needed."""
-    parts = np.frombuffer(b"".join(x["parts"]), "<u2").reshape(-1, PARTS).astype(np.int32)
+    """Pairs whose hash classes leave room for the overlap needed; sets with
+    a full count are let through."""
+    parts = np.frombuffer(b"".join(x["parts"]), np.uint8).reshape(-1, PARTS)
     n = x["n"].to_numpy().astype(np.int64)
+    full = parts.max(axis=1) == _FULL
     fits = np.ones(len(i), bool)
-    for first in range(0, len(i), 100_000):
-        s = slice(first, first + 100_000)
-        room = np.minimum(parts[i[s]], parts[j[s]]).sum(axis=1)
-        full = (parts[i[s]].max(axis=1) == 65535) | (parts[j[s]].max(axis=1) == 65535)
-        fits[s] = full | (room >= least_overlap(n[i[s]], n[j[s]], percent))
+    for first in range(0, len(i), 20_000):
+        a, b = i[first : first + 20_000], j[first : first + 20_000]
+        room = np.minimum(parts[a], parts[b]).sum(axis=1, dtype=np.int64)
+        fits[first : first + 20_000] = full[a] | full[b] | (room >= least_overlap(n[a], n[b], percent))
     return fits
 
 
-def candidate_pairs(rows: DataFrame, percent: int, neighbours: bool) -> DataFrame:
-    """``a, b`` of rows of one n-gram that pass all filters and are in
-    different components; with ``neighbours`` only those next to each other in
-    order of size or of position.
+LISTED = "token long, cls long, n int, pos int, comp long"
 
-    ``rows`` has ``token, cls, n, pos, comp, parts, i, j, block``. A task holds
+
+def by_list(rows: DataFrame, percent: int, want: str) -> DataFrame:
+    """What the lists of n-grams say about rows in different components.
+
+    ``neighbours``: the pairs ``a, b`` next to each other in order of size or
+    of position that length and positions allow. ``rows``: the rows that have
+    any partner so. ``pairs``: all pairs so, less those that ``parts`` rules
+    out; ``first``: of these the first of each row. ``rows`` has the columns of
+    ``LISTED``, ``i, j, block`` and, for the last two, ``parts``. A task holds
     one list, at most two blocks long.
     """
 
-    def pairs(x: pd.DataFrame) -> pd.DataFrame:
+    def read(x: pd.DataFrame) -> pd.DataFrame:
         list_of = x.groupby(["token", "i", "j"], sort=False).ngroup().to_numpy()
-        comp, block = x["comp"].to_numpy(), x["block"].to_numpy()
+        comp, block, cls = (x[c].to_numpy() for c in ("comp", "block", "cls"))
         crossing = (x["i"] != x["j"]).to_numpy()
-        cls = x["cls"].to_numpy()
         found = []
+        partnered = np.zeros(len(x), bool)
+        by_parts = want in ("pairs", "first")
 
         def take(i: np.ndarray, j: np.ndarray) -> None:
             ok = (comp[i] != comp[j]) & ~(crossing[i] & (block[i] == block[j]))
+            if want == "first":
+                ok &= ~(partnered[i] & partnered[j])
             i, j = i[ok], j[ok]
             ok = _fits(x, i, j, percent)
             i, j = i[ok], j[ok]
-            ok = _overlaps(x, i, j, percent)
-            if ok.any():
-                found.append(np.stack((np.minimum(cls[i], cls[j])[ok], np.maximum(cls[i], cls[j])[ok]), axis=1))
-
-        if neighbours:
+            if want == "rows":
+                partnered[i] = partnered[j] = True
+                return
+            if by_parts and len(i):
+                ok = _overlaps(x, i, j, percent)
+                i, j = i[ok], j[ok]
+                partnered[i] = partnered[j] = True
+            if len(i):
+                found.append(np.stack((np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j])), axis=1))
+
+        if want == "neighbours":
             for order in (np.arange(len(x)), np.lexsort((x["pos"].to_numpy(), list_of))):
                 same = list_of[order[1:]] == list_of[order[:-1]]
                 take(order[:-1][same], order[1:][same])
@@ -228,6 +246,8 @@ def candidate_pairs(rows: DataFrame, percent: int, neighbours: bool) -> DataFram
             while len(here := here[here + step < ends[here]]):
                 take(here, here + step)
                 step += 1
+        if want == "rows":
+            return x.loc[partnered, [f.split()[0] for f in LISTED.split(", ")]]
         if not found:
             return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
         return pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
@@ -240,14 +260,33 @@ def candidate_pairs(rows: DataFrame, percent: int, neighbours: bool) -> DataFram
             open_ = ((frame["token"] == tail["token"]) & (frame["i"] == tail["i"]) & (frame["j"] == tail["j"])).to_numpy()
             held = frame[open_].reset_index(drop=True)
             if not open_.all():
-                yield pairs(frame[~open_].reset_index(drop=True))
+                yield read(frame[~open_].reset_index(drop=True))
         if held is not None:
-            yield pairs(held)
+            yield read(held)
 
     ordered = rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "cls")
+    if want == "rows":
+        return ordered.mapInPandas(run, LISTED).dropDuplicates(["token", "cls"])
     return ordered.mapInPandas(run, "a long, b long").distinct()
 
 
+def with_room(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs that the hash classes of their n-grams leave room for."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            count = len(batch)
+            both = pd.DataFrame(
+                {"parts": [*batch["x"], *batch["y"]], "n": np.concatenate((batch["m"], batch["n"]))}
+            )
+            here = np.arange(count)
+            yield batch.loc[_overlaps(both, here, here + count, percent), ["a", "b"]]
+
+    left = classes.select(F.col("cls").alias("a"), F.col("parts").alias("x"), F.col("n").alias("m"))
+    right = classes.select(F.col("cls").alias("b"), F.col("parts").alias("y"), "n")
+    return pairs.join(left, "a").join(right, "b").mapInPandas(run, "a long, b long")
+
+
 def _in_blocks(lists: DataFrame, long_lists: DataFrame) -> DataFrame:
     """Rows with the pairs of blocks they belong to; short lists are one block."""
     rows = looked_up(lists, long_lists, ["token"])
@@ -255,7 +294,7 @@ def _in_blocks(lists: DataFrame, long_lists: DataFrame) -> DataFrame:
     rows = rows.withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     return rows.select(
-        *("token", "cls", "n", "pos", "comp", "parts", "block"),
+        *[c for c in rows.columns if c not in ("blocks", "other")],
         F.least("block", "other").alias("i"),
         F.greatest("block", "other").alias("j"),
     )
@@ -315,7 +354,7 @@ def jaccard_groups(docs: DataFrame, id_col: str, text_col: str, size: int, perce
     counts = rarity(hashed)
     rows = hashed.where("n IS NOT NULL").select("id", "key", "n", "cls", "parts")
     classes = stored(
-        rows.where("n > 0").groupBy("cls").agg(F.min("id").alias("least"), F.min("key").alias("key"), F.first("parts").alias("parts")),
+        rows.where("n > 0").groupBy("cls").agg(F.min("id").alias("least"), F.min("key").alias("key"), F.first("parts").alias("parts"), F.first("n").alias("n")),
         "classes",
     )
     lists = stored(shared_tokens(prefixes(docs, size, percent, counts)), "lists")
@@ -326,23 +365,26 @@ def jaccard_groups(docs: DataFrame, id_col: str, text_col: str, size: int, perce
         .select("token", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
     )
     long_lists = stored(long_lists, "long")
-    listed = lists.join(classes.select("cls", "parts"), "cls")
-    near = candidate_pairs(
-        _in_blocks(listed.withColumn("comp", F.col("cls")), long_lists), percent, neighbours=True
-    )
-    near = stored(near, "pairs")
-    links = stored(verified(near, docs, classes, size, percent), "links")
-    first = components(links, "a", "b")
-    listed = looked_up(listed, first.withColumnsRenamed({"node": "cls"}), ["cls"])
-    listed = listed.withColumn("comp", F.coalesce("root", F.col("cls"))).drop("root")
-    # lists within one component have nothing more to say
-    open_lists = listed.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
-    rest = candidate_pairs(
-        _in_blocks(listed.join(open_lists.select("token"), "token"), long_lists), percent, neighbours=False
-    )
-    rest = stored(rest.join(near, ["a", "b"], "left_anti"), "pairs")
-    more = stored(verified(rest, docs, classes, size, percent), "links")
-    roots = components(links.union(more), "a", "b").withColumnRenamed("node", "cls")
+    alone = lists.withColumn("comp", F.col("cls"))
+    near = stored(by_list(_in_blocks(alone, long_lists), percent, "neighbours"), "pairs")
+    roomy = stored(with_room(near, classes, percent), "pairs")
+    links = stored(verified(roomy, docs, classes, size, percent), "links")
+
+    def joined(rows: DataFrame, known: DataFrame) -> DataFrame:
+        roots = components(known, "a", "b").withColumnRenamed("node", "cls")
+        rows = looked_up(rows.drop("comp"), roots, ["cls"])
+        return rows.withColumn("comp", F.coalesce("root", F.col("cls"))).drop("root")
+
+    # rows without a partner in another component have nothing more to say
+    open_rows = by_list(_in_blocks(joined(lists, links), long_lists), percent, "rows")
+    open_rows = stored(open_rows.join(classes.select("cls", "parts"), "cls"), "lists")
+    first = by_list(_in_blocks(open_rows, long_lists), percent, "first")
+    first = stored(first.join(near, ["a", "b"], "left_anti"), "pairs")
+    links = links.union(stored(verified(first, docs, classes, size, percent), "links"))
+    rest = by_list(_in_blocks(joined(open_rows, links), long_lists), percent, "pairs")
+    rest = stored(rest.join(near.union(first), ["a", "b"], "left_anti"), "pairs")
+    links = links.union(stored(verified(rest, docs, classes, size, percent), "links"))
+    roots = components(links, "a", "b").withColumnRenamed("node", "cls")
     named = roots.join(classes.select("cls", "least"), "cls")
     least = named.groupBy("root").agg(F.min("least").alias("named"))
     named = named.select("cls", "root").join(least, "root").select("cls", "root", "named")
