@@ -14,7 +14,7 @@ from tidelog.llm.common import table
 from tidelog.llm.jaccard import one_of_each
 from tidelog.llm.mixing import mix, repeated
 from tidelog.llm.packing import pack
-from tidelog.llm.quality_rules import judge
+from tidelog.llm.quality_rules import LINE_MOST, judge
 from tidelog.session import stored
 
 #: Near duplicates share four fifths of their five-word shingles or more.
@@ -29,8 +29,9 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the rules, without the boilerplate lines of their host."""
-    kept = judge(docs).where("kept")
+    """Documents that pass the rules, without the boilerplate lines of their host,
+    frequent ones of a large host included."""
+    kept = judge(docs, line_most=LINE_MOST).where("kept")
     changed = {"text": F.col("clean_text"), "n_chars": F.char_length("clean_text").cast("long")}
     return kept.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
 

@@ -113,6 +113,35 @@ def test_common_lines_go_and_depleted_documents_with_them(spark):
     assert got[100]["clean_text"].startswith("copied line") and got[100]["kept"]
 
 
+def test_lines_in_many_documents_go_whatever_their_share(spark):
+    own = lambda i: " ".join(f"w{i}x{j}" for j in range(60))
+    rows = [(i, f"Share THIS page\n{own(i)}", "big") for i in range(15)]
+    rows += [(20 + i, f"in twelve\n{own(20 + i)}", "big") for i in range(12)]
+    rows += [(50, "share this page\n" * 40 + "one two three", "big")]
+    rows += [(100 + i, f"plain {i}\n{own(100 + i)}", "big") for i in range(400)]
+    rows += [(600 + i, f"share this page\n{own(600 + i)}", "small") for i in range(5)]
+    # 300 copies of one text are one document
+    rows += [(700 + i, f"copied line\nshare this page\n{own(999)}", "big") for i in range(300)]
+    rows += [(None, None, None), (None, f"share this page\n{own(0)}", None)]
+    docs = documents(spark, rows)
+    by_share = {r["doc_id"]: r for r in judge(docs, max_repeated=1.0).collect()}
+    assert by_share[50]["kept"] and by_share[0]["clean_text"].startswith("Share")
+    judged = judge(docs, max_repeated=1.0, line_most=12).collect()
+    assert len(judged) == len(rows)
+    got = {r["doc_id"]: r for r in judged}
+    for i in range(15):
+        assert got[i]["clean_text"] == own(i) and got[i]["kept"] and got[i]["left_words"] == 60
+    assert got[20]["clean_text"] == f"in twelve\n{own(20)}"
+    assert not got[50]["kept"] and not got[50]["base_failed"] and got[50]["left_words"] == 3
+    assert got[100]["clean_text"] == f"plain 0\n{own(100)}" and got[100]["left_words"] == 62
+    assert got[600]["clean_text"].startswith("share") and got[600]["kept"]
+    copies = [r for r in judged if 700 <= (r["doc_id"] or 0)]
+    assert {r["clean_text"] for r in copies} == {f"copied line\n{own(999)}"} and len(copies) == 300
+    # lines above the share go as before
+    more = {r["doc_id"]: r["clean_text"] for r in judge(docs, max_repeated=1.0, line_share=0.03, line_most=400).collect()}
+    assert more[0] == own(0) and more[20] == f"in twelve\n{own(20)}"
+
+
 def winnow(text):
     pieces = re.findall(PIECE, text)
     if not pieces:

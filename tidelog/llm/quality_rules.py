@@ -6,6 +6,12 @@ hold a line are counted (equal texts count once). Lines in more than
 of them, are boilerplate: they are removed, and a document of whose words too
 few are left is rejected. Before that come base rules of the text alone. All
 of it is native; what is shuffled is hashes and counts, never text.
+
+A share grows with its host: in a large one a line may stand in thousands of
+documents and stay. ``line_most`` is the limit for that, joined by OR: a line
+in more documents of its host goes whatever its share. No bound on the lines
+of a host follows from it, so these lines are looked up by document in
+salted joins, and the text is shuffled once.
 """
 
 from __future__ import annotations
@@ -23,11 +29,15 @@ MAX_REPEATED = 0.5
 LINE_SHARE = 0.05
 #: ... and above this number of them.
 LINE_DOCS = 10
+#: Where it is asked for: above this number of them a line is removed whatever its share.
+LINE_MOST = 100
 #: A document is depleted if a smaller share of its words than this is left.
 MIN_LEFT = 0.3
 
 #: Positions up to here share a long with a 44-bit hash; longer texts are sorted as structs.
 _POSITION_BITS = 20
+#: Parts of a line's documents, and of the copies of a text, where lines are looked up.
+_PARTS = 16
 
 
 def _covered(positions: Column, width: int) -> Column:
@@ -101,23 +111,26 @@ def _line_hashes(text: Column) -> Column:
     )
 
 
-def removed_lines(
-    docs: DataFrame, host_col: str, text_col: str, line_share=LINE_SHARE, line_docs=LINE_DOCS
-) -> DataFrame:
-    """The hashes of boilerplate lines of each host: ``host``, ``none``, ``removed``.
+def _of_document(host_col: str, text_col: str) -> list[Column]:
+    """Host and digests that stand for a document: ``host``, ``none``, ``a``, ``b``."""
+    return [
+        F.coalesce(ref(host_col).cast("string"), F.lit("")).alias("host"),
+        ref(host_col).isNull().alias("none"),
+        F.xxhash64(text_of(text_col)).alias("a"),
+        F.crc32(text_of(text_col)).alias("b"),
+    ]
 
-    At most (mean lines of a document) / ``line_share`` lines of a host can
-    pass, so the arrays are short whatever the corpus.
-    """
-    lines = F.array_distinct(F.transform(_line_hashes(text_of(text_col)), lambda x: x["h"]))
+
+def _distinct_lines(text_col: str) -> Column:
+    return F.array_distinct(F.transform(_line_hashes(text_of(text_col)), lambda x: x["h"]))
+
+
+def _boilerplate(
+    docs: DataFrame, host_col: str, text_col: str, line_share: float, line_docs: int, line_most: int | None
+) -> DataFrame:
+    """The lines that go: ``host``, ``none``, ``line``."""
     once = (
-        docs.select(
-            F.coalesce(ref(host_col).cast("string"), F.lit("")).alias("host"),
-            ref(host_col).isNull().alias("none"),
-            F.xxhash64(text_of(text_col)).alias("a"),
-            F.crc32(text_of(text_col)).alias("b"),
-            lines.alias("lines"),
-        )
+        docs.select(*_of_document(host_col, text_col), _distinct_lines(text_col).alias("lines"))
         .groupBy("host", "none", "a", "b")
         .agg(F.first("lines").alias("lines"))
     )
@@ -127,13 +140,54 @@ def removed_lines(
         .groupBy("host", "none", "line")
         .agg(F.count(F.lit(1)).alias("docs"))
     )
-    often = counted.where((F.col("docs") > line_docs) | F.col("line").isNull())
+    least = line_docs if line_most is None else min(line_docs, line_most)
+    often = counted.where((F.col("docs") > least) | F.col("line").isNull())
     hosts = often.where("line IS NULL").select("host", "none", F.col("docs").alias("all_docs"))
+    gone = (F.col("docs") > line_docs) & (F.col("docs") > F.lit(float(line_share)) * F.col("all_docs"))
+    if line_most is not None:
+        gone = gone | (F.col("docs") > line_most)
+    return often.where("line IS NOT NULL").join(hosts, ["host", "none"]).where(gone).select("host", "none", "line")
+
+
+def removed_lines(
+    docs: DataFrame, host_col: str, text_col: str, line_share=LINE_SHARE, line_docs=LINE_DOCS
+) -> DataFrame:
+    """The hashes of boilerplate lines of each host: ``host``, ``none``, ``removed``.
+
+    At most (mean lines of a document) / ``line_share`` lines of a host can
+    pass, so the arrays are short whatever the corpus.
+    """
+    gone = _boilerplate(docs, host_col, text_col, line_share, line_docs, None)
+    return gone.groupBy("host", "none").agg(F.sort_array(F.collect_set("line")).alias("removed"))
+
+
+def _part(docs: DataFrame) -> Column:
+    """A part for each row from all its plain columns, so that copies of a text are spread."""
+    plain = [n for n, t in docs.dtypes if not t.startswith(("array", "map", "struct", "variant"))]
+    return F.pmod(F.xxhash64(*[ref(n) for n in plain]), F.lit(_PARTS)).cast("int")
+
+
+def removed_by_document(
+    docs: DataFrame, host_col: str, text_col: str, line_share: float, line_docs: int, line_most: int
+) -> DataFrame:
+    """The hashes of boilerplate lines of each document that has some, once
+    for each part its rows are in: ``host``, ``none``, ``a``, ``b``, ``part``,
+    ``removed``. An array is no longer than its document."""
+    gone = stored(_boilerplate(docs, host_col, text_col, line_share, line_docs, line_most), "lines")
+    parts = F.array(*[F.lit(i) for i in range(_PARTS)])
+    document = ["host", "none", "a", "b", "part"]
+    held = (
+        docs.select(
+            *_of_document(host_col, text_col), _part(docs).alias("part"), _distinct_lines(text_col).alias("lines")
+        )
+        .groupBy(*document)
+        .agg(F.first("lines").alias("lines"))
+        .select(*document, F.explode("lines").alias("line"))
+        .withColumn("slice", F.pmod("a", F.lit(_PARTS)).cast("int"))
+    )
     return (
-        often.where("line IS NOT NULL")
-        .join(hosts, ["host", "none"])
-        .where(F.col("docs") > F.lit(float(line_share)) * F.col("all_docs"))
-        .groupBy("host", "none")
+        held.join(gone.withColumn("slice", F.explode(parts)), ["host", "none", "line", "slice"])
+        .groupBy(*document)
         .agg(F.sort_array(F.collect_set("line")).alias("removed"))
     )
 
@@ -147,13 +201,15 @@ def judge(
     line_share: float = LINE_SHARE,
     line_docs: int = LINE_DOCS,
     min_left: float = MIN_LEFT,
+    line_most: int | None = None,
 ) -> DataFrame:
     """``docs`` with base measures, ``base_failed``, ``left_words``, ``kept`` and
     ``clean_text``, the text without boilerplate lines.
 
     Null and empty texts have no words and fail the base rules. Null hosts are
     one host. Equal texts count as one document and get one verdict; repeated
-    rows stay rows. Columns with the name of a result give way to it.
+    rows stay rows. Columns with the name of a result give way to it. With
+    ``line_most`` lines in more documents of their host go too.
     """
     p = free_prefix(docs, "rule")
     results = (
@@ -161,20 +217,24 @@ def judge(
         *("left_words", "kept", "clean_text"),
     )
     kept = [c for c in docs.columns if c not in results]
-    host, none, words = f"{p}host", f"{p}none", f"{p}words"
-    removed = stored(removed_lines(docs, host_col, text_col, line_share, line_docs), "lines")
-    removed = removed.select(
-        F.col("host").alias(host), F.col("none").alias(none), F.col("removed").alias(f"{p}removed")
-    )
+    words = f"{p}words"
     text = text_of(text_col)
-    rows = docs.select(
-        *[ref(c) for c in kept],
-        F.coalesce(ref(host_col).cast("string"), F.lit("")).alias(host),
-        ref(host_col).isNull().alias(none),
-        words_of(text).alias(words),
-    )
-    rows = with_repeated_words(rows, words, f"{p}repeated")
-    rows = looked_up(rows, removed, [host, none])
+    if line_most is None:
+        removed = stored(removed_lines(docs, host_col, text_col, line_share, line_docs), "lines")
+        by = _of_document(host_col, text_col)[:2]
+    else:
+        removed = removed_by_document(docs, host_col, text_col, line_share, line_docs, line_most)
+        by = [*_of_document(host_col, text_col), _part(docs).alias("part")]
+    on = [c for c in removed.columns if c != "removed"]
+    removed = removed.select(*[F.col(c).alias(f"{p}{c}") for c in removed.columns])
+    rows = docs.select(*[ref(c) for c in kept], *[c.alias(f"{p}{n}") for n, c in zip(on, by, strict=True)])
+    if line_most is None:
+        rows = with_repeated_words(rows.withColumn(words, words_of(text)), words, f"{p}repeated")
+        rows = looked_up(rows, removed, [f"{p}{c}" for c in on])
+    else:
+        # the text is shuffled, but not its words
+        rows = rows.join(removed, [f"{p}{c}" for c in on], "left")
+        rows = with_repeated_words(rows.withColumn(words, words_of(text)), words, f"{p}repeated")
     spoken = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
     gone = F.col(f"{p}removed")
     left = F.aggregate(
