@@ -109,6 +109,59 @@ def test_seeds_take_their_neighbours_first():
     assert list(fill_windows(np.array([], int), scores)) == []
 
 
+def ranked_to_the_end(lengths, scores, window):
+    """Windows by a whole ranking of all unused neighbours."""
+    unused, left, windows = set(range(len(lengths))), None, []
+    while left or unused:
+        seed, at = left or (min(unused), 0)
+        unused.discard(seed)
+        left = None
+        taken = min(lengths[seed] - at, window)
+        pieces, room = [(seed, at, taken)], window - taken
+        if at + taken < lengths[seed]:
+            left = (seed, at + taken)
+        score = scores(seed)
+        for k in sorted((k for k in unused if score[k] > 0), key=lambda k: (-score[k], k)):
+            if lengths[k] <= room and room:
+                pieces.append((k, 0, lengths[k]))
+                unused.remove(k)
+                room -= lengths[k]
+        while room and unused:
+            k = min(unused, key=lambda k: (score[k] <= 0, -max(score[k], 0), k))
+            unused.remove(k)
+            pieces.append((k, 0, min(lengths[k], room)))
+            if lengths[k] > room:
+                left = (k, room)
+            room -= min(lengths[k], room)
+        windows.append(pieces)
+    return windows
+
+
+def test_windows_of_short_rests_are_filled_by_retrieval():
+    near = np.arange(601) > 300  # row order alone would give the others
+
+    def scores(seed):
+        return np.where(near, 1.0 + np.arange(601) / 1000, 0.0)
+
+    first = next(fill_windows(np.full(601, 10), scores, window=2048))
+    assert [k for k, _, _ in first] == [0, *range(600, 396, -1)] and first[-1][2] == 8
+    # the 65th neighbour fits whole where the 64 before it are too long
+    lengths = np.array([10] + [2000] * 64 + [90] + [5] * 3)
+    ranked = np.array([0.0] + [9.0] * 64 + [1.0] + [0.0] * 3)
+    first = next(fill_windows(lengths, lambda seed: ranked, window=1000))
+    assert first == [(0, 0, 10), (65, 0, 90), (1, 0, 900)]
+
+
+@pytest.mark.parametrize("neighbours", [1, 3, 64])
+def test_windows_equal_a_whole_ranking(neighbours):
+    rng = np.random.default_rng(neighbours)
+    for n in (1, 30, 400):
+        lengths = rng.choice([1, 2, 3, 7, 20, 90], n)
+        table = rng.integers(0, 6, (n, n)) * (rng.random((n, n)) < 0.6)
+        got = list(fill_windows(lengths, lambda k: table[k].astype(float), 64, neighbours))  # noqa: B023
+        assert got == ranked_to_the_end(lengths.tolist(), lambda k: table[k], 64)  # noqa: B023
+
+
 def test_best_fit():
     rng = np.random.default_rng(1)
     lengths = rng.integers(1, 100, 500)

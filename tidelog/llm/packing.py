@@ -4,8 +4,10 @@ Whole windows of long documents become sequences as they are. What is left of
 each document is packed in shards: a shard has an inverted index with BM25
 weights of its pieces, and each window takes a seed, asks the index for the
 seed's best unused neighbours and fills itself with them, whole ones first,
-the best of the rest cut at the end of the window. What is cut off seeds the
-next window. So all windows but the last of a shard are full.
+the best of the rest cut at the end of the window. All unused pieces with a
+positive score are neighbours, and only when none is left does the window
+take the next unused piece. What is cut off seeds the next window. So all
+windows but the last of a shard are full.
 
 Document frequencies count every document; they are one number per token id,
 bounded by the vocabulary. Documents go to shards by the term that stands for
@@ -30,7 +32,7 @@ from tidelog.session import stored
 WINDOW = 2048
 END_ID = 1
 SHARD_TOKENS = 512 * 1024
-#: Neighbours tried whole before one is cut.
+#: Neighbours ranked at first; each time they do not fill a window, four times as many.
 NEIGHBOURS = 64
 K1, B = 1.2, 0.75
 
@@ -177,21 +179,26 @@ def fill_windows(
         if at + taken < lengths[seed]:
             left = (seed, at + taken)
         if room:
-            ranked = _best(scores(seed), unused, neighbours)
-            for k in ranked:
-                if lengths[k] <= room:
-                    pieces.append((int(k), 0, int(lengths[k])))
-                    unused[k] = False
-                    room -= int(lengths[k])
-                if not room:
-                    break
+            score = scores(seed)
+            near = np.flatnonzero(unused & (score > 0))
+            fits, count = near[lengths[near] <= room], neighbours
+            while room and len(fits):
+                for k in _best(score, fits, count).tolist():
+                    if lengths[k] <= room:
+                        pieces.append((k, 0, int(lengths[k])))
+                        unused[k] = False
+                        room -= int(lengths[k])
+                    if not room:
+                        break
+                fits, count = fits[unused[fits] & (lengths[fits] <= room)], 4 * count
+            rest = near[unused[near]]
         while room:
-            rest = [int(k) for k in ranked if unused[k]]
             while following < len(lengths) and not unused[following]:
                 following += 1
-            if not rest and following == len(lengths):
+            if not len(rest) and following == len(lengths):
                 break
-            k = rest[0] if rest else following
+            # the best one that is too long fills the window
+            k = int(rest[np.argmax(score[rest])]) if len(rest) else following
             unused[k] = False
             taken = min(int(lengths[k]), room)
             pieces.append((k, 0, taken))
@@ -201,8 +208,8 @@ def fill_windows(
         yield pieces
 
 
-def _best(scores: np.ndarray, unused: np.ndarray, count: int) -> np.ndarray:
-    open_ = np.flatnonzero(unused & (scores > 0))
+def _best(scores: np.ndarray, open_: np.ndarray, count: int) -> np.ndarray:
+    """The ``count`` best of ``open_`` by falling score, equal ones in order."""
     if len(open_) > count:
         least = np.partition(scores[open_], len(open_) - count)[len(open_) - count]
         open_ = open_[scores[open_] >= least]
