@@ -186,3 +186,16 @@ def test_fingerprints(spark, edge_rows):
     one = fingerprint(documents(spark, [(1, "a b c d e f g h i", None)]).drop("kept")).first()
     assert one["near_next"] == 1.0
     assert fingerprint(documents(spark, [])).count() == 0
+
+
+def test_a_shift_without_white_space_leaves_the_fingerprint(spark):
+    rng = random.Random(5)
+    chinese = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(3000))
+    spaced = " ".join("".join(rng.choices("abcdefgh", k=rng.randint(1, 9))) for _ in range(400))
+    shared = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(GRAM + WINDOW - 1))
+    rows = [(1, chinese, ""), (2, "x" + chinese, ""), (3, spaced, ""), (4, "x" + spaced.replace(" ", "\n\n"), "")]
+    rows += [(5, "ab" * 40 + shared + "c" * 90, ""), (6, "𝒳 d" * 70 + shared + "yz" * 33, "")]
+    got = {r["doc_id"]: read_shown(r["fingerprint"]) for r in fingerprint(documents(spark, rows)).collect()}
+    assert alike(got[1], got[2]) > 0.95
+    assert alike(got[3], got[4]) > 0.95
+    assert {h for h, _ in got[5]} & {h for h, _ in got[6]}

@@ -1,10 +1,11 @@
 """Document fingerprints by winnowing.
 
-A text is cut into pieces of up to eight characters that do not cross white
-space, every run of ``GRAM`` pieces is hashed, and of each ``WINDOW``
-consecutive hashes the smallest is selected, the rightmost of equal ones,
-together with its position. Texts that share a run of ``GRAM + WINDOW - 1``
-pieces share a selected hash. Native column expressions throughout.
+The pieces of a text are its code points without white space. At every piece
+the run of ``GRAM`` pieces is hashed, and of each ``WINDOW`` consecutive hashes
+the smallest is selected, the rightmost of equal ones, together with its
+position. Texts that share ``GRAM + WINDOW - 1`` = 47 code points in a row,
+white space not counted, share a selected hash, wherever the passage begins
+and in whatever script. Native column expressions throughout.
 """
 
 from __future__ import annotations
@@ -13,12 +14,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import free_prefix, looked_up, ref, text_of
+from tidelog.llm.common import SPACES, free_prefix, looked_up, ref, text_of
 from tidelog.session import stored
 
-PIECE = r"[^\x20\x09-\x0D]{1,8}"
-GRAM = 4
-WINDOW = 8
+PIECE = r"[^\x20\x09-\x0D]"
+GRAM = 16
+WINDOW = 32
 _LOW = (1 << 31) - 1
 
 
@@ -27,7 +28,8 @@ def with_fingerprint(df: DataFrame, text: str, result: str, gram: int = GRAM, wi
 
     The high bits are 32 bits of the hash, the low 31 bits the position,
     counted down so that the smallest long of a window is its rightmost
-    minimum. A text with fewer than ``gram`` pieces is one gram; one without
+    minimum. Minima of windows are taken of two overlapping shorter ones, each
+    step a column of its own. A text with fewer than ``gram`` pieces is one gram; one without
     pieces has an empty fingerprint.
     """
     p = free_prefix(df, "fp")
@@ -43,15 +45,44 @@ def with_fingerprint(df: DataFrame, text: str, result: str, gram: int = GRAM, wi
     df = df.withColumn(
         hashed, F.when(n > 0, F.transform(grams, place)).otherwise(F.array().cast("array<bigint>"))
     )
-    starts = F.sequence(F.lit(1), F.greatest(F.size(hashed) - window + 1, F.lit(1)))
-    minima = F.transform(starts, lambda i: F.array_min(F.slice(hashed, i, window)))
-    df = df.withColumn(
-        lowest,
-        F.when(F.size(hashed) > 0, F.array_distinct(minima)).otherwise(F.array().cast("array<bigint>")),
-    )
+    df = df.withColumn(lowest, F.col(hashed))
+    width = 1
+    while width < window:
+        step = min(width, window - width)
+        after = F.slice(lowest, step + 1, F.greatest(F.size(lowest), F.lit(1)))
+        df = df.withColumn(lowest, F.zip_with(lowest, after, lambda a, b: F.least(a, b)))
+        width += step
+    minima = F.slice(lowest, 1, F.greatest(F.size(hashed) - window + 1, F.lit(1)))
+    df = df.withColumn(lowest, F.array_distinct(minima))
     return df.withColumn(result, F.col(lowest)).drop(pieces, hashed, lowest)
 
 
+def with_edited_fingerprint(
+    df: DataFrame, own: str, head: Column, tail: Column, result: str, gram: int = GRAM, window: int = WINDOW
+) -> DataFrame:
+    """Add what ``with_fingerprint`` gives for ``head`` and ``tail`` together,
+    where ``own`` is the fingerprint of a text that starts with ``head``.
+
+    What all its windows inside ``head`` select is the same in both texts;
+    only the end of ``head`` and ``tail`` are hashed.
+    """
+    p = free_prefix(df, "ed")
+    bare, first, keep, rest, late = (f"{p}{x}" for x in ("bare", "first", "keep", "rest", "late"))
+    df = df.withColumn(bare, F.translate(head, SPACES, ""))
+    grams = F.char_length(bare) - gram + 1
+    df = df.withColumn(first, F.greatest(grams - 2 * window + 1, F.lit(0)).cast("long"))
+    df = df.withColumn(keep, F.when(F.col(first) > 0, grams - window).otherwise(F.lit(-1)).cast("long"))
+    df = df.withColumn(rest, F.concat(F.substr(F.col(bare), F.col(first).cast("int") + 1), tail))
+    df = with_fingerprint(df, rest, late, gram, window)
+
+    def place(x: Column) -> Column:
+        return F.lit(_LOW) - x.bitwiseAND(F.lit(_LOW).cast("long"))
+
+    before = F.filter(own, lambda x: place(x) <= F.col(keep))
+    after = F.filter(F.transform(late, lambda x: x - F.col(first)), lambda x: place(x) > F.col(keep))
+    return df.withColumn(result, F.concat(before, after)).drop(bare, first, keep, rest, late)
+
+
 def hashes_of(selected: Column) -> Column:
     return F.array_distinct(F.transform(selected, lambda x: F.shiftright(x, 31)))
 
@@ -131,7 +162,11 @@ def fingerprint(
         F.md5(text_of(text_col)).alias(digest),
     ]
     order = _next_in_order(docs.select(ref(id_col).alias(f"{p}id"), *keyed), key, digest, f"{p}id", p)
-    texts = docs.select(*keyed, text_of(text_col).alias(text))
+    # an integer id follows from its key; without it the rows are those that gave the starts, shuffled once
+    whole = docs.schema[id_col].dataType
+    derived = isinstance(whole, T.IntegralType)
+    carried = [c for c in kept if not (derived and c == id_col)]
+    texts = docs.select(*[ref(c) for c in carried], *keyed, text_of(text_col).alias(text))
     lengths = texts.select(key, digest, F.floor(F.char_length(text) / 3).cast("int").alias(f"{p}need")).distinct()
     asked = order.join(lengths, [key, digest]).select(
         F.col(key).alias(f"{p}for_key"),
@@ -140,30 +175,26 @@ def fingerprint(
         F.col(f"{p}next_key").alias(key),
         F.col(f"{p}next_digest").alias(digest),
     )
-    given = with_fingerprint(texts.join(asked, [key, digest]), text, f"{p}selected", gram, window)
+    edited, own, new = f"{p}edited", f"{p}own", f"{p}new"
+    # hashed before the shuffle, once for the rows and for those they follow
+    texts = with_fingerprint(texts, text, own, gram, window)
+    given = texts.select(key, digest, text, own).join(asked, [key, digest])
     given = given.select(
         F.col(f"{p}for_key").alias(key),
         F.col(f"{p}for_digest").alias(digest),
         F.col(f"{p}need"),
         F.substring(F.col(text), F.lit(1), F.col(f"{p}need")).alias(f"{p}start"),
-        F.transform(hashes_of(F.col(f"{p}selected")), lambda x: (x - F.lit(1 << 31)).cast("int")).alias(f"{p}hashes"),
+        F.transform(hashes_of(F.col(own)), lambda x: (x - F.lit(1 << 31)).cast("int")).alias(f"{p}hashes"),
     )
     # a next document that is repeated gives the same answer several times
     given = given.groupBy(key, digest).agg(
         *[F.first(c).alias(c) for c in (f"{p}need", f"{p}start", f"{p}hashes")]
     )
-    # an integer id follows from its key; without it the rows are those that gave the starts, shuffled once
-    whole = docs.schema[id_col].dataType
-    derived = isinstance(whole, T.IntegralType)
-    carried = [c for c in kept if not (derived and c == id_col)]
-    rows = docs.select(*[ref(c) for c in carried], *keyed, text_of(text_col).alias(text)).join(given, [key, digest])
+    rows = texts.join(given, [key, digest])
     rows = rows.withColumn(chars, F.char_length(text))
-    edited, own, new = f"{p}edited", f"{p}own", f"{p}new"
-    rows = rows.withColumn(
-        edited, F.concat(F.substring(F.col(text), F.lit(1), F.col(chars) - F.col(f"{p}need")), F.col(f"{p}start"))
-    )
-    rows = with_fingerprint(rows, text, own, gram, window)
-    rows = with_fingerprint(rows, edited, new, gram, window)
+    head = F.substring(F.col(text), F.lit(1), F.col(chars) - F.col(f"{p}need"))
+    rows = rows.withColumn(edited, F.concat(head, F.col(f"{p}start")))
+    rows = with_edited_fingerprint(rows, own, head, F.col(f"{p}start"), new, gram, window)
     rows = rows.withColumn(f"{p}own_hashes", hashes_of(F.col(own)))
     following = F.transform(f"{p}hashes", lambda x: x.cast("long") + F.lit(1 << 31))
     same = F.when(F.col(key) != "", F.col(key)).cast(whole).alias(id_col)
