@@ -149,10 +149,7 @@ def winnow(text):
     gram = min(GRAM, len(pieces))
     hashes = []
     for i in range(len(pieces) - gram + 1):
-        seed = 42
-        for piece in pieces[i : i + gram]:
-            seed = xxhash.xxh64_intdigest(piece.encode(), seed)
-        hashes.append(seed >> 32)
+        hashes.append(xxhash.xxh64_intdigest("".join(pieces[i : i + gram]).encode(), 42) >> 32)
     chosen = set()
     for i in range(max(len(hashes) - WINDOW + 1, 1)):
         window = hashes[i : i + WINDOW]

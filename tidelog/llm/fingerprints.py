@@ -5,7 +5,9 @@ the run of ``GRAM`` pieces is hashed, and of each ``WINDOW`` consecutive hashes
 the smallest is selected, the rightmost of equal ones, together with its
 position. Texts that share ``GRAM + WINDOW - 1`` = 47 code points in a row,
 white space not counted, share a selected hash, wherever the passage begins
-and in whatever script. Native column expressions throughout.
+and in whatever script. All grams come from one pass of a pattern that looks
+``gram`` code points ahead and moves on by one. Native column expressions
+throughout.
 """
 
 from __future__ import annotations
@@ -29,22 +31,21 @@ def with_fingerprint(df: DataFrame, text: str, result: str, gram: int = GRAM, wi
     The high bits are 32 bits of the hash, the low 31 bits the position,
     counted down so that the smallest long of a window is its rightmost
     minimum. Minima of windows are taken of two overlapping shorter ones, each
-    step a column of its own. A text with fewer than ``gram`` pieces is one gram; one without
-    pieces has an empty fingerprint.
+    step a column of its own. A text of at most ``gram`` pieces is one gram; one
+    without pieces has an empty fingerprint.
     """
     p = free_prefix(df, "fp")
-    pieces, hashed, lowest = f"{p}pieces", f"{p}hashed", f"{p}lowest"
-    df = df.withColumn(pieces, F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)))
-    n = F.size(pieces)
+    bare, hashed, lowest = f"{p}bare", f"{p}hashed", f"{p}lowest"
+    df = df.withColumn(bare, F.translate(text, SPACES, ""))
+    ahead = F.lit(rf"(?s)(?=(.{{{gram}}})).")
+    grams = F.when(F.char_length(bare) > gram, F.regexp_extract_all(bare, ahead, F.lit(1))).when(
+        F.col(bare) != "", F.array(bare)
+    )
 
-    def place(i: Column) -> Column:
-        hashes = F.xxhash64(*[F.get(pieces, i + j) for j in range(gram)])
-        return F.shiftleft(F.shiftrightunsigned(hashes, 32), 31).bitwiseOR(F.lit(_LOW) - i.cast("long"))
+    def place(piece: Column, i: Column) -> Column:
+        return F.shiftleft(F.shiftrightunsigned(F.xxhash64(piece), 32), 31).bitwiseOR(F.lit(_LOW) - i.cast("long"))
 
-    grams = F.sequence(F.lit(0), F.greatest(n - gram, F.lit(0)))
-    df = df.withColumn(
-        hashed, F.when(n > 0, F.transform(grams, place)).otherwise(F.array().cast("array<bigint>"))
-    )
+    df = df.withColumn(hashed, F.coalesce(F.transform(grams, place), F.array().cast("array<bigint>")))
     df = df.withColumn(lowest, F.col(hashed))
     width = 1
     while width < window:
@@ -54,7 +55,7 @@ def with_fingerprint(df: DataFrame, text: str, result: str, gram: int = GRAM, wi
         width += step
     minima = F.slice(lowest, 1, F.greatest(F.size(hashed) - window + 1, F.lit(1)))
     df = df.withColumn(lowest, F.array_distinct(minima))
-    return df.withColumn(result, F.col(lowest)).drop(pieces, hashed, lowest)
+    return df.withColumn(result, F.col(lowest)).drop(bare, hashed, lowest)
 
 
 def with_edited_fingerprint(
@@ -105,16 +106,16 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(every == 0, F.lit(1.0)).otherwise(common / F.greatest(every, F.lit(1)))
 
 
-def _next_in_order(texts: DataFrame, key: str, digest: str, id_col: str, p: str) -> DataFrame:
-    """``key, digest`` of each text with ``next_key, next_digest``, by falling
-    id; after the last comes the first.
+def _next_in_order(texts: DataFrame, key: str, digest: str, id_col: str, need: str, p: str) -> DataFrame:
+    """``key, digest, need`` of each text with ``next_key, next_digest``, by
+    falling id; after the last comes the first.
 
     Range partitions are fixed by writing them; inside each the next row is
     read off, and only the first row of each partition crosses to another.
     """
     order = [F.col(id_col).desc_nulls_last(), F.col(digest)]
     ranged = stored(
-        texts.select(id_col, key, digest)
+        texts.select(id_col, key, digest, need)
         .distinct()
         .repartitionByRange(*order)
         .withColumn(f"{p}part", F.spark_partition_id()),
@@ -137,7 +138,7 @@ def _next_in_order(texts: DataFrame, key: str, digest: str, id_col: str, p: str)
     after = F.coalesce(f"{p}next", f"{p}over")
     linked = looked_up(ranged, heads, [f"{p}part"]).withColumn(f"{p}after", after)
     return linked.select(
-        key, digest, F.col(f"{p}after.k").alias(f"{p}next_key"), F.col(f"{p}after.d").alias(f"{p}next_digest")
+        key, digest, need, F.col(f"{p}after.k").alias(f"{p}next_key"), F.col(f"{p}after.d").alias(f"{p}next_digest")
     )
 
 
@@ -159,16 +160,17 @@ def fingerprint(
     key, digest, text, chars = f"{p}key", f"{p}digest", f"{p}text", f"{p}chars"
     keyed = [
         F.coalesce(ref(id_col).cast("string"), F.lit("")).alias(key),
-        F.md5(text_of(text_col)).alias(digest),
+        F.unhex(F.md5(text_of(text_col))).alias(digest),
     ]
-    order = _next_in_order(docs.select(ref(id_col).alias(f"{p}id"), *keyed), key, digest, f"{p}id", p)
+    need = F.floor(F.char_length(text_of(text_col)) / 3).cast("int").alias(f"{p}need")
+    given_order = docs.select(ref(id_col).alias(f"{p}id"), *keyed, need)
+    order = _next_in_order(given_order, key, digest, f"{p}id", f"{p}need", p)
     # an integer id follows from its key; without it the rows are those that gave the starts, shuffled once
     whole = docs.schema[id_col].dataType
     derived = isinstance(whole, T.IntegralType)
     carried = [c for c in kept if not (derived and c == id_col)]
     texts = docs.select(*[ref(c) for c in carried], *keyed, text_of(text_col).alias(text))
-    lengths = texts.select(key, digest, F.floor(F.char_length(text) / 3).cast("int").alias(f"{p}need")).distinct()
-    asked = order.join(lengths, [key, digest]).select(
+    asked = order.select(
         F.col(key).alias(f"{p}for_key"),
         F.col(digest).alias(f"{p}for_digest"),
         F.col(f"{p}need"),
