@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidelog.llm.classifier import fit
 from tidelog.llm.common import table
 from tidelog.llm.fingerprints import fingerprint
+from tidelog.llm.hard_negatives import hard_negatives
 from tidelog.llm.jaccard import jaccard_components
 from tidelog.llm.mixing import mix
 from tidelog.llm.packing import pack
@@ -18,6 +19,7 @@ from tidelog.llm.sharding import shard
 from tidelog.llm.token_matrix import pack_matrix, read_matrix, write_matrix
 from tidelog.llm.url_filters import RULES, filter_urls
 from tidelog.llm.warc import archived
+from tidelog.llm.whitening import whiten
 from tidelog.session import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -254,3 +256,42 @@ def op7_token_matrix(spark, sf_dir):
         F.crc32("ids").alias("ids_crc32"),
         F.crc32("positions").alias("positions_crc32"),
     )
+
+
+# --- 11: hard negatives -----------------------------------------------------
+
+_NEGATIVES = """
+WITH e AS (
+  SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+    list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, r.label = a.label AS same, CAST(list_inner_product(a.x, r.x) AS BIGINT) AS score
+  FROM e a JOIN e r ON r.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT same
+  AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5"""
+
+
+@query("op11_hard_negatives", _NEGATIVES)
+def op11_hard_negatives(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+# --- 12: embedding whitening ------------------------------------------------
+
+
+@query("op12_whitening")
+def op12_whitening(spark, sf_dir):
+    """Components have no SQL; tests compare them with the eigenvectors of the covariance."""
+    return whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding")).withColumnRenamed("id", "vec_id")
