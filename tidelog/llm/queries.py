@@ -16,6 +16,7 @@ from tidelog.llm.mixing import mix
 from tidelog.llm.packing import pack
 from tidelog.llm.quality_rules import judge
 from tidelog.llm.sharding import shard
+from tidelog.llm.substring_dedup import drop_repeats
 from tidelog.llm.token_matrix import pack_matrix, read_matrix, write_matrix
 from tidelog.llm.url_filters import RULES, filter_urls
 from tidelog.llm.warc import archived
@@ -295,3 +296,30 @@ def op11_hard_negatives(spark, sf_dir):
 def op12_whitening(spark, sf_dir):
     """Components have no SQL; tests compare them with the eigenvectors of the covariance."""
     return whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding")).withColumnRenamed("id", "vec_id")
+
+
+# --- 13: substring dedup ----------------------------------------------------
+
+_REPEATS = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+w AS (
+  SELECT r, doc_id, g.i AS i, md5(array_to_string(words[g.i : g.i + 12], ' ')) AS gram
+  FROM t, LATERAL (SELECT unnest(range(1, len(words) - 11)) AS i) g),
+least AS (SELECT gram, min(doc_id) AS least FROM w GROUP BY gram),
+gone AS (
+  SELECT DISTINCT r, unnest(range(i, i + 13)) AS j FROM w JOIN least USING (gram) WHERE least < doc_id),
+each AS (
+  SELECT r, doc_id, j, words[j] AS word FROM t, LATERAL (SELECT unnest(range(1, len(words) + 1)) AS j) g),
+kept AS (
+  SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY j) AS kept FROM each ANTI JOIN gone USING (r, j) GROUP BY r)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM t LEFT JOIN kept USING (r)"""
+
+
+@query("op13_substring_dedup", _REPEATS)
+def op13_substring_dedup(spark, sf_dir):
+    kept = drop_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")

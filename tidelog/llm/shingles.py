@@ -55,12 +55,15 @@ def _long_text(raw: bytes) -> np.ndarray:
     return np.concatenate(found) if found else np.empty(0, np.uint64)
 
 
-def word_hashes(texts: list[str | None]) -> Iterator[np.ndarray]:
-    """The words of each text in order, A-Z as a-z; texts go in chunks."""
+def word_hashes(texts: list[str | bytes | None], lower: bool = True) -> Iterator[np.ndarray]:
+    """The words of each text in order, A-Z as a-z unless told otherwise; texts
+    go in chunks."""
     waiting: list[bytes] = []
     size = 0
     for text in texts:
-        raw = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER)
+        raw = text if isinstance(text, bytes) else (text or "").encode("utf-8", "surrogatepass")
+        if lower:
+            raw = raw.translate(_LOWER)
         if size + len(raw) > CHUNK:
             yield from _several(waiting)
             waiting, size = [], 0
