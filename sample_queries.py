@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ from tidelog.operators.wide import FieldSpec
 from tidelog.plans.query import TopicQuery
 from tidelog.plans.run import json_wide, run, run_many
 from tidelog.session import configure, scratch_folder
-from tidelog.sources import offsets, schemas
+from tidelog.sources import manifest, offsets, schemas
 from tidelog.sources.sink import write_topic
 from tidelog.sources.topic import TopicSource, drop_control_records, read_topic, topic_catalog
 from tidelog.streaming.stream import StreamOptions, start_stream, stream_frame
@@ -240,6 +241,91 @@ def multi_query(spark, sf_dir):
     return panels.select_fields(merged, names)
 
 
+# --- topic tables with a manifest -------------------------------------------
+
+SPLIT = 400
+
+
+def managed_events(spark: SparkSession, sf_dir: str) -> TopicSource:
+    """The events in two appends, and a fifth partition that stays empty."""
+    target = TopicSource("managed", scratch(spark))
+    manifest.create_topic(spark, target.path, "events", 5)
+    log = topics.events_log(spark, sf_dir)
+    # the old offset orders the rows of a partition; the table gives its own
+    for part in (F.col("offset") < SPLIT, F.col("offset") >= SPLIT):
+        manifest.append(log.filter(part), target.path, order=["offset"])
+    return target
+
+
+@query(
+    "manifest_bounds",
+    EV
+    + """, p AS (SELECT "partition", count(*) AS n, min(us) AS a, max(us) AS b FROM ev GROUP BY 1
+    UNION ALL SELECT 4, 0, NULL, NULL)
+  SELECT 'events' AS topic, "partition", CAST(0 AS BIGINT) AS earliest, n AS latest, n AS messages,
+    a AS first_time, b AS last_time FROM p""",
+)
+def manifest_bounds(spark, sf_dir):
+    """Bounds and catalog without a look at the messages."""
+    zones = manifest.zones(spark, managed_events(spark, sf_dir).path)
+    listed = manifest.catalog(zones).select("topic", "partition", "messages", "first_time", "last_time")
+    return manifest.bounds(zones).join(listed, ["topic", "partition"])
+
+
+_MURMUR = """
+WITH k AS (SELECT event_id, epoch_us(ts) AS us, 'user-' || user_id AS key FROM events),
+b AS (SELECT *, len(key) AS n, list_transform(range(1, len(key) + 1), lambda i: ascii(substr(key, i, 1))::UBIGINT) AS x
+  FROM k),
+w AS (SELECT *, list_transform(range(0, n // 4), lambda i:
+    x[4 * i + 1] + x[4 * i + 2] * 256 + x[4 * i + 3] * 65536 + x[4 * i + 4] * 16777216) AS words FROM b),
+m AS (SELECT *, list_transform(list_transform(words, lambda v: (v * 1540483477) % 4294967296),
+    lambda v: (xor(v, v >> 24) * 1540483477) % 4294967296) AS mixed FROM w),
+h AS (SELECT *, list_reduce(list_prepend(xor(2538058380::UBIGINT, n::UBIGINT), mixed),
+    lambda a, v: xor((a * 1540483477) % 4294967296, v)) AS body FROM m),
+t AS (SELECT *, CASE n % 4 WHEN 0 THEN body ELSE (xor(body,
+    x[n - n % 4 + 1] + coalesce(x[n - n % 4 + 2], 0) * 256 + coalesce(x[n - n % 4 + 3], 0) * 65536)
+    * 1540483477) % 4294967296 END AS tail FROM h),
+f AS (SELECT *, (xor(tail, tail >> 13) * 1540483477) % 4294967296 AS late FROM t),
+p AS (SELECT event_id, us, key, CAST((xor(late, late >> 15) & 2147483647) % 6 AS INTEGER) AS "partition" FROM f)
+SELECT key, us AS "timestamp", "partition",
+  row_number() OVER (PARTITION BY "partition" ORDER BY event_id % 3 = 0, us, event_id) - 1 AS "offset" FROM p"""
+
+
+@query("sink_offsets", _MURMUR)
+def sink_offsets(spark, sf_dir):
+    """Two appends of keyed rows: the table chooses partitions and offsets."""
+    target = TopicSource("managed", scratch(spark))
+    manifest.create_topic(spark, target.path, "users", 6)
+    events = topics.table(spark, sf_dir, "events").select(
+        F.concat(F.lit("user-"), F.col("user_id").cast("string")).cast("binary").alias("key"),
+        F.to_json(F.struct("event_type", "value")).cast("binary").alias("value"),
+        F.lit("users").alias("topic"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+        "event_id",
+    )
+    for part in (F.col("event_id") % 3 != 0, F.col("event_id") % 3 == 0):
+        manifest.append(events.filter(part), target.path, order=["timestamp", "event_id"])
+    read = read_topic(spark, target, "users")
+    return read.select(F.col("key").cast("string").alias("key"), "timestamp", "partition", "offset")
+
+
+WINDOW = (datetime(2024, 1, 3, tzinfo=UTC), datetime(2024, 1, 9, 12, tzinfo=UTC))
+
+
+@query(
+    "time_window",
+    EV
+    + f"""SELECT us AS time, "partition", "offset", CASE WHEN NOT bad THEN event_type END AS "event.type",
+  CASE WHEN bad THEN {MALFORMED} END AS error FROM ev
+  WHERE us BETWEEN epoch_us(TIMESTAMP '2024-01-03') AND epoch_us(TIMESTAMP '2024-01-09 12:00:00')""",
+)
+def time_window(spark, sf_dir):
+    """Only files whose times meet the window are read."""
+    wanted = TopicQuery("events", offset="earliest", start_time=WINDOW[0], end_time=WINDOW[1])
+    wide = run(spark, wanted, managed_events(spark, sf_dir), fields=EVENT_COLUMNS)
+    return panels.select_fields(wide, ["time", "partition", "offset", "event.type", "error"])
+
+
 # --- JSON: decode, flatten, type, shape -----------------------------------
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 from dataclasses import asdict, dataclass, field
+from datetime import datetime
 
 from tidelog.operators.flatten import FlattenOptions
 
@@ -20,12 +21,17 @@ DEFAULT_LAST_N = 100
 
 @dataclass(frozen=True)
 class TopicQuery:
-    """One query over one topic. Unset values take the documented defaults."""
+    """One query over one topic. Unset values take the documented defaults.
+
+    ``start_time`` and ``end_time`` bound the times of messages, both included.
+    """
 
     topic: str
     partition: int | str = "all"
     offset: str = "latest"
     last_n: int = DEFAULT_LAST_N
+    start_time: datetime | None = None
+    end_time: datetime | None = None
     format: str = "json"
     key_format: str = "none"
     time_mode: str = "message"
@@ -52,6 +58,9 @@ class TopicQuery:
         _one_of("lp_precision", self.lp_precision, PRECISIONS)
         _one_of("shape", self.shape, SHAPES)
         _one_of("wire_format", self.wire_format, ("auto", "confluent", "raw"))
+        for time in (self.start_time, self.end_time):
+            if time is not None and time.tzinfo is None:
+                raise ValueError("a time bound needs a time zone")
         object.__setattr__(self, "last_n", effective_last_n(self.last_n))
 
     @property
@@ -64,6 +73,10 @@ class TopicQuery:
         record = asdict(self)
         if isinstance(self.schema, bytes):
             record["schema"] = self.schema.hex()
+        for bound in ("start_time", "end_time"):
+            time = record.pop(bound)
+            if time is not None:
+                record[bound] = time.isoformat()
         return hashlib.sha256(json.dumps(record, sort_keys=True).encode()).hexdigest()[:16]
 
 

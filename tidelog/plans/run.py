@@ -30,9 +30,11 @@ from tidelog.operators.wide import (
 )
 from tidelog.plans.query import TopicQuery
 from tidelog.session import configure
+from tidelog.sources import manifest
+from tidelog.sources.manifest import is_managed
 from tidelog.sources.offsets import after_high_water, last_n, select_partitions
 from tidelog.sources.schemas import decode_by_schema, latest_schema, topic_schemas
-from tidelog.sources.topic import TopicSource, drop_control_records, read_topic
+from tidelog.sources.topic import TopicNotFound, TopicSource, drop_control_records, read_topic
 
 
 def run(
@@ -79,21 +81,67 @@ def messages(
     bounds: DataFrame | None = None,
     stream: bool = False,
 ) -> DataFrame:
-    """The messages a query reads: topic, partitions, start, no markers."""
-    if isinstance(source, TopicSource):
-        df = read_topic(spark, source, query.topic, stream=stream, partition=query.partition)
+    """The messages a query reads: topic, partitions, start, times, no markers.
+
+    A topic that a table does not have is an error. A table with a manifest
+    answers for bounds and partitions, and only files that may hold wanted
+    messages are read.
+    """
+    count = None
+    if is_managed(source):
+        if stream:
+            raise ValueError("a table with a manifest is read in batch")
+        df, bounds, count = _managed(spark, query, source, bounds)
+    elif isinstance(source, TopicSource):
+        options = _kafka_times(query) if source.kind == "kafka" and not stream else {}
+        df = read_topic(spark, source, query.topic, stream=stream, partition=query.partition, options=options)
+        if source.kind == "table" and not stream and df.isEmpty():
+            raise TopicNotFound(f"topic {query.topic} not found")
     else:
         df = source.filter(F.col("topic") == query.topic)
-    df = select_partitions(df, query.partition)
+    df = select_partitions(df, query.partition, count)
     if query.offset == "last_n":
         df = last_n(df, query.last_n, bounds)
     elif query.offset == "latest" and not df.isStreaming:
         if bounds is None:
             raise ValueError("latest reads what is newer than given offset bounds; give them or use earliest")
         df = after_high_water(df, bounds)
+    if query.start_time is not None:
+        df = df.filter(F.col("timestamp") >= F.lit(query.start_time))
+    if query.end_time is not None:
+        df = df.filter(F.col("timestamp") <= F.lit(query.end_time))
     return drop_control_records(df) if query.drop_control else df
 
 
+def _kafka_times(query: TopicQuery) -> dict[str, str]:
+    """Reader options that let the broker find the offsets of a time window."""
+    bounds = {"startingTimestamp": query.start_time, "endingTimestamp": query.end_time}
+    return {name: str(int(time.timestamp() * 1000) + (name[0] == "e")) for name, time in bounds.items() if time is not None}
+
+
+def _managed(
+    spark: SparkSession, query: TopicQuery, source: TopicSource, given: DataFrame | None
+) -> tuple[DataFrame, DataFrame | None, int]:
+    """Messages of the files a query may need, the bounds of its topic and the
+    number of its partitions."""
+    rows = manifest.zones(spark, source.path).filter(F.col("topic") == query.topic)
+    numbers = manifest.partitions_of(rows, query.topic)
+    bounds, starts = given, None
+    if query.offset == "last_n":
+        bounds = manifest.bounds(rows) if given is None else given
+        mine = bounds.filter(F.col("topic") == query.topic).collect()
+        back = query.last_n
+        starts = {r["partition"]: max(r["latest"] - back, r["earliest"]) for r in mine}
+        bounds = spark.createDataFrame(mine, bounds.schema)
+    elif query.offset == "latest" and given is not None:
+        mine = given.filter(F.col("topic") == query.topic).collect()
+        starts = dict.fromkeys(numbers, 0) | {r["partition"]: r["latest"] for r in mine}
+        bounds = spark.createDataFrame(mine, given.schema)
+    partition = query.partition if query.partition in numbers else "all"
+    df = manifest.read_files(spark, source.path, query.topic, partition, starts, query.start_time, query.end_time)
+    return df, bounds, numbers[-1] + 1
+
+
 def _time(query: TopicQuery, error: Column) -> Column:
     """Error rows keep the message time in either mode."""
     if query.time_mode == "now":

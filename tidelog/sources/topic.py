@@ -32,7 +32,8 @@ class TopicSource:
     ``kafka``: ``options`` are the reader options (``kafka.bootstrap.servers``,
     security settings, …). ``table``: a folder of files with the topic
     columns; writing it ``partitionBy("topic", "partition")`` lets topic and
-    partition selection skip whole directories.
+    partition selection skip whole directories. ``managed``: a folder with a
+    manifest, see :mod:`tidelog.sources.manifest`.
     """
 
     kind: str = "table"
@@ -41,9 +42,9 @@ class TopicSource:
     options: Mapping[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        if self.kind not in ("kafka", "table"):
+        if self.kind not in ("kafka", "table", "managed"):
             raise ValueError(f"unknown source kind {self.kind!r}")
-        if self.kind == "table" and not self.path:
+        if self.kind != "kafka" and not self.path:
             raise ValueError("a table source needs a path")
 
 
@@ -68,6 +69,13 @@ def read_topic(
     of :func:`tidelog.sources.offsets.starting_offsets_json`; a table ignores
     it, its start is a filter.
     """
+    if source.kind == "managed":
+        if stream:
+            raise ValueError("a table with a manifest is read in batch; its files alone may hold unfinished appends")
+        from tidelog.sources import manifest
+
+        manifest.partitions_of(manifest.zones(spark, source.path), topic)
+        return manifest.read_files(spark, source.path, topic, partition)
     extra = {**source.options, **(options or {})}
     reader = spark.readStream if stream else spark.read
     if source.kind == "kafka":
