@@ -63,6 +63,7 @@ def rows():
 def test_what_is_kept_is_what_the_definition_keeps(spark, rows, monkeypatch, k, bits, chunk):
     """Few bits make hashes of different windows meet all the time."""
     monkeypatch.setattr(sub, "CHUNK_BYTES", chunk)
+    monkeypatch.setattr(sub, "GROUP_BYTES", chunk // 10)
     if bits < 64:
         rows = [r for r in rows if r[0] not in (399, 500, 400)]
     got = drop_repeats(documents(spark, rows), k=k, texts=True, hash_bits=bits)

@@ -32,6 +32,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelog.llm.common import ref
 from tidelog.llm.shingles import _STEP, _mixed, word_hashes
@@ -41,6 +42,8 @@ WINDOW = 13
 #: Text that makes a chunk, and text for which there is a bucket.
 CHUNK_BYTES = 8 << 20
 BUCKET_BYTES = 8 << 20
+#: Edges of the runs that ask for branches together.
+GROUP_BYTES = 4 << 20
 #: Bits of a hash that are compared inside a bucket.
 REST = 40
 _SEVERAL = np.uint32(1 << 31)
@@ -253,39 +256,77 @@ def branches(runs: DataFrame) -> DataFrame:
     )
 
 
-def paths_of(runs: DataFrame) -> DataFrame:
-    """``no, n, edges, least`` (runs, each once) to ``no, at, n, path, least``:
-    the nonbranching paths they are made of, with the least place of each.
-    A path is named by its first edge."""
+def in_groups(once: DataFrame) -> DataFrame:
+    """Runs with a number of their own and that of a group of runs, together
+    ``GROUP_BYTES`` of edges or one run."""
+    schema = T.StructType([*once.schema.fields, T.StructField("no", T.LongType()), T.StructField("group", T.LongType())])
 
-    def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 33
+        no, size = first, 0
+        group = first
         for batch in batches:
-            parts = [np.frombuffer(raw, np.int64) for raw in batch["edges"]]
-            sizes = [len(p) for p in parts]
-            yield pd.DataFrame(
-                {
-                    "edge": np.concatenate(parts) if parts else np.empty(0, np.int64),
-                    "no": np.repeat(batch["no"].to_numpy(), sizes),
-                    "at": np.concatenate([np.arange(s) for s in sizes]) if sizes else np.empty(0, np.int64),
-                }
+            groups = []
+            for raw in batch.column("edges"):
+                size += len(raw.as_buffer())
+                if size > GROUP_BYTES:
+                    group, size = group + 1, len(raw.as_buffer())
+                groups.append(group)
+            numbers = pa.array(range(no, no + len(groups)), pa.int64())
+            no += len(groups)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, numbers, pa.array(groups, pa.int64())], names=[*batch.schema.names, "no", "group"]
             )
 
-    spread = runs.select("no", "edges").mapInPandas(places, "edge long, no long, at int")
-    cut = spread.join(branches(runs), "edge")
-    heads = cut.where("before").select("no", "at").union(cut.where("after").select("no", F.col("at") + 1))
-    heads = heads.groupBy("no").agg(F.sort_array(F.collect_set("at")).alias("heads"))
+    return once.mapInArrow(run, schema)
+
+
+def paths_of(runs: DataFrame) -> DataFrame:
+    """``no, group, n, edges, least`` (runs, each once) to ``no, at, n, path,
+    least``: the nonbranching paths they are made of, with the least place of
+    each. A path is named by its first edge.
+
+    A group asks once for an edge, however many of its runs have it.
+    """
 
-    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for no, n, raw, heads in batch[["no", "n", "edges", "heads"]].itertuples(index=False):
-                edges = np.frombuffer(raw, np.int64)
-                at = [0] if heads is None else sorted({0, *(int(h) for h in heads if h < n)})
-                out += [(no, a, b - a, edges[a]) for a, b in zip(at, [*at[1:], n], strict=True)]
-            yield pd.DataFrame(out, columns=["no", "at", "n", "path"])
-
-    whole = runs.join(heads, "no", "left").select("no", "n", "edges", "heads")
-    rows = stored(whole.mapInPandas(split, "no long, at int, n int, path long"), "paths")
+            if not len(batch):
+                continue
+            parts = [np.frombuffer(raw, np.int64) for raw in batch["edges"]]
+            edge, group = np.concatenate(parts), np.repeat(batch["group"].to_numpy(), [len(p) for p in parts])
+            order = np.lexsort((edge, group))
+            edge, group = edge[order], group[order]
+            new = np.append(True, (edge[1:] != edge[:-1]) | (group[1:] != group[:-1]))
+            yield pd.DataFrame({"edge": edge[new], "group": group[new]})
+
+    asked = runs.select("group", "edges").mapInPandas(ask, "edge long, group long")
+    cut = asked.join(branches(runs), "edge")
+
+    def split(mine: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        if not len(mine):
+            return pd.DataFrame({"no": [], "at": [], "n": [], "path": []})
+        edges = np.concatenate([np.frombuffer(raw, np.int64) for raw in mine["edges"]])
+        sizes = mine["n"].to_numpy().astype(np.int64)
+        begins = np.cumsum(sizes) - sizes
+        known = told["edge"].to_numpy()
+        head = np.isin(edges, known[told["before"].to_numpy(bool)])
+        head[1:] |= np.isin(edges, known[told["after"].to_numpy(bool)])[:-1]
+        head[begins] = True
+        at = np.flatnonzero(head)
+        run = np.searchsorted(begins, at, side="right") - 1
+        return pd.DataFrame(
+            {
+                "no": mine["no"].to_numpy()[run],
+                "at": at - begins[run],
+                "n": np.diff(np.append(at, len(edges))),
+                "path": edges[at],
+            }
+        )
+
+    whole = runs.select("no", "group", "n", "edges").groupBy("group")
+    rows = whole.cogroup(cut.groupBy("group")).applyInPandas(split, "no long, at int, n int, path long")
+    rows = stored(rows, "paths")
     placed = rows.join(runs.select("no", "least"), "no")
     least = placed.groupBy("path").agg(
         F.min(_place("least.id", "least.key", F.col("least.start") + F.col("at"))).alias("least")
@@ -303,8 +344,8 @@ def repeated_spans(docs: DataFrame, k: int, bits: int, hash_bits: int) -> DataFr
     once = runs.groupBy("run").agg(
         F.max("n").alias("n"), F.max("edges").alias("edges"), F.min(_place()).alias("least")
     )
-    once = stored(once.withColumn("no", F.monotonically_increasing_id()), "once")
-    cut = paths_of(once.select("no", "n", "edges", "least"))
+    once = stored(in_groups(once), "once")
+    cut = paths_of(once)
     parts = cut.groupBy("no").agg(
         F.collect_list(F.struct("at", "n", "path", F.col("least.id").alias("least"))).alias("parts")
     )
