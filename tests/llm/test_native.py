@@ -62,11 +62,27 @@ def test_mix_takes_what_targets_say(spark, edge_rows):
     assert sorted(map(str, got)) == sorted(map(str, mix(documents(spark, edge_rows)).collect()))
 
 
-def test_repeated_documents_have_the_words_taken(spark, edge_rows):
+def test_repeated_documents_are_whole_and_near_the_target(spark, edge_rows):
     mixed = mix(documents(spark, edge_rows).drop("size"))
-    total = sum(r["taken"] for r in mixed.collect())
-    rows = repeated(mixed, chars_col="none").collect()
-    assert sum(len(WORD.findall(r["text"] or "")) for r in rows) == total
+    told = mixed.collect()
+    rows = repeated(mixed).collect()
+    texts = {text for _, text, _ in edge_rows}
+    assert all(r["text"] in texts for r in rows)
+    for source in {r["source"] for r in told}:
+        mine = [r for r in told if r["source"] == source]
+        words = sum(len(WORD.findall(r["text"] or "")) for r in rows if r["source"] == source)
+        # one document of a source is rounded
+        assert abs(words - sum(r["taken"] for r in mine)) <= max(r["size"] for r in mine) / 2
+    most = Counter((r["doc_id"], r["text"]) for r in told)
+    for key, n in Counter((r["doc_id"], r["text"]) for r in rows).items():
+        assert n <= 2 * most[key]
+
+
+def test_rows_without_an_id_are_spread(spark):
+    rows = [(None, f"text number {i}", "s") for i in range(200)]
+    plan = mix(documents(spark, rows)).collect()
+    assert 200 * 3 * 1.5 == sum(r["taken"] for r in plan)
+    assert {r["taken"] for r in plan} >= {3, 6}
 
 
 def test_mix_of_nothing(spark):
@@ -82,10 +98,10 @@ def repeats(words):
     return len({j for at in grams.values() if len(at) > 1 for i in at for j in (i, i + 1, i + 2)})
 
 
-@pytest.mark.parametrize("bits", [20, 5])
+@pytest.mark.parametrize("bits", [33, 3])
 def test_base_measures(spark, edge_rows, monkeypatch, bits):
-    """With few position bits the sort of structs is taken."""
-    monkeypatch.setattr(quality_rules, "_POSITION_BITS", bits)
+    """With few bits of a hash different windows meet all the time."""
+    monkeypatch.setattr(quality_rules, "_HASH_BITS", bits)
     got = judge(documents(spark, edge_rows)).collect()
     expected = Counter()
     for doc_id, text, _ in edge_rows:

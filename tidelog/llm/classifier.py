@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -203,12 +203,16 @@ def fit(
     buckets: int = BUCKETS,
     smoothing: float = SMOOTHING,
     seed: int = SEED,
+    columns: Sequence[str] = (),
 ) -> Fitted:
     """Count both models, weigh every document and find the bound for k.
 
-    Null texts and texts without words weigh null and are not kept. Without
-    labelled good and bad documents every other text is kept. Repeated rows
-    have one weight and one fate, so ties may keep more than k.
+    Null texts and texts without words weigh null and are not kept. Texts of
+    any length are read whole. Without labelled good and bad documents every
+    other text is kept. Repeated rows have one weight and one fate, so ties may
+    keep more than k. ``columns`` of ``docs`` go along with the weights, for
+    those who want the documents fitted on without weighing them again; their
+    names must differ from those of ``weights``.
     """
     p = free_prefix(docs, "qc")
     sample = stored(label_sample(labels, id_col, labelled, seed), "labels")
@@ -217,8 +221,9 @@ def fit(
     marked = docs.select(ref(id_col).alias(f"{p}id"), ref(text_col).cast("string").alias(f"{p}text"))
     marked = marked.join(known, f"{p}id", "left").withColumn(f"{p}good", F.coalesce(f"{p}good", F.lit(False)))
     ratios = log_ratios(marked, f"{p}text", f"{p}good", buckets, smoothing)
-    named = docs.select(ref(id_col).alias("id"), ref(text_col).alias("text"))
-    weights = stored(weighed(named, ratios, seed, "id", "text").drop("text"), "weights")
+    body = f"{p}text"
+    named = docs.select(ref(id_col).alias("id"), ref(text_col).alias(body), *[ref(c) for c in columns])
+    weights = stored(weighed(named, ratios, seed, "id", body).drop(body), "weights")
     judged = weights.where("log_weight IS NOT NULL").join(F.broadcast(sample), "id")
     judged = judged.select("log_weight", "good", "bad").toPandas()
     bound = best_bound(*[judged[c].to_numpy() for c in ("log_weight", "good", "bad")])
@@ -234,5 +239,6 @@ def _with_kept(rows: DataFrame, least: float) -> DataFrame:
 
 def classify(docs: DataFrame, fitted: Fitted, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``log_weight``, ``gumbel_weight`` and ``kept``, which take
-    the place of columns with these names. No shuffle."""
+    the place of columns with these names. No shuffle. Null texts and texts
+    without words are not kept; an empty table gives no rows."""
     return _with_kept(weighed(docs, fitted.ratios, fitted.seed, id_col, text_col), fitted.least)

@@ -8,17 +8,17 @@ the held ones are a prefix, and all others get weight times one level.
 
 A target is then taken as whole repetitions of every document and a fractional
 repetition, for which documents follow a seeded order (MD5 of seed and id)
-until the words are used up; only the document at the end is taken in part.
+until the words are used up; only the document at the end is counted in part.
 Words before a document are found in two steps, totals of 4,096 ranges of the
 order first, so that no source is ordered in one task. Everything is native.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import WORD, free_prefix, ref, text_of, words_of
+from tidelog.llm.common import WORD, free_prefix, ref, text_of
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -32,8 +32,9 @@ def source_targets(
     """Add ``weight``, ``target``, ``epochs`` and ``extra`` to one row per source.
 
     Sources take the weights in turn, by code point, null last. The windows
-    hold one row per source. No rows give no rows; a source without words gets
-    target 0.
+    hold one row per source, all in one task: right for some hundred thousand
+    sources, not for every host of a crawl as one. No rows give no rows; a
+    source without words gets target 0.
     """
     by_name = Window.orderBy(ref(source).asc_nulls_last())
     everything = Window.partitionBy()
@@ -72,9 +73,9 @@ def mix(
     """``docs`` with ``size``, ``source_size``, ``target`` and ``taken``.
 
     Null texts and texts without words have size 0 and are taken 0 times. Null
-    sources are one source, null ids one id. Repeated rows are rows of their
-    own; equal ids are ordered by size and text. Columns of ``docs`` with the
-    name of a result give way to it.
+    sources are one source; rows without an id are ordered by their texts.
+    Repeated rows are rows of their own; equal ids are ordered by size and
+    text. Columns of ``docs`` with the name of a result give way to it.
     """
     p = free_prefix(docs, "mix")
     results = ("size", "source_size", "target", "taken")
@@ -85,7 +86,13 @@ def mix(
         *[ref(c) for c in kept],
         F.coalesce(ref(source_col).cast("string"), F.lit("")).alias(src),
         ref(source_col).isNull().alias(none),
-        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(ref(id_col).cast("string"), F.lit("")))).alias(order),
+        # rows without an id follow their texts
+        F.md5(
+            F.concat(
+                F.lit(f"{seed}:"),
+                F.coalesce(ref(id_col).cast("string"), F.concat(F.lit(":"), F.md5(text_of(text_col)))),
+            )
+        ).alias(order),
         F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long").alias(size),
         F.crc32(text_of(text_col)).alias(tie),
     ).withColumn(bucket, F.substring(order, 1, 3))
@@ -117,23 +124,12 @@ def mix(
     )
 
 
-def repeated(mixed: DataFrame, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
-    """The documents of a mix: one row per whole repetition, and one with the
-    first words of the text for a repetition in part. ``chars_col`` follows."""
-    p = free_prefix(mixed, "rep")
+def repeated(mixed: DataFrame) -> DataFrame:
+    """The documents of a mix, a row per repetition. A repetition in part, one
+    document of a source at most, is a whole one or none, whichever is nearer
+    to what is taken: no text is cut."""
     taken, size = F.col("taken"), F.col("size")
-    whole = F.when(size > 0, F.floor(taken / F.greatest(size, F.lit(1)))).otherwise(F.lit(0)).cast("int")
-    part = (taken - whole * size).cast("int")
-    sizes = F.concat(
-        F.array_repeat(F.lit(-1), whole), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>"))
-    )
-    df = mixed.withColumn(f"{p}n", F.explode(sizes))
-
-    def cut(text: Column) -> Column:
-        first = F.array_join(F.slice(words_of(text), 1, F.col(f"{p}n")), " ")
-        return F.when(F.col(f"{p}n") < 0, text).otherwise(first)
-
-    df = df.withColumn(text_col, cut(ref(text_col)))
-    if chars_col in df.columns:
-        df = df.withColumn(chars_col, F.char_length(ref(text_col)).cast("long"))
-    return df.drop(f"{p}n", "size", "source_size", "target", "taken")
+    times = F.when(size > 0, F.floor((2 * taken + size) / F.greatest(2 * size, F.lit(1)))).otherwise(F.lit(0))
+    p = free_prefix(mixed, "rep")
+    rows = mixed.withColumn(f"{p}n", F.explode(F.array_repeat(F.lit(0), times.cast("int"))))
+    return rows.drop(f"{p}n", "size", "source_size", "target", "taken")

@@ -34,8 +34,9 @@ LINE_MOST = 100
 #: A document is depleted if a smaller share of its words than this is left.
 MIN_LEFT = 0.3
 
-#: Positions up to here share a long with a 44-bit hash; longer texts are sorted as structs.
-_POSITION_BITS = 20
+#: A position and so many bits of a hash are one long.
+_POSITION_BITS = 31
+_HASH_BITS = 33
 #: Parts of a line's documents, and of the copies of a text, where lines are looked up.
 _PARTS = 16
 
@@ -54,42 +55,38 @@ def _covered(positions: Column, width: int) -> Column:
 def with_repeated_words(df: DataFrame, words: str, result: str) -> DataFrame:
     """Add the number of words inside 3-word windows that occur twice or more.
 
-    Hash and position of a window are one long, so that sorting is a primitive
-    sort; from 2^20 words on they are sorted as structs instead. Each step is
-    a column of its own, as lambdas read the sorted array many times.
+    Some bits of a window's hash and its position are one long, so that sorting
+    is a primitive sort. Windows whose bits meet, few in most texts, are then
+    sorted by their words. Each step is a column of its own, as lambdas read
+    the sorted array many times.
     """
     p = free_prefix(df, "rep")
     n, w = F.size(words), F.col(words)
-    index = F.sequence(F.lit(0), n - 3)
-    short = n < 1 << _POSITION_BITS
-    mask = F.lit((1 << _POSITION_BITS) - 1).cast("long")
+    hashed, likely, grams, at = (f"{p}{x}" for x in ("hashed", "likely", "grams", "at"))
 
-    def window(i: Column) -> Column:
-        return F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
+    def packed(i: Column) -> Column:
+        bits = F.shiftrightunsigned(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)), 64 - _HASH_BITS)
+        return F.shiftleft(bits, _POSITION_BITS).bitwiseOR(i.cast("long"))
 
-    def starts(ordered: Column, same, place) -> Column:
-        twice = F.filter(
+    def repeats(ordered: Column, of) -> Column:
+        def same(x: Column, y: Column) -> Column:
+            return F.coalesce(of(x) == of(y), F.lit(False))
+
+        return F.filter(
             ordered,
-            lambda x, i: F.coalesce((i > 0) & same(x, F.get(ordered, i - 1)), F.lit(False))
-            | F.coalesce(same(x, F.get(ordered, i + 1)), F.lit(False)),
+            lambda x, i: ((i > 0) & same(x, F.get(ordered, i - 1))) | same(x, F.get(ordered, i + 1)),
         )
-        return F.sort_array(F.transform(twice, place))
-
-    packed = F.transform(index, lambda i: F.shiftleft(window(i), _POSITION_BITS).bitwiseOR(i.cast("long")))
-    apart = F.transform(index, lambda i: F.struct(window(i).alias("h"), i.cast("long").alias("p")))
-    df = df.withColumn(f"{p}s", F.when((n > 3) & short, F.sort_array(packed)))
-    df = df.withColumn(f"{p}l", F.when((n > 3) & ~short, F.sort_array(apart)))
-    at = F.when(
-        short,
-        starts(
-            F.col(f"{p}s"),
-            lambda a, b: F.shiftright(a, _POSITION_BITS) == F.shiftright(b, _POSITION_BITS),
-            lambda x: x.bitwiseAND(mask),
-        ),
-    ).otherwise(starts(F.col(f"{p}l"), lambda a, b: a["h"] == b["h"], lambda x: x["p"]))
-    df = df.withColumn(f"{p}at", at)
-    df = df.withColumn(result, F.coalesce(_covered(F.col(f"{p}at"), 3), F.lit(0).cast("long")))
-    return df.drop(f"{p}s", f"{p}l", f"{p}at")
+
+    def gram(x: Column) -> Column:
+        i = x.bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).cast("int")
+        return F.struct(F.concat_ws(" ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("g"), i.cast("long").alias("p"))
+
+    df = df.withColumn(hashed, F.when(n > 3, F.sort_array(F.transform(F.sequence(F.lit(0), n - 3), packed))))
+    df = df.withColumn(likely, repeats(F.col(hashed), lambda x: F.shiftright(x, _POSITION_BITS)))
+    df = df.withColumn(grams, F.sort_array(F.transform(F.col(likely), gram)))
+    df = df.withColumn(at, F.sort_array(F.transform(repeats(F.col(grams), lambda x: x["g"]), lambda x: x["p"])))
+    df = df.withColumn(result, F.coalesce(_covered(F.col(at), 3), F.lit(0).cast("long")))
+    return df.drop(hashed, likely, grams, at)
 
 
 def _normalised(line: Column) -> Column:

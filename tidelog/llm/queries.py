@@ -14,7 +14,7 @@ from tidelog.llm.hard_negatives import hard_negatives
 from tidelog.llm.jaccard import jaccard_components
 from tidelog.llm.mixing import mix
 from tidelog.llm.packing import pack
-from tidelog.llm.quality_rules import judge
+from tidelog.llm.quality_rules import LINE_MOST, judge
 from tidelog.llm.sharding import shard
 from tidelog.llm.substring_dedup import drop_repeats
 from tidelog.llm.token_matrix import pack_matrix, read_matrix, write_matrix
@@ -74,7 +74,7 @@ _MIX = r"""
 WITH sized AS (
   SELECT doc_id, source, text,
     CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-    md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS seeded
+    md5('17:' || coalesce(CAST(doc_id AS VARCHAR), ':' || md5(coalesce(text, '')))) AS seeded
   FROM documents),
 totals AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
@@ -134,7 +134,7 @@ hosts AS (SELECT source, count(DISTINCT text) AS docs FROM t GROUP BY source),
 freq AS (SELECT source, plain, count(DISTINCT text) AS docs FROM lines GROUP BY source, plain),
 gone AS (
   SELECT f.source, f.plain FROM freq f JOIN hosts h ON f.source IS NOT DISTINCT FROM h.source
-  WHERE f.docs > 10 AND f.docs > 0.05::DOUBLE * h.docs),
+  WHERE (f.docs > 10 AND f.docs > 0.05::DOUBLE * h.docs) OR f.docs > 100),
 lost AS (
   SELECT l.r, sum(len(string_split(l.plain, ' '))) AS n
   FROM lines l JOIN gone g ON l.source IS NOT DISTINCT FROM g.source AND l.plain = g.plain GROUP BY l.r),
@@ -154,7 +154,7 @@ FROM base"""
 
 @query("op6_quality_rules", _RULES)
 def op6_quality_rules(spark, sf_dir):
-    judged = judge(table(spark, sf_dir, "documents"))
+    judged = judge(table(spark, sf_dir, "documents"), line_most=LINE_MOST)
     return judged.select(
         "doc_id",
         *("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"),
@@ -167,7 +167,7 @@ def op6_quality_rules(spark, sf_dir):
 
 @query("op4_sharding")
 def op4_sharding(spark, sf_dir):
-    """Differencing has no SQL; tests compare it with a direct one."""
+    """Differencing has no SQL; tests compare it with a direct one, step by step."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     # the digest is taken first, so that no text follows its row
     placed = shard(docs.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit("")))))
@@ -230,7 +230,7 @@ def op1_packing(spark, sf_dir):
 
 @query("op9_quality_classifier")
 def op9_quality_classifier(spark, sf_dir):
-    """Counts and draws have no SQL; tests take held-out labels."""
+    """Counts and draws have no SQL; tests count and draw in plain Python."""
     fitted = fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return fitted.weights.withColumnRenamed("id", "doc_id")
 

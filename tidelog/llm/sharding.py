@@ -154,8 +154,10 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard
     """``docs`` with ``size``, ``shard`` and ``slot``.
 
     Null texts count as empty: no bytes but those of the row, and one group
-    with the empty texts. Repeated rows are rows of one group. Slots run from
-    0 without gaps in each shard. Columns with the name of a result give way.
+    with the empty texts. A very long text is one group as any other, and has a
+    shard of its own if it fills one. Repeated rows are rows of one group. Slots
+    run from 0 without gaps in each shard, by no order that means anything.
+    Columns with the name of a result give way.
     """
     p = free_prefix(docs, "shard")
     kept = [c for c in docs.columns if c not in ("size", "shard", "slot")]
@@ -165,7 +167,8 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard
         *[ref(c) for c in kept],
         F.unhex(F.md5(text)).alias(group),
         (F.octet_length(text) + ROW_BYTES).cast("long").alias(size),
-        F.pmod(F.xxhash64(id_col, F.lit(0)), F.lit(_RANGES)).alias(span),
+        # with the text, so that rows without an id are spread as well
+        F.pmod(F.xxhash64(ref(id_col), text), F.lit(_RANGES)).alias(span),
     )
     groups = stored(rows.groupBy(F.col(group).alias("group")).agg(F.sum(size).alias("bytes")), "groups")
     placed = stored(assign(groups, shards), "placed")
