@@ -75,10 +75,11 @@ def near_copies():
     return list(enumerate(rows, 10))
 
 
-@pytest.mark.parametrize("block", [1000, 3])
-def test_components_equal_all_pairs(spark, monkeypatch, block):
-    """Blocks of three cut the lists of n-grams."""
+@pytest.mark.parametrize(("block", "hot"), [(1000, 10_000), (3, 1)])
+def test_components_equal_all_pairs(spark, monkeypatch, block, hot):
+    """Blocks of three cut the lists of n-grams, classes of two are hot."""
     monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "HOT", hot)
     rows = near_copies()
     df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, token int")
     got = {r["id"]: r for r in jaccard_components(df).collect()}
@@ -93,6 +94,19 @@ def test_components_equal_all_pairs(spark, monkeypatch, block):
     assert {i: r["n_shingles"] for i, r in got.items()} == {i: len(s) for i, s in sets.items()}
 
 
+def test_a_long_list_is_not_copied(spark, monkeypatch):
+    """One list of 10,000 near copies: each row goes to one place in the pass over
+    neighbours, and none is left when they are one component."""
+    monkeypatch.setattr(jaccard, "BLOCK", 100)
+    lists = spark.range(10_000).selectExpr("7L AS token", "id AS cls", "cast(50 + id % 3 AS int) AS n", "0 AS pos").repartition(4)
+    pairs = jaccard.neighbours(lists, 85)
+    assert 10_000 * 0.99 < pairs.count() < 2 * 10_000
+    one = jaccard._in_blocks(lists.selectExpr("*", "1L AS comp"))
+    assert one.count() == 0
+    roots_ = components(pairs, "a", "b").select("root").distinct().count()
+    assert roots_ <= 8  # a batch or range partition each at most
+
+
 def test_one_row_of_each_component_stays(spark):
     rows = near_copies()
     rows += [rows[3], rows[3], (None, rows[3][1]), (None, "an only text without id"), (None, "an only text without id")]

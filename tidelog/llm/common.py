@@ -38,8 +38,11 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, SPACE), lambda w: w != "")
 
 
-def looked_up(df: DataFrame, small: DataFrame, on: list[str], rows: int = 100_000) -> DataFrame:
+def looked_up(df: DataFrame, small: DataFrame, on: list[str], rows: int = 100_000, size: int = 32 << 20) -> DataFrame:
     """Left join with ``small``, sent to every executor only if it was counted
-    and has at most ``rows`` rows; an ordinary shuffled join otherwise."""
-    known = small.limit(rows + 1).count()
-    return df.join(F.broadcast(small) if known <= rows else small, on, "left")
+    and has at most ``rows`` rows of ``size`` bytes together, as text; an
+    ordinary shuffled join otherwise."""
+    written = F.octet_length(F.to_json(F.struct(*[ref(c) for c in small.columns])))
+    known, taken = small.limit(rows + 1).agg(F.count(F.lit(1)), F.sum(written)).first()
+    fits = known <= rows and (taken or 0) <= size
+    return df.join(F.broadcast(small) if fits else small, on, "left")

@@ -14,8 +14,9 @@ What is asked for is components, so pairs inside a component that earlier
 links have joined are not needed. The join runs three times: on neighbours in
 the list of an n-gram, then on the first partner of each row, both a number of
 pairs in proportion to the lists; then on all pairs left between different
-components. Lists longer than
-``BLOCK`` are cut into blocks, and pairs of blocks are tasks of their own.
+components. Lists with one component left have nothing more to say and go
+before each of the later two. Of the others those longer than ``BLOCK`` are cut
+into blocks, and pairs of blocks are tasks of their own.
 """
 
 from __future__ import annotations
@@ -41,6 +42,8 @@ COUNTERS = 1 << 18
 PARTS = 256
 _FULL = 255
 BLOCK = 1000
+#: Classes with more documents are looked up apart from the others.
+HOT = 10_000
 
 _GROUP = 1024  # counters in a row when they are added up
 
@@ -199,13 +202,38 @@ def _overlaps(x: pd.DataFrame, i: np.ndarray, j: np.ndarray, percent: int) -> np
 LISTED = "token long, cls long, n int, pos int, comp long"
 
 
+def neighbours(lists: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` next to each other in the list of an n-gram, by size
+    or by position, that length and positions allow.
+
+    Lists are dealt by ranges, so a long one is many tasks, and read batch by
+    batch. Neighbours in different batches are no pair here; all pairs that
+    matter are tried later.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x in batches:
+            if not len(x):
+                continue
+            token, cls = x["token"].to_numpy(), x["cls"].to_numpy()
+            found = []
+            for order in (np.arange(len(x)), np.lexsort((x["pos"].to_numpy(), token))):
+                same = token[order[1:]] == token[order[:-1]]
+                i, j = order[:-1][same], order[1:][same]
+                ok = _fits(x, i, j, percent)
+                found.append(np.stack((np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j])), axis=1)[ok])
+            yield pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
+
+    ordered = lists.repartitionByRange("token", "n", "cls").sortWithinPartitions("token", "n", "cls")
+    return ordered.mapInPandas(run, "a long, b long").where("a <> b").distinct()
+
+
 def by_list(rows: DataFrame, percent: int, want: str) -> DataFrame:
     """What the lists of n-grams say about rows in different components.
 
-    ``neighbours``: the pairs ``a, b`` next to each other in order of size or
-    of position that length and positions allow. ``rows``: the rows that have
-    any partner so. ``pairs``: all pairs so, less those that ``parts`` rules
-    out; ``first``: of these the first of each row. ``rows`` has the columns of
+    ``rows``: the rows that have any partner that length and positions allow.
+    ``pairs``: all pairs ``a, b`` so, less those that ``parts`` rules out;
+    ``first``: of these the first of each row. ``rows`` has the columns of
     ``LISTED``, ``i, j, block`` and, for the last two, ``parts``. A task holds
     one list, at most two blocks long.
     """
@@ -216,7 +244,6 @@ def by_list(rows: DataFrame, percent: int, want: str) -> DataFrame:
         crossing = (x["i"] != x["j"]).to_numpy()
         found = []
         partnered = np.zeros(len(x), bool)
-        by_parts = want in ("pairs", "first")
 
         def take(i: np.ndarray, j: np.ndarray) -> None:
             ok = (comp[i] != comp[j]) & ~(crossing[i] & (block[i] == block[j]))
@@ -228,24 +255,19 @@ def by_list(rows: DataFrame, percent: int, want: str) -> DataFrame:
             if want == "rows":
                 partnered[i] = partnered[j] = True
                 return
-            if by_parts and len(i):
+            if len(i):
                 ok = _overlaps(x, i, j, percent)
                 i, j = i[ok], j[ok]
                 partnered[i] = partnered[j] = True
             if len(i):
                 found.append(np.stack((np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j])), axis=1))
 
-        if want == "neighbours":
-            for order in (np.arange(len(x)), np.lexsort((x["pos"].to_numpy(), list_of))):
-                same = list_of[order[1:]] == list_of[order[:-1]]
-                take(order[:-1][same], order[1:][same])
-        else:
-            ends = np.searchsorted(list_of, list_of, side="right")
-            here = np.arange(len(x))
-            step = 1
-            while len(here := here[here + step < ends[here]]):
-                take(here, here + step)
-                step += 1
+        ends = np.searchsorted(list_of, list_of, side="right")
+        here = np.arange(len(x))
+        step = 1
+        while len(here := here[here + step < ends[here]]):
+            take(here, here + step)
+            step += 1
         if want == "rows":
             return x.loc[partnered, [f.split()[0] for f in LISTED.split(", ")]]
         if not found:
@@ -287,10 +309,17 @@ def with_room(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInPandas(run, "a long, b long")
 
 
-def _in_blocks(lists: DataFrame, long_lists: DataFrame) -> DataFrame:
-    """Rows with the pairs of blocks they belong to; short lists are one block."""
-    rows = looked_up(lists, long_lists, ["token"])
-    blocks = F.coalesce("blocks", F.lit(1))
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    """Rows of the lists that hold two components or more, with the pairs of
+    blocks they belong to; short lists are one block."""
+    lists = (
+        rows.groupBy("token")
+        .agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("rows"))
+        .where("x <> y")
+        .select("token", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
+    )
+    rows = looked_up(rows, stored(lists, "open"), ["token"]).where("blocks IS NOT NULL")
+    blocks = F.col("blocks")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     return rows.select(
@@ -354,19 +383,11 @@ def jaccard_groups(docs: DataFrame, id_col: str, text_col: str, size: int, perce
     counts = rarity(hashed)
     rows = hashed.where("n IS NOT NULL").select("id", "key", "n", "cls", "parts")
     classes = stored(
-        rows.where("n > 0").groupBy("cls").agg(F.min("id").alias("least"), F.min("key").alias("key"), F.first("parts").alias("parts"), F.first("n").alias("n")),
+        rows.where("n > 0").groupBy("cls").agg(F.min("id").alias("least"), F.min("key").alias("key"), F.first("parts").alias("parts"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies")),
         "classes",
     )
     lists = stored(shared_tokens(prefixes(docs, size, percent, counts)), "lists")
-    long_lists = (
-        lists.groupBy("token")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .where(F.col("rows") > BLOCK)
-        .select("token", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
-    )
-    long_lists = stored(long_lists, "long")
-    alone = lists.withColumn("comp", F.col("cls"))
-    near = stored(by_list(_in_blocks(alone, long_lists), percent, "neighbours"), "pairs")
+    near = stored(neighbours(lists, percent), "pairs")
     roomy = stored(with_room(near, classes, percent), "pairs")
     links = stored(verified(roomy, docs, classes, size, percent), "links")
 
@@ -376,31 +397,47 @@ def jaccard_groups(docs: DataFrame, id_col: str, text_col: str, size: int, perce
         return rows.withColumn("comp", F.coalesce("root", F.col("cls"))).drop("root")
 
     # rows without a partner in another component have nothing more to say
-    open_rows = by_list(_in_blocks(joined(lists, links), long_lists), percent, "rows")
+    open_rows = by_list(_in_blocks(stored(joined(lists, links), "lists")), percent, "rows")
     open_rows = stored(open_rows.join(classes.select("cls", "parts"), "cls"), "lists")
-    first = by_list(_in_blocks(open_rows, long_lists), percent, "first")
+    first = by_list(_in_blocks(open_rows), percent, "first")
     first = stored(first.join(near, ["a", "b"], "left_anti"), "pairs")
     links = links.union(stored(verified(first, docs, classes, size, percent), "links"))
-    rest = by_list(_in_blocks(joined(open_rows, links), long_lists), percent, "pairs")
+    rest = by_list(_in_blocks(joined(open_rows, links)), percent, "pairs")
     rest = stored(rest.join(near.union(first), ["a", "b"], "left_anti"), "pairs")
     links = links.union(stored(verified(rest, docs, classes, size, percent), "links"))
     roots = components(links, "a", "b").withColumnRenamed("node", "cls")
     named = roots.join(classes.select("cls", "least"), "cls")
     least = named.groupBy("root").agg(F.min("least").alias("named"))
     named = named.select("cls", "root").join(least, "root").select("cls", "root", "named")
-    ids = classes.select("cls", "least").join(named, "cls", "left")
+    ids = classes.select("cls", "least", "copies").join(named, "cls", "left")
     ids = ids.select(
-        "cls", F.coalesce("root", "cls").alias("root"), F.coalesce("named", "least").alias("component_id")
+        *("cls", "copies", F.coalesce("root", "cls").alias("root")),
+        F.coalesce("named", "least").alias("component_id"),
     )
+    found = _by_class(rows.select("id", "key", "n", "cls"), stored(ids, "names"))
     full = F.col("n") > 0
-    return (
-        rows.select("id", "key", "n", "cls")
-        .join(ids, "cls", "left")
-        .select(
-            *("id", "key", "n"),
-            F.when(full, F.col("root")).alias("root"),
-            F.when(full, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
-        )
+    return found.select(
+        *("id", "key", "n"),
+        F.when(full, F.col("root")).alias("root"),
+        F.when(full, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
+    )
+
+
+def _by_class(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` with the ``root`` and ``component_id`` of their class. Classes of
+    many documents, at most one of ``HOT`` rows each, are looked up first; the
+    rows they take are spread in the join with the others."""
+    hot = ids.where(F.col("copies") > HOT).select("cls", F.col("root").alias("hot_root"), F.col("component_id").alias("hot_id"))
+    marked = looked_up(rows, hot, ["cls"])
+    done = F.col("hot_root").isNotNull()
+    # documents without n-grams, all of one class, are spread as well
+    spread = done | (F.col("n") == 0)
+    marked = marked.withColumn("at", F.when(spread, F.xxhash64("id", "key")).otherwise(F.col("cls")))
+    cold = ids.where(F.col("copies") <= HOT).select(F.col("cls").alias("at"), "root", "component_id")
+    joined = marked.join(cold, "at", "left")
+    return joined.select(
+        *("id", "key", "n", F.coalesce("hot_root", "root").alias("root")),
+        F.when(done, F.col("hot_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
 
 
