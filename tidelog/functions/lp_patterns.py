@@ -43,13 +43,14 @@ PLAIN_KEY = rf'[^=, \\"{_IN_LINE}]*+(?:{_ESCAPED}[^=, \\"{_IN_LINE}]*+)*+'
 _PLAIN_TAG = rf"{PLAIN_KEY}=[^, =\\{_IN_LINE}]*+(?:{_ESCAPED}[^, =\\{_IN_LINE}]*+)*+"
 PLAIN_FIELD = rf"{PLAIN_KEY}={PLAIN_VALUE}"
 # a blank line or a comment matches too and leaves all four groups empty
-PLAIN_LINE = (
-    r"(?md)^[ \t]*+(?:"
+_FULL_LINE = (
     rf"((?!#|{SPACE})[^, \\{_IN_LINE}]++(?:{_ESCAPED}[^, \\{_IN_LINE}]*+)*+)"
     rf"((?:,{_PLAIN_TAG})*+) ({PLAIN_FIELD}(?:,{PLAIN_FIELD})*+)"
     rf"(?: [ \t]*+({PLAIN_INT})?+)?+[ \t\r]*+"
-    rf"|(?:#[^{_IN_LINE}]*+|\r*+))$"
 )
+PLAIN_LINE = rf"(?md)^[ \t]*+(?:{_FULL_LINE}|(?:#[^{_IN_LINE}]*+|\r*+))$"
+# a text that begins with a good common line
+GOOD_START = rf"(?md)\A[ \t]*+{_FULL_LINE}$"
 EACH_PLAIN_FIELD = r'\G(?:^|,)([^=]++=(?:"[^"]*+"|[^,]++))'
 
 # --- single values ---------------------------------------------------------

@@ -91,22 +91,25 @@ def _general_lines(text: Column) -> Column:
     return let(F.transform(F.split(text, _NEW_LINE), _judge), encode)
 
 
-def parse_lines(df: DataFrame, value: str = "value") -> DataFrame:
+def parse_lines(df: DataFrame, value: str = "value", unwanted: str | None = None) -> DataFrame:
     """One row per good line, or one per message without any.
 
     Adds ``line`` (0-based) and ``_parts`` and drops ``value``. Null and empty
     payloads give no rows; bad lines beside good ones are left out.
 
     One regular expression marks the common lines of the whole message. Only a
-    message with another kind of line is judged line by line.
+    message with another kind of line is judged line by line. Lines that match
+    ``unwanted`` are made blank before that; a message without others counts
+    as good if its first line is one, and is judged whole if not.
     """
     keep = [c for c in df.columns if c != value]
     filled = df.filter(F.octet_length(value) > 0)
     text = F.col(value).cast("string")
+    slim = text if unwanted is None else F.regexp_replace(text, unwanted, "")
     marked = filled.select(
         *keep,
         value,
-        F.regexp_replace(F.rtrim(text, F.lit(_NEW_LINE)), P.PLAIN_LINE, _MARKED).alias("_marked"),
+        F.regexp_replace(F.rtrim(slim, F.lit(_NEW_LINE)), P.PLAIN_LINE, _MARKED).alias("_marked"),
     )
     # Nothing but marked lines: taking their starts away leaves no line end.
     # One of them must be a line with a measurement.
@@ -114,9 +117,11 @@ def parse_lines(df: DataFrame, value: str = "value") -> DataFrame:
     rest = F.replace(started, F.lit(_NEW_LINE + P.MARK), F.lit(""))
     any_line = F.col("_marked").rlike(f"{P.MARK}[^{P.MARK}\n]")
     all_common = ~rest.contains(_NEW_LINE) & ~text.contains(P.MARK) & any_line
-    encoded = F.when(all_common, F.split("_marked", _NEW_LINE)).otherwise(
-        rarely(text, _general_lines)
-    )
+    encoded = F.when(all_common, F.split("_marked", _NEW_LINE))
+    if unwanted is not None:
+        nothing_left = (F.col("_marked") == "") | (~any_line & ~rest.contains(_NEW_LINE))
+        encoded = encoded.when(nothing_left & text.rlike(P.GOOD_START), F.array(F.lit(_SKIPPED)))
+    encoded = encoded.otherwise(rarely(text, _general_lines))
     lines = marked.select(*keep, F.posexplode_outer(encoded).alias("line", "_parts"))
     return lines.filter(F.col("_parts") != _SKIPPED)
 
@@ -185,8 +190,11 @@ def line_columns(lines: DataFrame) -> DataFrame:
 
 
 def filtered_lines(df: DataFrame, options: LineOptions = LineOptions()) -> DataFrame:
-    """Decoded lines that pass the measurement and tag filters; error rows stay."""
-    lines = line_columns(parse_lines(df))
+    """Decoded lines that pass the measurement and tag filters; error rows stay.
+
+    Lines that cannot pass any of the filters are left out unparsed, those of
+    the field filter too: a line without a wanted field has no row."""
+    lines = line_columns(parse_lines(df, unwanted=options.filter.other_lines(df.sparkSession)))
     test = options.filter.on_line(df.sparkSession, F.col("_measurement"), F.col("tags"))
     if test is None:
         return lines
@@ -244,6 +252,17 @@ def line_time(ts: Column, message_time: Column, options: LineOptions) -> tuple[C
     return F.when(ts.isNull(), message_time).otherwise(instant), nanos
 
 
+def _is_simple(pair: Column) -> Column:
+    """By bytes; only a quoted value or an escaped name can hold another "="."""
+    return ~pair.endswith('"') & ~pair.contains("\\")
+
+
+def _field_name(pair: Column) -> Column:
+    return F.when(_is_simple(pair), F.substring_index(pair, "=", 1)).otherwise(
+        _ident(F.regexp_extract(pair, P.SPLIT_FIELD, 1))
+    )
+
+
 def lp_long(df: DataFrame, options: LineOptions = LineOptions()) -> DataFrame:
     """Long table of a line-protocol topic.
 
@@ -258,12 +277,8 @@ def lp_long(df: DataFrame, options: LineOptions = LineOptions()) -> DataFrame:
         *inner, "Time", "time_ns", "_ts", F.explode_outer("_fields").alias("_pair")
     )
     pair = F.col("_pair")
-    short_name = F.substring_index(pair, "=", 1)
-    # by bytes; only a quoted value or an escaped name can hold another "="
-    simple = ~pair.endswith('"') & ~pair.contains("\\")
-    name = F.when(simple, F.substring_index(pair, "=", 1)).otherwise(
-        _ident(F.regexp_extract(pair, P.SPLIT_FIELD, 1))
-    )
+    simple = _is_simple(pair)
+    name = _field_name(pair)
     raw = F.when(simple, F.substring_index(pair, "=", -1)).otherwise(
         F.regexp_extract(pair, P.SPLIT_FIELD, 2)
     )
@@ -307,6 +322,11 @@ def lp_tag_keys(
     exploded and shuffled does not grow with the topic.
     """
     lines = filtered_lines(df, options).filter(F.size("tags") > 0)
+    if options.filter.on_field(df.sparkSession, F.lit("")) is not None:
+        # a line without a wanted field is not part of the result
+        lines = lines.filter(
+            F.exists("_fields", lambda pair: options.filter.on_field(df.sparkSession, _field_name(pair)))
+        )
     at = message_order(F.col("timestamp"), F.col("offset"))
     lists = lines.groupBy(F.map_keys("tags").alias("keys"), "line", "partition").agg(
         F.min("timestamp").alias("time"), F.min(at).alias("at")

@@ -75,6 +75,27 @@ def split_tag_patterns(text: str) -> dict[str, list[str]]:
     return by_key
 
 
+# What a pattern may consist of to be tried inside a line: nothing that asks for
+# the end of the text, looks around or changes how the rest is read.
+_SIMPLE = re.compile(r"(?:[\w\-./%:@*+?|()\[\]]|\\[dws.\-/])*")
+
+
+def _inside(spark: SparkSession, patterns: list[str]) -> str | None:
+    """The patterns as one Java pattern to be met inside a line, or None if one
+    of them cannot be read there as it is for a whole name."""
+    parts = []
+    for pattern in patterns:
+        if pattern.isalnum():
+            parts.append(pattern)
+        elif compile_pattern(spark, pattern) is None:
+            parts.append(r"\Q" + pattern + r"\E" if r"\E" not in pattern else ".*")
+        elif _SIMPLE.fullmatch(pattern) and not re.search(r"\(\?|\[:|\[[^\]]*\[", pattern):
+            parts.append(f"(?:{pattern})")
+        else:
+            return None
+    return "(?:" + "|".join(parts) + ")"
+
+
 def _any_match(spark: SparkSession, value: Column, patterns: list[str]) -> Column:
     def test(pattern: str) -> Column:
         if pattern.isalnum():  # a plain word: equality is cheaper than a regex
@@ -102,6 +123,29 @@ class LineFilter:
             tests.append(F.coalesce(_any_match(spark, value, patterns), F.lit(False)))
         return reduce(lambda a, b: a & b, tests) if tests else None
 
+    def other_lines(self, spark: SparkSession) -> str | None:
+        """A pattern of whole lines that the filter cannot let through, or None.
+
+        It looks at the raw text: the head for the measurement, anywhere for
+        tags and fields. Every line that might pass is left alone: names and
+        values are only met as written, so a line with a backslash stays, and
+        so does one that does not start with a plain character.
+        """
+        wanted = []
+        names = split_patterns(self.measurements)
+        if names and (inside := _inside(spark, names)):
+            wanted.append(f"{inside}[, ]")
+        for key, patterns in split_tag_patterns(self.tags).items():
+            if not re.search(r"[\s,=\\]", key) and (inside := _inside(spark, patterns)):
+                wanted.append(rf"[^\n]*?,\Q{key}\E={inside}[, ]" if r"\E" not in key else "")
+        names = split_patterns(self.fields)
+        if names and (inside := _inside(spark, names)):
+            wanted.append(rf"[^\n]*?[, ]{inside}=")
+        if not any(wanted):
+            return None
+        may_pass = "".join(f"(?={w})" for w in wanted)
+        return rf"(?md)^(?![^\n]*\\|[^\n\x21-\x7e]|{may_pass})[^\n]++"
+
     def on_field(self, spark: SparkSession, field: Column) -> Column | None:
         wanted = split_patterns(self.fields)
         return _any_match(spark, field, wanted) if wanted else None
