@@ -2,7 +2,8 @@
 
 Everything is array expressions over the parsed message: no shuffle is needed
 to apply the per-message field cap or to settle two leaves with one path, and
-the same columns work on a stream.
+the same columns work on a stream. Levels are steps of a fold, so a depth of 60
+has the plan of a depth of 5.
 """
 
 from __future__ import annotations
@@ -45,6 +46,7 @@ def text_leaves(
     options: FlattenOptions = FlattenOptions(),
     prefix: str = "",
     wrap_array: bool = True,
+    separator: str = ".",
 ) -> Column:
     """Leaves of a JSON text as ``ARRAY<STRUCT<path, depth, node>>``.
 
@@ -53,16 +55,17 @@ def text_leaves(
     Arrays are leaves, except a top-level array, whose elements become
     ``item_0``, ``item_1``, ... Of two leaves with one path the shallowest
     wins. Beyond ``field_cap`` leaves the first paths in byte order are kept.
+    Another ``separator`` tells the segments of a path apart.
     """
 
     def first_level(members: Column) -> Column:
         keys = F.map_keys(members)
         distinct = F.size(F.array_distinct(keys)) == F.size(keys)
-        return F.when(distinct, _children(members, prefix)).otherwise(
-            let(V.parse(payload), lambda root: _first_level(root, prefix, wrap_array))
+        return F.when(distinct, _children(members, prefix, separator)).otherwise(
+            let(V.parse(payload), lambda root: _first_level(root, prefix, wrap_array, separator))
         )
 
-    return _below(let(V.object_fields(payload), first_level), options)
+    return _below(let(V.object_fields(payload), first_level), options, separator)
 
 
 def variant_leaves(
@@ -72,11 +75,11 @@ def variant_leaves(
     wrap_array: bool = True,
 ) -> Column:
     """As :func:`text_leaves`, for a VARIANT column."""
-    return _below(_first_level(root, prefix, wrap_array), options)
+    return _below(_first_level(root, prefix, wrap_array, "."), options, ".")
 
 
-def _first_level(root: Column, prefix: str, wrap_array: bool) -> Column:
-    members = _children(V.as_object(root), prefix)
+def _first_level(root: Column, prefix: str, wrap_array: bool, separator: str) -> Column:
+    members = _children(V.as_object(root), prefix, separator)
     if not wrap_array:
         return members
     items = F.transform(
@@ -90,54 +93,59 @@ def _leaf(path: Column, depth: Column, node: Column) -> Column:
     return F.struct(path.alias("path"), depth.alias("depth"), node.alias("node"))
 
 
-def _children(members: Column, prefix: str | Column, depth: Column | None = None) -> Column:
+def _children(members: Column, prefix: str | Column, separator: str, depth: Column | None = None) -> Column:
     depth = F.lit(1) if depth is None else depth
     parent = F.lit(prefix) if isinstance(prefix, str) else prefix
     top = isinstance(prefix, str) and not prefix
 
     def child(entry: Column) -> Column:
-        path = entry["key"] if top else F.concat(parent, F.lit("."), entry["key"])
+        path = entry["key"] if top else F.concat(parent, F.lit(separator), entry["key"])
         return _leaf(path, depth, entry["value"])
 
     return F.transform(F.map_entries(members), child)
 
 
-def _below(first: Column, options: FlattenOptions) -> Column:
+def _below(first: Column, options: FlattenOptions, separator: str) -> Column:
     """Expand the first level down to the depth bound and apply the rules."""
     if options.max_depth < 2:
         return F.when(first.isNotNull(), no_leaves())
 
+    def expand(leaf: Column) -> Column:
+        nested = _children(V.as_object(leaf["node"]), leaf["path"], separator, leaf["depth"] + 1)
+        return F.when(V.is_object(leaf["node"]), nested).otherwise(F.array(leaf))
+
+    def has_objects(items: Column) -> Column:
+        return F.exists(items, lambda leaf: V.is_object(leaf["node"]))
+
+    def deeper(items: Column, _: Column) -> Column:
+        # a level is a step of a fold: the plan is the same for any depth
+        return F.when(has_objects(items), F.flatten(F.transform(items, expand)).cast(LEAVES)).otherwise(items)
+
     def expand_all(level: Column) -> Column:
         nested = level
-        for _ in range(options.max_depth - 2):
-            nested = F.flatten(F.transform(nested, _expand))
+        if options.max_depth > 2:
+            levels = F.array_repeat(F.lit(0), options.max_depth - 2)
+            nested = F.aggregate(levels, level.cast(LEAVES), deeper)
         nested = F.filter(nested, lambda leaf: ~V.is_object(leaf["node"]))
-        deep = let(nested, lambda items: _settle(items, options.max_depth))
-        flat = F.exists(level, lambda leaf: V.is_object(leaf["node"]))
-        return F.when(flat, deep).otherwise(level)
+        deep = let(nested, _settle)
+        return F.when(has_objects(level), deep).otherwise(level)
 
     return let(let(first, expand_all), lambda items: _capped(items, options.field_cap))
 
 
-def _expand(leaf: Column) -> Column:
-    nested = _children(V.as_object(leaf["node"]), leaf["path"], leaf["depth"] + 1)
-    return F.when(V.is_object(leaf["node"]), nested).otherwise(F.array(leaf))
-
-
 def _paths(items: Column) -> Column:
     return F.transform(items, lambda leaf: leaf["path"])
 
 
-def _settle(items: Column, max_depth: int) -> Column:
+def _settle(items: Column) -> Column:
     repeated = F.size(F.array_distinct(_paths(items))) < F.size(items)
-    return F.when(repeated, _first_by_depth(items, max_depth)).otherwise(items)
-
+    return F.when(repeated, _first_by_depth(items)).otherwise(items)
 
-def _first_by_depth(items: Column, max_depth: int) -> Column:
-    def at(depth: int) -> Column:
-        return F.filter(items, lambda leaf: leaf["depth"] == depth)
 
-    ordered = F.concat(*[at(depth) for depth in range(1, max_depth)])
+def _first_by_depth(items: Column) -> Column:
+    """Of the leaves with one path the shallowest, the first of equal ones."""
+    # the sort is stable
+    ordered = F.array_sort(items, lambda a, b: a["depth"] - b["depth"])
 
     def first_only(state: Column) -> Column:
         return F.filter(

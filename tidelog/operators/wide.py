@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from itertools import combinations
+from math import comb
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,6 +22,8 @@ from tidelog.functions import variants as V
 from tidelog.functions.columns import let
 
 BAD = "\u0001bad"
+#: Ways to cut a path of unknown segments that are tried.
+GUESSES = 1000
 RESERVED = ("time", "partition", "offset", "error")
 _TYPES = {
     V.LONG: T.LongType(),
@@ -33,18 +36,24 @@ _TYPES = {
 
 @dataclass(frozen=True)
 class FieldSpec:
-    """A wanted path. ``depths`` are the numbers of key segments it was seen
-    with; empty means either fully nested or one literal dotted key."""
+    """A wanted path. ``segments`` are the key segments it was seen with. Where
+    they are not known, ``depths`` are the numbers of them; empty means either
+    fully nested or one literal dotted key."""
 
     path: str
     type: str
     mixed: bool = False
     depths: tuple[int, ...] = ()
+    segments: tuple[tuple[str, ...], ...] = ()
 
     def accessors(self) -> list[tuple[str, ...]]:
         """Key segments to try, shallowest first."""
+        if self.segments:
+            return sorted(self.segments, key=lambda s: (len(s), s))
         parts = self.path.split(".")
         depths = self.depths or ((1, len(parts)) if len(parts) > 1 else (1,))
+        if sum(comb(len(parts) - 1, d - 1) for d in set(depths)) > GUESSES:
+            raise ValueError(f"{self.path!r} can be cut in too many ways: give its segments")
         found = []
         for depth in sorted(set(depths)):
             for cuts in combinations(range(1, len(parts)), depth - 1):

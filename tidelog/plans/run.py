@@ -19,7 +19,7 @@ from tidelog.operators.flatten import (
     merge_key_leaves,
     text_leaves,
 )
-from tidelog.operators.infer import field_list, infer_fields
+from tidelog.operators.infer import find_fields
 from tidelog.operators.lineprotocol import LineOptions, lp_long, lp_tag_keys, lp_wide
 from tidelog.operators.wide import (
     FieldSpec,
@@ -158,7 +158,7 @@ def _key_specs(df: DataFrame, query: TopicQuery, given: Sequence[FieldSpec] | No
         return []
     if given is None:
         options = query.flatten
-        given = field_list(infer_fields(df, "key", options, prefix="key"))
+        given = find_fields(df, "key", options, prefix="key")
     return in_column_order(given)
 
 
@@ -169,7 +169,7 @@ class _Key:
         self.format = query.key_format
         self.specs = _key_specs(df, query, given)
         inner = [
-            FieldSpec(s.path.removeprefix("key."), s.type, s.mixed, s.depths) for s in self.specs
+            FieldSpec(s.path.removeprefix("key."), s.type, s.mixed, s.depths, s.segments) for s in self.specs
         ]
         self.reader = wide_reader(inner) if inner else None
 
@@ -225,7 +225,7 @@ def json_wide(
     payload is judged a second time only if that pass met something odd."""
     if fields is None:
         options = query.flatten
-        fields = field_list(infer_fields(df, "value", options))
+        fields = find_fields(df, "value", options)
     reader = wide_reader(fields)
     key = _Key(df, query, key_fields)
     parsed = df.select("*", reader.parsed(F.col("value")).alias("_record"), *key.parsed())
