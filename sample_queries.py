@@ -33,7 +33,7 @@ from tidelog.operators.lineprotocol import (
 )
 from tidelog.operators.wide import FieldSpec
 from tidelog.plans.query import TopicQuery
-from tidelog.plans.run import json_wide, run, run_many
+from tidelog.plans.run import json_wide, run, run_many, run_shared
 from tidelog.session import configure, scratch_folder
 from tidelog.sources import manifest, offsets, schemas
 from tidelog.sources.sink import write_topic
@@ -241,6 +241,30 @@ def multi_query(spark, sf_dir):
     return panels.select_fields(merged, names)
 
 
+@query(
+    "multi_query_shared",
+    EV
+    + f""", b AS (SELECT "partition" AS p, max("offset") + 1 - 50 AS start FROM ev GROUP BY 1), q AS (
+  SELECT 'A' AS ref_id, ev.*, "partition" AS shown FROM ev
+  UNION ALL SELECT 'B', ev.*, NULL FROM ev WHERE "partition" = 2
+  UNION ALL SELECT 'C', ev.*, "partition" FROM ev JOIN b ON p = "partition" WHERE "offset" >= start
+  UNION ALL SELECT 'D', ev.*, "partition" FROM ev
+    WHERE us BETWEEN epoch_us(TIMESTAMP '2024-01-03') AND epoch_us(TIMESTAMP '2024-01-09 12:00:00'))
+  SELECT ref_id, shown AS "partition", "offset", us AS time, CASE WHEN NOT bad THEN event_type END AS "event.type",
+    CASE WHEN NOT bad AND NOT nulled THEN value END AS value, CASE WHEN bad THEN {MALFORMED} END AS error FROM q""",
+)
+def multi_query_shared(spark, sf_dir):
+    """Four queries, one scan and one parse."""
+    wanted = [
+        TopicQuery("events", offset="earliest", ref_id="A"),
+        TopicQuery("events", offset="earliest", partition=2, ref_id="B"),
+        TopicQuery("events", offset="last_n", last_n=50, ref_id="C"),
+        TopicQuery("events", offset="earliest", start_time=WINDOW[0], end_time=WINDOW[1], ref_id="D"),
+    ]
+    merged = run_shared(spark, wanted, topics.events_log(spark, sf_dir), fields=EVENT_COLUMNS)
+    return panels.select_fields(merged, ["ref_id", "partition", "offset", "time", "event.type", "value", "error"])
+
+
 # --- topic tables with a manifest -------------------------------------------
 
 SPLIT = 400
@@ -416,6 +440,40 @@ def flatten_wide(spark, sf_dir):
     return run(spark, wanted, topics.events_log(spark, sf_dir))
 
 
+@query(
+    "wide_extra",
+    EV
+    + f"""SELECT "partition", "offset", CASE WHEN NOT bad THEN event_type END AS "event.type",
+  CASE WHEN NOT bad THEN 4 END AS others, CASE WHEN NOT bad THEN CAST(user_id AS VARCHAR) END AS user,
+  CASE WHEN NOT bad THEN CAST(k AS VARCHAR) END AS k, CASE WHEN NOT bad THEN '["a","b"]' END AS tags,
+  NOT bad AND nulled AS null_value, CASE WHEN bad THEN {MALFORMED} END AS error FROM ev""",
+)
+def wide_extra(spark, sf_dir):
+    """One column is asked for; all other paths are in the map."""
+    wanted = TopicQuery("events", offset="earliest", extra=True)
+    wide = run(spark, wanted, topics.events_log(spark, sf_dir), fields=EVENT_COLUMNS[:1])
+    more = lambda path: F.try_element_at("extra", F.lit(path))
+    return wide.select(
+        *("partition", "offset", ref("event.type")),
+        F.when(F.col("extra").isNotNull(), F.size("extra")).alias("others"),
+        *(more("event.user.id").alias("user"), more("props.k").alias("k"), more("tags").alias("tags")),
+        (F.col("extra").isNotNull() & more("value").isNull()).alias("null_value"),
+        "error",
+    )
+
+
+@query(
+    "flatten_deep",
+    EV + """SELECT "offset", "partition", repeat('a.', 39) || 'id' AS path, event_id AS v_long FROM ev""",
+)
+def flatten_deep(spark, sf_dir):
+    """Objects in objects, forty deep."""
+    value = F.concat(F.lit('{"a":' * 39 + '{"id":'), F.col("event_id").cast("string"), F.lit("}" * 40))
+    log = topics.events_with(spark, sf_dir, value)
+    long = flatten_long(log.select("partition", "offset", "value"), options=FlattenOptions(60))
+    return long.select("offset", "partition", "path", "v_long")
+
+
 @query(
     "array_text",
     """SELECT vec_id // 4 AS "offset", vec_id AS "vec.vec_id", label AS "vec.label",

@@ -8,6 +8,7 @@ has the plan of a depth of 5.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -186,6 +187,26 @@ def merge_key_leaves(value_items: Column, key_items: Column) -> Column:
     return let(value_items, bind)
 
 
+def left_over(items: Column, columns: Sequence[str]) -> Column:
+    """The leaves that are no column as a map of path to text: strings as they
+    are, everything else as JSON, null as null."""
+
+    def entry(leaf: Column) -> Column:
+        def text(kind: Column) -> Column:
+            written = F.to_json(leaf["node"])
+            return (
+                F.when(kind == V.STRING, F.try_variant_get(leaf["node"], "$", "string"))
+                .when(kind == V.JSON, V.escape_markup(written))
+                .when(kind != V.NULL, written)
+            )
+
+        return F.struct(leaf["path"].alias("key"), let(V.leaf_type(leaf["node"]), text).alias("value"))
+
+    known = F.array(*[F.lit(c) for c in columns]).cast("array<string>")
+    others = F.filter(items, lambda leaf: ~F.array_contains(known, leaf["path"]))
+    return F.map_from_entries(F.transform(others, entry))
+
+
 def explode_leaves(df: DataFrame, items: str, keep_empty: bool = False) -> DataFrame:
     """One row per leaf of the array column ``items``, which is replaced by
     ``path, type, v_long, v_double, v_bool, v_str``.

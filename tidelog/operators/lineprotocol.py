@@ -271,7 +271,8 @@ def lp_long(df: DataFrame, options: LineOptions = LineOptions()) -> DataFrame:
     """
     lines = filtered_lines(df, options)
     when, nanos = line_time(F.col("_ts"), F.col("timestamp"), options)
-    inner = ["topic", "partition", "offset", "line", "_measurement", "tags", "error"]
+    carried = [c for c in lines.columns if c == "_routes"]
+    inner = ["topic", "partition", "offset", "line", "_measurement", "tags", "error", *carried]
     timed = lines.select(*inner, when.alias("Time"), nanos.alias("time_ns"), "_ts", "_fields")
     pairs = timed.select(
         *inner, "Time", "time_ns", "_ts", F.explode_outer("_fields").alias("_pair")
@@ -308,6 +309,7 @@ def lp_long(df: DataFrame, options: LineOptions = LineOptions()) -> DataFrame:
         F.coalesce("error", late).alias("error"),
         "time_ns",
         "line",
+        *carried,
     )
 
 

@@ -24,6 +24,8 @@ class TopicQuery:
     """One query over one topic. Unset values take the documented defaults.
 
     ``start_time`` and ``end_time`` bound the times of messages, both included.
+    ``extra`` adds to the wide shape of JSON a map of all paths that are no
+    column.
     """
 
     topic: str
@@ -46,6 +48,7 @@ class TopicQuery:
     ref_id: str = ""
     alias: str = ""
     shape: str = "wide"
+    extra: bool = False
     drop_control: bool = True
     flatten: FlattenOptions = field(default_factory=FlattenOptions)
 
@@ -61,6 +64,8 @@ class TopicQuery:
         for time in (self.start_time, self.end_time):
             if time is not None and time.tzinfo is None:
                 raise ValueError("a time bound needs a time zone")
+        if self.extra and (self.format, self.shape) != ("json", "wide"):
+            raise ValueError("extra is for the wide shape of JSON")
         object.__setattr__(self, "last_n", effective_last_n(self.last_n))
 
     @property
@@ -77,6 +82,8 @@ class TopicQuery:
             time = record.pop(bound)
             if time is not None:
                 record[bound] = time.isoformat()
+        if not record["extra"]:
+            del record["extra"]
         return hashlib.sha256(json.dumps(record, sort_keys=True).encode()).hexdigest()[:16]
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,12 +18,14 @@ from tidelog.operators.avro import FAILED as AVRO_FAILED
 from tidelog.operators.avro import avro_body
 from tidelog.operators.flatten import (
     explode_leaves,
+    left_over,
     merge_key_leaves,
     text_leaves,
 )
 from tidelog.operators.infer import find_fields
 from tidelog.operators.lineprotocol import LineOptions, lp_long, lp_tag_keys, lp_wide
 from tidelog.operators.wide import (
+    RESERVED,
     FieldSpec,
     column_names,
     in_column_order,
@@ -32,11 +36,15 @@ from tidelog.plans.query import TopicQuery
 from tidelog.session import configure
 from tidelog.sources import manifest
 from tidelog.sources.manifest import is_managed
-from tidelog.sources.offsets import after_high_water, last_n, select_partitions
+from tidelog.sources.offsets import after_high_water, last_n, offset_bounds, select_partitions
 from tidelog.sources.schemas import decode_by_schema, latest_schema, topic_schemas
 from tidelog.sources.topic import TopicNotFound, TopicSource, drop_control_records, read_topic
 
 
+#: The queries a row goes to, where several share a scan.
+ROUTES = "_routes"
+
+
 def run(
     spark: SparkSession,
     query: TopicQuery,
@@ -56,22 +64,35 @@ def run(
     """
     configure(spark)
     df = messages(spark, query, source, bounds)
+    return shaped(df, query, fields=fields, key_fields=key_fields, tag_keys=tag_keys, schemas=schemas)
+
+
+def shaped(
+    df: DataFrame,
+    query: TopicQuery,
+    *,
+    fields: Sequence[FieldSpec] | None = None,
+    key_fields: Sequence[FieldSpec] | None = None,
+    tag_keys: Sequence[str] | None = None,
+    schemas: DataFrame | None = None,
+) -> DataFrame:
+    """The messages of ``df`` decoded, shaped and named as ``query`` says."""
     if query.format == "lineprotocol":
         return _name(_line_protocol(df, query, tag_keys), query, "Time")
     if query.format == "plaintext":
         plain = decode.decode_plaintext(df)
-        shaped = _fixed(plain, query, {"message": F.col("message")}, F.lit(None).cast("string"), key_fields)
+        rows = _fixed(plain, query, {"message": F.col("message")}, F.lit(None).cast("string"), key_fields)
     elif query.format == "json":
         if query.shape == "long":
             return _name(json_long(df, query), query, "time")
         if query.shape == "variant":
             body = decode.decode_json(df)
-            shaped = _fixed(body, query, {"body": F.col("body")}, F.col("error"), key_fields)
+            rows = _fixed(body, query, {"body": F.col("body")}, F.col("error"), key_fields)
         else:
-            shaped = json_wide(df, query, fields, key_fields)
+            rows = json_wide(df, query, fields, key_fields)
     else:
-        shaped = _binary(df, query, schemas, key_fields)
-    return _name(shaped, query, "time")
+        rows = _binary(df, query, schemas, key_fields)
+    return _name(rows, query, "time")
 
 
 def messages(
@@ -186,24 +207,36 @@ class _Key:
 
 
 def _assemble(
-    df: DataFrame, query: TopicQuery, key: _Key, values: dict[str, Column], error: Column
+    df: DataFrame,
+    query: TopicQuery,
+    key: _Key,
+    values: dict[str, Column],
+    error: Column,
+    extra: Column | None = None,
 ) -> DataFrame:
-    """``time, [partition], offset, key fields, value fields, error``; of a key
-    and a value field with one name the value stays."""
+    """``time, [partition], offset, key fields, value fields, [extra], error``;
+    of a key and a value field with one name the value stays. Routes go along."""
     keys = {n: c for n, c in key.columns().items() if n not in values}
     good = error.isNull()
     shown = {n: F.when(good, c) for n, c in sorted(keys.items(), key=lambda i: i[0].encode())}
-    names = column_names([*shown, *values])
+    taken = RESERVED if extra is None else (*RESERVED, "extra")
+    names = column_names([*shown, *values], taken)
     return df.select(
         _time(query, error).alias("time"),
         *_partition(query),
         "offset",
         *[c.alias(names[n]) for n, c in shown.items()],
         *[c.alias(names[n]) for n, c in values.items()],
+        *([] if extra is None else [F.when(good, extra).alias("extra")]),
         error.alias("error"),
+        *_carried(df),
     )
 
 
+def _carried(df: DataFrame) -> list[str]:
+    return [ROUTES] if ROUTES in df.columns else []
+
+
 def _fixed(
     df: DataFrame,
     query: TopicQuery,
@@ -233,7 +266,8 @@ def json_wide(
     judged = parsed.withColumn("_error", error)
     found = reader.columns("_record", F.col("value"))
     values = {s.path: found[s.path] for s in in_column_order(fields)}
-    return _assemble(judged, query, key, values, F.col("_error"))
+    extra = left_over(text_leaves(F.col("value"), query.flatten), list(values)) if query.extra else None
+    return _assemble(judged, query, key, values, F.col("_error"), extra)
 
 
 def json_long(df: DataFrame, query: TopicQuery) -> DataFrame:
@@ -245,9 +279,9 @@ def json_long(df: DataFrame, query: TopicQuery) -> DataFrame:
         keys = decode.key_leaves(F.col("key"), "json", query.flatten)
         items = merge_key_leaves(items, keys)
     topic = ["topic", "partition", "offset", "timestamp"]
-    kept = df.select(*topic, "key", "value", items.alias("_items"))
+    kept = df.select(*topic, "key", "value", *_carried(df), items.alias("_items"))
     error = F.when(F.col("_items").isNull(), json_error(F.col("value")))
-    judged = kept.select(*topic, "key", error.alias("error"), "_items")
+    judged = kept.select(*topic, "key", error.alias("error"), *_carried(df), "_items")
     leaves = explode_leaves(judged, "_items", keep_empty=True).filter(
         F.col("path").isNotNull() | F.col("error").isNotNull()
     )
@@ -268,6 +302,7 @@ def json_long(df: DataFrame, query: TopicQuery) -> DataFrame:
         "v_bool",
         "v_str",
         "error",
+        *_carried(df),
     )
 
 
@@ -374,7 +409,10 @@ def run_many(
     valid = [q for q in queries if q.is_valid]
     if not valid:
         raise ValueError("no valid query")
-    parts = [naming.with_ref_id(run(spark, q, source, **options), q.ref_id) for q in valid]
+    return _union([naming.with_ref_id(run(spark, q, source, **options), q.ref_id) for q in valid])
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
     types: dict[str, set[str]] = {}
     for part in parts:
         for f in part.schema.fields:
@@ -395,3 +433,123 @@ def run_many(
 
 def _common(kinds: set[str]) -> T.DataType:
     return T.DoubleType() if kinds <= {"bigint", "int", "double"} else T.StringType()
+
+
+def run_shared(
+    spark: SparkSession, queries: Sequence[TopicQuery], source: TopicSource | DataFrame, **options
+) -> DataFrame:
+    """The rows of :func:`run_many`, with one scan and one parse for all queries
+    that decode a topic in the same way.
+
+    Each message is marked with the queries that want it (by partition, start,
+    times), parsed once if there is any, and its rows go to each of them; the
+    line filters of a query are asked when its rows are there. Queries that
+    differ in anything else, another topic included, have a scan of their own,
+    and so have those in binary formats and of line protocol in the wide shape,
+    whose columns follow from their filters. Names of wide columns are not
+    kept; long rows have their series.
+    """
+    configure(spark)
+    valid = [q for q in queries if q.is_valid]
+    if not valid:
+        raise ValueError("no valid query")
+    groups: dict[object, list[TopicQuery]] = {}
+    for number, q in enumerate(valid):
+        apart = q.format in ("avro", "protobuf") or (q.format, q.shape) == ("lineprotocol", "wide")
+        groups.setdefault(number if apart else _decoding(q), []).append(q)
+    parts = []
+    for members in groups.values():
+        if len(members) > 1:
+            parts.append(_routed(spark, _decoding(members[0]), members, source, options))
+        else:
+            parts.append(naming.with_ref_id(run(spark, members[0], source, **options), members[0].ref_id))
+    return _union(parts)
+
+
+def _decoding(query: TopicQuery) -> TopicQuery:
+    """What queries that share a parse have in common."""
+    return replace(
+        query, partition="all", offset="earliest", last_n=0, start_time=None, end_time=None,
+        lp_measurements="", lp_fields="", lp_tags="", ref_id="", alias="",
+    )
+
+
+def _wants(query: TopicQuery, bounds: DataFrame | None) -> Column:
+    """Whether a query wants a message; the same tests as in :func:`messages`."""
+    tests = [] if query.partition == "all" else [F.col("partition") == int(query.partition)]
+    if query.offset != "earliest":
+        known = {r["partition"]: r for r in bounds.filter(F.col("topic") == query.topic).collect()}
+        start = F.lit(None).cast("bigint")
+        for p, r in known.items():
+            first = r["latest"] if query.offset == "latest" else max(r["latest"] - query.last_n, r["earliest"])
+            start = F.when(F.col("partition") == p, F.lit(first)).otherwise(start)
+        # a partition without bounds is new as a whole, and has no last messages
+        tests.append(F.coalesce(F.col("offset") >= start, F.lit(query.offset == "latest")))
+    if query.start_time is not None:
+        tests.append(F.col("timestamp") >= F.lit(query.start_time))
+    if query.end_time is not None:
+        tests.append(F.col("timestamp") <= F.lit(query.end_time))
+    return reduce(and_, tests, F.lit(True))
+
+
+def _marked(routes: list[Column | None]) -> Column:
+    """The numbers of the routes that hold."""
+    numbers = [F.when(test, F.lit(i)) for i, test in enumerate(routes)]
+    return F.filter(F.array(*numbers), lambda i: i.isNotNull())
+
+
+def _routed(
+    spark: SparkSession, base: TopicQuery, members: list[TopicQuery], source: TopicSource | DataFrame, options: dict
+) -> DataFrame:
+    options = dict(options)
+    bounds = options.pop("bounds", None)
+    wide = dict.fromkeys(("start_time", "end_time"))
+    if all(q.start_time for q in members):
+        wide["start_time"] = min(q.start_time for q in members)
+    if all(q.end_time for q in members):
+        wide["end_time"] = max(q.end_time for q in members)
+    if any(q.offset == "latest" for q in members) and bounds is None:
+        raise ValueError("latest reads what is newer than given offset bounds; give them or use earliest")
+    df = messages(spark, replace(base, **wide), source)
+    count = None
+    if is_managed(source):
+        count = manifest.partitions_of(manifest.zones(spark, source.path), base.topic)[-1] + 1
+    numbers = [q.partition for q in members if q.partition != "all"]
+    if numbers:
+        # one look at the highest; the others are only checked against it
+        select_partitions(df, max(numbers), count)
+        for p in numbers:
+            select_partitions(df, p, int(max(numbers)) + 1)
+    if any(q.offset == "last_n" for q in members) and bounds is None:
+        bounds = manifest.bounds(manifest.zones(spark, source.path)) if is_managed(source) else offset_bounds(df)
+        bounds = spark.createDataFrame(bounds.filter(F.col("topic") == base.topic).collect(), bounds.schema)
+    df = df.withColumn(ROUTES, _marked([_wants(q, bounds) for q in members])).filter(F.size(ROUTES) > 0)
+    rows = shaped(df, base, **options)
+    if base.format == "lineprotocol":
+        rows = rows.withColumn(ROUTES, _marked([_lets_through(spark, q, i) for i, q in enumerate(members)]))
+    at = "_route"
+    rows = rows.withColumn(at, F.explode(ROUTES)).drop(ROUTES)
+    always = base.format == "lineprotocol" or (base.format, base.shape) == ("json", "long")
+    if not always and "partition" in rows.columns:
+        # a query of one partition does not show it
+        every = F.array(*[F.lit(q.partition == "all") for q in members])
+        rows = rows.withColumn("partition", F.when(F.get(every, F.col(at)), F.col("partition")))
+    field = next((c for c in ("path", "_field") if c in rows.columns), None)
+    if field is not None and any(q.alias for q in members):
+        partition = F.col("partition") if "partition" in rows.columns else F.lit(0)
+        named = [
+            naming.series_name(q.alias, F.lit(q.topic), partition, q.ref_id, F.col(field)) if q.alias else F.lit(None)
+            for q in members
+        ]
+        rows = rows.withColumn("series", F.get(F.array(*named), F.col(at)))
+    refs = F.array(*[F.lit(q.ref_id) for q in members])
+    return rows.withColumn("ref_id", F.get(refs, F.col(at))).drop(at)
+
+
+def _lets_through(spark: SparkSession, query: TopicQuery, number: int) -> Column:
+    """Whether a row of a long table goes to a route that its message goes to."""
+    lines = LineOptions(measurements=query.lp_measurements, fields=query.lp_fields, tags=query.lp_tags).filter
+    tests = [lines.on_line(spark, F.col("_measurement"), F.col("tags")), lines.on_field(spark, F.col("_field"))]
+    passed = reduce(and_, [t for t in tests if t is not None], F.lit(True))
+    bad = F.col("error").isNotNull() & (F.col("_measurement") == "")
+    return F.array_contains(ROUTES, number) & (bad | passed)
