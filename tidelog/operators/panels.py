@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions.columns import message_order, ref
+from tidelog.session import stored
 
 # rows whose totals one task of the moving mean adds up
 PIECE_ROWS = 4096
+#: Ranges of series that are sent to every executor.
+RANGES_SENT = 100_000
+_ROW_BITS = (1 << 33) - 1
 
 
 def select_fields(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -59,16 +63,6 @@ def footer_sum(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     return df.groupBy(*[ref(c) for c in by]).agg(F.sum(ref(value)).alias("sum"))
 
 
-def _stretch(df: DataFrame, column: str) -> Column:
-    """A coarse step of an ordering column: an hour, or 4,096 of a number."""
-    kind = df.schema[column].dataType
-    if isinstance(kind, T.TimestampType):
-        return F.floor(F.unix_micros(ref(column)) / F.lit(3_600_000_000))
-    if isinstance(kind, T.NumericType):
-        return F.floor(ref(column) / F.lit(PIECE_ROWS))
-    return F.lit(0).cast("bigint")
-
-
 def _same(columns: Sequence[str], mark: str) -> Column:
     """Null-safe equality of columns with those of a side renamed by ``mark``."""
     test = F.lit(True)
@@ -90,34 +84,49 @@ def moving_mean(
     A series is cut into blocks as long as its window. A window is then the
     end of one block and the beginning of the next: two totals that are added,
     so no value is taken off again and none can spoil what follows it. Rows
-    are numbered from counts per hour (or per step of a number), and totals
-    are taken in pieces of ``PIECE_ROWS``, so no series is one task.
+    are dealt by sampled ranges of series and order and numbered from the
+    counts of these, and totals are taken in pieces of ``PIECE_ROWS``, so no
+    series is one task. What is shuffled after that are places and totals;
+    the rows themselves are joined to their means at the end.
     """
     keys = [f"_k{i}" for i in range(len(series))]
+    by_order = [f"_o{i}" for i in range(len(order))]
     base = df.select(
         F.struct(*[ref(c) for c in df.columns]).alias("_own"),
         *[ref(c).alias(k) for c, k in zip(series, keys, strict=True)],
-        *[ref(c).alias(f"_o{i}") for i, c in enumerate(order)],
-        _stretch(df, order[0]).alias("_step"),
-        F.coalesce(ref(value).cast("double"), F.lit(0.0)).alias("_v"),
-        F.when(ref(value).isNotNull(), 1).otherwise(0).cast("bigint").alias("_c"),
+        *[ref(c).alias(o) for c, o in zip(order, by_order, strict=True)],
     )
-    by_order = [f"_o{i}" for i in range(len(order))]
+    ranged = base.repartitionByRange(*keys, *by_order).sortWithinPartitions(*keys, *by_order)
+    ranged = ranged.select(
+        "_own",
+        *keys,
+        F.spark_partition_id().alias("_part"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)).alias("_idx"),
+    )
+    ranged = stored(ranged, "series")
     whole = Window.partitionBy(*keys)
-    steps = base.groupBy(*keys, "_step").agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = whole.orderBy("_step").rowsBetween(Window.unboundedPreceding, -1)
-    steps = steps.select(
-        *[F.col(c).alias(f"{c}_r") for c in (*keys, "_step")],
+    earlier = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # a row per series and range that meet
+    ranges = ranged.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_rows"), F.min("_idx").alias("_first"))
+    ranges = ranges.select(
+        *[F.col(c).alias(f"{c}_r") for c in (*keys, "_part")],
         F.sum("_rows").over(whole).alias("_n"),
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
+        (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
     )
-    inside = Window.partitionBy(*keys, "_step").orderBy(*by_order)
-    rows = base.withColumn("_at", F.row_number().over(inside) - 1)
-    rows = rows.join(steps, _same([*keys, "_step"], "_r"))
-    rows = rows.withColumn("_at", F.col("_at") + F.col("_before"))
+    ranges = stored(ranges, "ranges")
+    if ranges.count() <= RANGES_SENT:
+        ranges = F.broadcast(ranges)
+    own = F.col("_own").getField(value)
+    rows = ranged.select(
+        *keys, "_part", "_idx",
+        F.coalesce(own.cast("double"), F.lit(0.0)).alias("_v"),
+        F.when(own.isNotNull(), 1).otherwise(0).cast("bigint").alias("_c"),
+    )
+    rows = rows.join(ranges, _same([*keys, "_part"], "_r"))
+    rows = rows.withColumn("_at", F.col("_idx") + F.col("_shift"))
     rows = rows.withColumn("_w", F.greatest(F.lit(1), F.round(F.col("_n") * fraction).cast("bigint")))
     rows = rows.select(
-        "_own", *keys, "_at", "_w", "_n", "_v", "_c",
+        *keys, "_part", "_idx", "_at", "_w", "_n", "_v", "_c",
         F.expr("_at div _w").alias("_block"), (F.col("_at") % F.col("_w")).alias("_place"),
     ).withColumn("_piece", F.floor(F.col("_place") / PIECE_ROWS))
     pieces = rows.groupBy(*keys, "_block", "_piece").agg(F.sum("_v").alias("_pv"), F.sum("_c").alias("_pc"))
@@ -131,31 +140,30 @@ def moving_mean(
             for side, name in ((ahead, "_a"), (behind, "_b"))
         ],
     )
-    piece = Window.partitionBy(*keys, "_block", "_piece").orderBy("_at")
-    begun, left = piece.rowsBetween(Window.unboundedPreceding, 0), piece.rowsBetween(0, Window.unboundedFollowing)
+    # both ways from the beginning of the frame: a frame to its end adds up anew for every row
+    piece = Window.partitionBy(*keys, "_block", "_piece")
     for c in ("_v", "_c"):
-        rows = rows.withColumn(f"{c}p", F.sum(c).over(begun)).withColumn(f"{c}s", F.sum(c).over(left))
+        for name, way in (("p", F.col("_at").asc()), ("s", F.col("_at").desc())):
+            frame = piece.orderBy(way).rowsBetween(Window.unboundedPreceding, 0)
+            rows = rows.withColumn(f"{c}{name}", F.sum(c).over(frame))
     rows = rows.join(pieces, _same([*keys, "_block", "_piece"], "_r"))
-    start = F.struct((F.col("_pv_a") + F.col("_vp")).alias("v"), (F.col("_pc_a") + F.col("_cp")).alias("c"))
-    end = F.struct((F.col("_vs") + F.col("_pv_b")).alias("v"), (F.col("_cs") + F.col("_pc_b")).alias("c"))
-    total = "struct<v:double,c:bigint>"
+    told = rows.select(
+        *keys, "_part", "_idx", "_at", "_w", "_n", "_place",
+        (F.col("_pv_a") + F.col("_vp")).alias("_start_v"), (F.col("_pc_a") + F.col("_cp")).alias("_start_c"),
+        (F.col("_vs") + F.col("_pv_b")).alias("_end_v"), (F.col("_cs") + F.col("_pc_b")).alias("_end_c"),
+    )
     # a row's end of its block is wanted by the row that closes the window it opens
     wanted = (F.col("_place") > 0) & (F.col("_at") + F.col("_w") <= F.col("_n"))
-    own = F.struct(
-        F.col("_at"), F.col("_own"), start.cast(total).alias("_start"), F.lit(None).cast(total).alias("_end")
-    )
-    sent = F.struct(
-        (F.col("_at") + F.col("_w") - 1).alias("_at"),
-        F.lit(None).cast(rows.schema["_own"].dataType).alias("_own"),
-        F.lit(None).cast(total).alias("_start"),
-        end.cast(total).alias("_end"),
-    )
-    both = F.when(wanted, F.array(own, sent)).otherwise(F.array(own))
-    met = (
-        rows.select(*keys, F.inline(both))
+    mine = told.select(*keys, "_at", "_part", "_idx", *[F.col(f"_start{x}").alias(x) for x in ("_v", "_c")])
+    sent = told.filter(wanted).select(
+        *keys, (F.col("_at") + F.col("_w") - 1).alias("_at"),
+        F.lit(None).cast("int").alias("_part"), F.lit(None).cast("bigint").alias("_idx"),
+        *[F.col(f"_end{x}").alias(x) for x in ("_v", "_c")],
+    )
+    means = (
+        mine.unionByName(sent)
         .groupBy(*keys, "_at")
-        .agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("_own", "_start", "_end")])
+        .agg(F.max("_part").alias("_part"), F.max("_idx").alias("_idx"), F.sum("_v").alias("_v"), F.sum("_c").alias("_c"))
+        .select("_part", "_idx", F.when(F.col("_c") > 0, F.col("_v") / F.col("_c")).alias("moving_mean"))
     )
-    count = F.col("_start.c") + F.coalesce(F.col("_end.c"), F.lit(0))
-    summed = F.col("_start.v") + F.coalesce(F.col("_end.v"), F.lit(0.0))
-    return met.select("_own.*", F.when(count > 0, summed / count).alias("moving_mean"))
+    return ranged.join(means, ["_part", "_idx"]).select("_own.*", "moving_mean")
