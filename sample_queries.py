@@ -38,6 +38,7 @@ from tidelog.session import configure, scratch_folder
 from tidelog.sources import manifest, offsets, schemas
 from tidelog.sources.sink import write_topic
 from tidelog.sources.topic import TopicSource, drop_control_records, read_topic, topic_catalog
+from tidelog.streaming.journal import read_journal
 from tidelog.streaming.stream import StreamOptions, start_stream, stream_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1221,21 +1222,17 @@ def stream_long(spark, sf_dir):
 @query(
     "frame_sink",
     EV
-    + """SELECT us AS time, "offset", "partition", event_type AS "event.type", user_id AS "event.user.id",
-    k AS "props.k", '["a","b"]' AS tags, CASE WHEN NOT nulled THEN value END AS value FROM ok""",
+    + f"""SELECT us AS time, "offset", "partition", event_type AS "event.type", user_id AS "event.user.id",
+    k AS "props.k", '["a","b"]' AS tags, CASE WHEN NOT nulled THEN value END AS value, NULL AS error FROM ok
+  UNION ALL SELECT us, "offset", "partition", NULL, NULL, NULL, NULL, NULL, {MALFORMED} FROM ev WHERE bad""",
 )
 def frame_sink(spark, sf_dir):
-    """The wide shape as a stream with one sink for good rows, one for errors."""
+    """The wide shape as a stream: good and error rows under one commit."""
     options = StreamOptions(scratch(spark), available_now=True)
-    good, bad = scratch(spark), scratch(spark)
+    path = scratch(spark)
     frame = stream_frame(
         spark, EVENTS, _stored_events(spark, sf_dir), fields=EVENT_COLUMNS, options=options
     )
-    start_stream(
-        frame,
-        EVENTS,
-        options,
-        each_batch=lambda batch, n: batch.write.mode("overwrite").parquet(f"{good}/batch={n}"),
-        errors=lambda batch, n: batch.write.mode("overwrite").parquet(f"{bad}/batch={n}"),
-    ).awaitTermination()
-    return spark.read.parquet(good).drop("batch")
+    start_stream(frame, EVENTS, options, journal_path=path).awaitTermination()
+    parts = [read_journal(spark, path, EVENTS.fingerprint(), frame.schema, table) for table in ("rows", "errors")]
+    return parts[0].unionByName(parts[1], allowMissingColumns=True)

@@ -10,6 +10,7 @@ from tidelog.functions.murmur import key_partition, murmur2
 from tidelog.plans.query import TopicQuery
 from tidelog.plans.run import messages
 from tidelog.sources import manifest
+from tidelog.sources.files import file_context
 from tidelog.sources.sink import write_topic
 from tidelog.sources.topic import TopicNotFound, TopicSource, read_topic
 
@@ -149,7 +150,7 @@ def test_only_files_that_may_hold_something_are_read(spark, table):
 def test_planning_reads_no_messages(spark, table):
     """With the messages gone, bounds and choice of files still work."""
     write_topic(rows(spark, range(50)), table)
-    hadoop, context = manifest._paths(spark, table.path)
+    hadoop, context = file_context(spark, table.path)
     zones = manifest.zones(spark, table.path)
     context.rename(
         hadoop.Path(f"{table.path}/messages"),
@@ -175,10 +176,10 @@ def test_a_commit_is_whole_or_not_at_all(spark, table, monkeypatch):
         write_topic(rows(spark, range(10, 20), partition=0), table)
     assert read_topic(spark, table, "t").count() == 10
 
-    def raced(spark_, path, zones, number):
+    def raced(path, zones, number):
         monkeypatch.setattr(manifest, "_commit", plain)
         write_topic(rows(spark, range(20, 25), partition=0), table)
-        return plain(spark_, path, zones, number)
+        return plain(path, zones, number)
 
     monkeypatch.setattr(manifest, "_commit", raced)
     write_topic(rows(spark, range(30, 40), partition=0), table)

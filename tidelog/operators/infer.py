@@ -62,13 +62,18 @@ def infer_fields(
     by_type = typed.groupBy("path", "kind", "depth", "_partition").agg(
         F.count(F.lit(1)).alias("rows"), F.max("_time").alias("_time"), F.max("_at").alias("_at")
     )
-    last = F.struct("_time", "_partition", "_at")
+    last = F.struct("_time", "_partition", "_at").alias("last")
+    return resolved_fields(by_type.select("path", "kind", "depth", "rows", last))
+
+
+def resolved_fields(by_type: DataFrame) -> DataFrame:
+    """``path, kind, depth, rows, last`` (a place that sorts) to a row per path."""
     known = F.col("kind") != V.NULL
     stats = by_type.groupBy("path").agg(
         F.bit_or(_bit(F.col("kind"))).alias("mask"),
         F.sum("rows").alias("messages"),
         F.sum(F.when(known, 0).otherwise(F.col("rows"))).alias("nulls"),
-        F.max_by("kind", F.when(known, last)).alias("last_type"),
+        F.max_by("kind", F.when(known, F.col("last"))).alias("last_type"),
         F.sort_array(F.collect_set("depth")).alias("depths"),
     )
     return stats.select(

@@ -19,13 +19,13 @@ import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions.murmur import key_partition
 from tidelog.session import stored
+from tidelog.sources.files import delete, numbered_files, publish
 from tidelog.sources.topic import TOPIC_SCHEMA, TopicNotFound, TopicSource
 
 ZONES = T.StructType(
@@ -51,43 +51,15 @@ class CommitConflict(RuntimeError):
     """Other writers were first each time."""
 
 
-def _paths(spark: SparkSession, path: str):
-    """Hadoop's path class and the file context of ``path``."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    return hadoop, hadoop.FileContext.getFileContext(
-        hadoop.Path(path).toUri(), spark._jsc.hadoopConfiguration()
-    )
-
-
 def _numbers(spark: SparkSession, path: str) -> list[int]:
     """The commits there are."""
-    hadoop, context = _paths(spark, path)
-    folder = hadoop.Path(f"{path}/manifest")
-    if not context.util().exists(folder):
-        return []
-    names = [s.getPath().getName() for s in context.util().listStatus(folder)]
-    return sorted(int(n.removesuffix(".parquet")) for n in names if re.fullmatch(r"\d+\.parquet", n))
+    return numbered_files(spark, f"{path}/manifest")
 
 
-def _commit(spark: SparkSession, path: str, zones: DataFrame, number: int) -> bool:
+def _commit(path: str, zones: DataFrame, number: int) -> bool:
     """Publish ``zones`` as commit ``number``; False if that number is taken."""
-    hadoop, context = _paths(spark, path)
-    staged = f"{path}/staging/{uuid.uuid4().hex}"
-    zones.select(*[F.col(f.name).cast(f.dataType) for f in ZONES]).coalesce(1).write.parquet(staged)
-    files = [s.getPath() for s in context.util().listStatus(hadoop.Path(staged))]
-    part = next(p for p in files if p.getName().endswith(".parquet"))
-    context.mkdir(hadoop.Path(f"{path}/manifest"), None, True)
-    # without the option to overwrite
-    options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 0)
-    try:
-        context.rename(part, hadoop.Path(f"{path}/manifest/{number:020d}.parquet"), options)
-    except Py4JJavaError as error:
-        if "FileAlreadyExistsException" in str(error.java_exception):
-            return False
-        raise
-    finally:
-        context.delete(hadoop.Path(staged), True)
-    return True
+    typed = zones.select(*[F.col(f.name).cast(f.dataType) for f in ZONES])
+    return publish(typed, f"{path}/manifest/{number:020d}.parquet")
 
 
 def zones(spark: SparkSession, path: str) -> DataFrame:
@@ -105,7 +77,7 @@ def create_topic(spark: SparkSession, path: str, topic: str, partitions: int) ->
     rows = [(None, topic, p, None, None, None, None, 0) for p in range(partitions)]
     new = spark.createDataFrame(rows, ZONES)
     for _ in range(ATTEMPTS):
-        if _commit(spark, path, new, max(_numbers(spark, path), default=-1) + 1):
+        if _commit(path, new, max(_numbers(spark, path), default=-1) + 1):
             return
     raise CommitConflict(f"{ATTEMPTS} attempts on {path}")
 
@@ -246,7 +218,6 @@ def append(df: DataFrame, path: str, order: Sequence[str] = ("timestamp",)) -> i
     commits first, offsets are given and files written anew.
     """
     spark = df.sparkSession
-    hadoop, context = _paths(spark, path)
     if "timestamp" not in df.columns:
         df = df.withColumn("timestamp", F.current_timestamp())
     now = zones(spark, path)
@@ -266,9 +237,9 @@ def append(df: DataFrame, path: str, order: Sequence[str] = ("timestamp",)) -> i
             added = spark.createDataFrame([], ZONES)
         else:
             added = _zones_of(spark, path, folder)
-        if _commit(spark, path, added, number):
+        if _commit(path, added, number):
             return number
-        context.delete(hadoop.Path(target), True)
+        delete(spark, target)
     raise CommitConflict(f"{ATTEMPTS} attempts on {path}")
 
 

@@ -17,6 +17,7 @@ from tidelog.plans.run import run
 from tidelog.session import configure
 from tidelog.sources.offsets import after_high_water, offset_bounds, starting_offsets_json
 from tidelog.sources.topic import TopicSource, read_topic
+from tidelog.streaming.journal import journal
 
 
 @dataclass(frozen=True)
@@ -96,21 +97,27 @@ def start_stream(
     table: str | None = None,
     each_batch: Callable[[DataFrame, int], None] | None = None,
     errors: Callable[[DataFrame, int], None] | None = None,
+    journal_path: str | None = None,
     format: str = "parquet",
 ) -> StreamingQuery:
-    """Append rows continuously to files, an in-memory table or a function.
-
-    ``errors`` gets the failed messages of each batch and the main sink the
-    good ones. Failures of the source are retried by Spark or surface through
+    """Append rows continuously to files, an in-memory table, a journal or a
+    function.
+
+    A journal holds good and error rows under one commit, see
+    :mod:`tidelog.streaming.journal`; its stream is called by the query's
+    fingerprint. ``errors`` gets the failed messages of each batch and the main
+    sink the good ones; these two functions are no commit together. Failures of
+    the source are retried by Spark or surface through
     ``StreamingQuery.exception``.
     """
-    writer = df.writeStream.outputMode("append").option(
-        "checkpointLocation", options.checkpoint(query, path or table or "function")
-    )
+    sink = path or table or (f"journal:{journal_path}" if journal_path else "function")
+    writer = df.writeStream.outputMode("append").option("checkpointLocation", options.checkpoint(query, sink))
     if options.available_now:
         writer = writer.trigger(availableNow=True)
     elif options.processing_time:
         writer = writer.trigger(processingTime=options.processing_time)
+    if journal_path is not None:
+        return writer.foreachBatch(journal(journal_path, query.fingerprint())).start()
     if errors is not None:
         if each_batch is None:
             raise ValueError("an error sink needs each_batch for the good rows")
