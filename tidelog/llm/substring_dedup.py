@@ -283,10 +283,10 @@ def in_groups(once: DataFrame) -> DataFrame:
 
 def paths_of(runs: DataFrame) -> DataFrame:
     """``no, group, n, edges, least`` (runs, each once) to ``no, at, n, path,
-    least``: the nonbranching paths they are made of, with the least place of
-    each. A path is named by its first edge.
+    unnamed, least``: the nonbranching paths they are made of, with the least
+    id of each and whether that is null. A path is named by its first edge.
 
-    A group asks once for an edge, however many of its runs have it.
+    A group asks once for an edge or a path, however many of its runs have it.
     """
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -305,7 +305,7 @@ def paths_of(runs: DataFrame) -> DataFrame:
 
     def split(mine: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         if not len(mine):
-            return pd.DataFrame({"no": [], "at": [], "n": [], "path": []})
+            return pd.DataFrame({"no": [], "group": [], "at": [], "n": [], "path": []})
         edges = np.concatenate([np.frombuffer(raw, np.int64) for raw in mine["edges"]])
         sizes = mine["n"].to_numpy().astype(np.int64)
         begins = np.cumsum(sizes) - sizes
@@ -318,6 +318,7 @@ def paths_of(runs: DataFrame) -> DataFrame:
         return pd.DataFrame(
             {
                 "no": mine["no"].to_numpy()[run],
+                "group": mine["group"].iloc[0],
                 "at": at - begins[run],
                 "n": np.diff(np.append(at, len(edges))),
                 "path": edges[at],
@@ -325,13 +326,27 @@ def paths_of(runs: DataFrame) -> DataFrame:
         )
 
     whole = runs.select("no", "group", "n", "edges").groupBy("group")
-    rows = whole.cogroup(cut.groupBy("group")).applyInPandas(split, "no long, at int, n int, path long")
-    rows = stored(rows, "paths")
+    made = "no long, group long, at int, n int, path long"
+    rows = stored(whole.cogroup(cut.groupBy("group")).applyInPandas(split, made), "paths")
     placed = rows.join(runs.select("no", "least"), "no")
     least = placed.groupBy("path").agg(
         F.min(_place("least.id", "least.key", F.col("least.start") + F.col("at"))).alias("least")
     )
-    return rows.join(least, "path")
+    named = rows.select("path", "group").distinct().join(least, "path")
+    named = named.select(
+        F.col("group").alias("to"),
+        F.col("path").alias("name"),
+        F.col("least.o").alias("unnamed"),
+        F.coalesce("least.id", F.lit(0)).alias("least"),
+    )
+
+    def name(mine: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        both = mine.merge(told, left_on="path", right_on="name")
+        return both[["no", "at", "n", "path", "unnamed", "least"]]
+
+    return rows.groupBy("group").cogroup(named.groupBy("to")).applyInPandas(
+        name, "no long, at int, n int, path long, unnamed boolean, least long"
+    )
 
 
 SPANS = "array<struct<start:bigint,n:int,path:bigint,gone:boolean>>"
@@ -347,7 +362,7 @@ def repeated_spans(docs: DataFrame, k: int, bits: int, hash_bits: int) -> DataFr
     once = stored(in_groups(once), "once")
     cut = paths_of(once)
     parts = cut.groupBy("no").agg(
-        F.collect_list(F.struct("at", "n", "path", F.col("least.id").alias("least"))).alias("parts")
+        F.collect_list(F.struct("at", "n", "path", F.expr("if(unnamed, NULL, least)").alias("least"))).alias("parts")
     )
     parts = parts.join(once.select("no", "run"), "no").select("run", "parts")
     each = runs.select("id", "key", "start", "run").join(parts, "run").select("id", "key", "start", F.explode("parts").alias("p"))
