@@ -31,6 +31,7 @@ from tidelog.operators.lineprotocol import (
     lp_wide,
     parse_lines,
 )
+from tidelog.operators.schema_tables import read_schema_table, write_schema_tables
 from tidelog.operators.wide import FieldSpec
 from tidelog.plans.query import TopicQuery
 from tidelog.plans.run import json_wide, run, run_many, run_shared
@@ -548,6 +549,28 @@ def coerce_number(spark, sf_dir):
     return wide.select("offset", "i", "f", "w", "e", "big")
 
 
+@query(
+    "schema_tables",
+    EV
+    + """SELECT 'events' AS topic, "offset", "partition", event_type AS "event.type", user_id AS "event.user.id", k AS "props.k",
+    '["a","b"]' AS tags, CASE WHEN NOT nulled THEN value END AS value, NULL AS "order.price", NULL AS cust FROM ok
+  UNION ALL SELECT 'events', "offset", "partition", NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM ev WHERE bad
+  UNION ALL SELECT 'orders', o_orderkey // 4, CAST(o_orderkey % 4 AS INTEGER), NULL, NULL, NULL, NULL, NULL,
+    o_totalprice, o_custkey FROM orders""",
+)
+def schema_tables(spark, sf_dir):
+    """Two topics written as a table per set of typed fields, and read again."""
+    log = topics.events_log(spark, sf_dir).unionByName(topics.orders_log(spark, sf_dir))
+    path = scratch(spark)
+    groups = write_schema_tables(log, path).select("signature").distinct().collect()
+    tables = [read_schema_table(spark, path, g["signature"]) for g in groups]
+    whole = tables[0]
+    for other in tables[1:]:
+        whole = whole.unionByName(other, allowMissingColumns=True)
+    names = ["topic", "offset", "partition", "event.type", "event.user.id", "props.k", "tags", "value", "order.price", "cust"]
+    return panels.select_fields(whole, names)
+
+
 @query(
     "schema_groups",
     EV

@@ -210,6 +210,21 @@ def key_segments(
 _APART = "\u0001"
 
 
+def typed_paths(leaves: Column, types: Mapping[str, str] | None = None) -> Column:
+    """The sorted ``path:type`` of a message, the same for all messages of a
+    group; a null takes the type known for its path, else double."""
+    known = F.create_map(*[F.lit(x) for item in (types or {}).items() for x in item])
+    lookup = known.cast("map<string,string>")
+
+    def entry(leaf: Column) -> Column:
+        kind = V.leaf_type(leaf["node"])
+        remembered = F.coalesce(F.try_element_at(lookup, leaf["path"]), F.lit(V.DOUBLE))
+        shown = F.when(kind == V.NULL, remembered).otherwise(kind)
+        return F.concat(leaf["path"], F.lit(":"), shown)
+
+    return F.sort_array(F.transform(leaves, entry))
+
+
 def schema_groups(
     df: DataFrame,
     value: str = "value",
@@ -221,16 +236,7 @@ def schema_groups(
     The signature is built inside the row. A null takes the type known for
     its path in ``types``, else double.
     """
-    known = F.create_map(*[F.lit(x) for item in (types or {}).items() for x in item])
-    lookup = known.cast("map<string,string>")
-
-    def entry(leaf: Column) -> Column:
-        kind = V.leaf_type(leaf["node"])
-        remembered = F.coalesce(F.try_element_at(lookup, leaf["path"]), F.lit(V.DOUBLE))
-        shown = F.when(kind == V.NULL, remembered).otherwise(kind)
-        return F.concat(leaf["path"], F.lit(":"), shown)
-
-    fields = F.sort_array(F.transform(text_leaves(F.col(value), options), entry))
+    fields = typed_paths(text_leaves(F.col(value), options), types)
     names = F.coalesce(F.array_join(fields, "|"), F.lit("error:string"))
     signed = df.select("topic", "offset", "timestamp", names.alias("fields"))
     grouped = signed.groupBy("topic", "fields").agg(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +14,6 @@ from tidelog.functions.variants import escape_markup
 from tidelog.operators.flatten import FlattenOptions
 from tidelog.operators.wide import column_name
 
-
 _MEMBER = re.compile(r"member\d+")
 
 
@@ -51,8 +51,11 @@ def leaf_fields(
                 put(path, f.dataType, _leaf(f.dataType, child))
 
     walk(schema, root, "", 1)
-    ordered = sorted(found, key=str.encode)[: options.field_cap]
-    return {path: found[path] for path in ordered}
+    ordered = sorted(found, key=str.encode)
+    if len(ordered) > options.field_cap:
+        left = len(ordered) - options.field_cap
+        warnings.warn(f"more than {options.field_cap} fields; {left} of the schema are left out", stacklevel=2)
+    return {path: found[path] for path in ordered[: options.field_cap]}
 
 
 def _leaf(kind: T.DataType, value: Column) -> Column:

@@ -7,6 +7,8 @@ settings on whatever session it is given.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,16 +44,29 @@ def scratch_folder(spark: SparkSession, name: str = "scratch") -> str:
     return f"{shared_folder(spark)}/tidelog-{name}-{uuid.uuid4().hex}"
 
 
+_open: list[list[str]] = []
+
+
 def stored(df: DataFrame, name: str = "table", compression: str | None = None) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read again:
     later plans start there, whatever executors are lost meanwhile."""
     path = scratch_folder(df.sparkSession, name)
+    if _open:
+        _open[-1].append(path)
     df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Point ``checkpoint()`` at the shared folder where nothing else did."""
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(shared_folder(spark))
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[list[str]]:
+    """What :func:`stored` writes inside is deleted at the end, when the caller
+    has written or collected what was made of it. One run at a time: tables of
+    other threads are not told apart."""
+    _open.append([])
+    try:
+        yield _open[-1]
+    finally:
+        from tidelog.sources.files import delete
+
+        for path in _open.pop():
+            delete(spark, path)
