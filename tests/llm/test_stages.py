@@ -79,9 +79,11 @@ def n_grams(text):
         f = re.sub(r"\d+", "0", re.sub(r"[A-Z]+", "A", re.sub(r"[^\W\dA-Z_]+", "a", w)))
         forms.append("=" if i and words[i - 1] == w else f)
     form = [zlib.crc32(b"f" + f.encode()) for f in forms]
-    found = [zlib.crc32(b"w" + w.encode()) for w in words] + form
-    for a, b in zip(form, form[1:], strict=False):
-        found.append(((a * 0x9E3779B97F4A7C15 + b * 0xC2B2AE3D27D4EB4F) % (1 << 64)) >> 24)
+    word = [zlib.crc32(b"w" + w.encode()) for w in words]
+    found = word + form
+    for items in (form, word):
+        for a, b in zip(items, items[1:], strict=False):
+            found.append(((a * 0x9E3779B97F4A7C15 + b * 0xC2B2AE3D27D4EB4F) % (1 << 64)) >> 24)
     return [x % BUCKETS for x in found]
 
 

@@ -7,9 +7,9 @@ a document, is its importance weight; a seeded Gumbel number is added and the
 k documents with the largest sums are kept, which samples without replacement
 in proportion to the weights.
 
-n-grams are words, forms of words (runs of lower case, upper case and digits
-shortened to a letter each; ``=`` for a word equal to the one before) and pairs
-of forms. k is the number of documents whose weight is above the bound that
+n-grams are words, pairs of words, forms of words (runs of lower case, upper
+case and digits shortened to a letter each; ``=`` for a word equal to the one
+before) and pairs of forms. k is the number of documents whose weight is above the bound that
 parts good from bad best among the labelled ones.
 """
 
@@ -69,8 +69,14 @@ class NGrams:
         forms[1:] = ["=" if a == b else f for a, b, f in zip(words, words[1:], forms[1:], strict=False)]
         form = np.array(self._hash(self.form, forms, b"f"), np.uint64)
         word = np.array(self._hash(self.word, words, b"w"), np.uint64)
-        pair = form[:-1] * np.uint64(0x9E3779B97F4A7C15) + form[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
-        return (np.concatenate((word, form, pair >> np.uint64(24))) % np.uint64(self.buckets)).astype(np.int64)
+        found = np.concatenate((word, form, _pairs(form), _pairs(word)))
+        return (found % np.uint64(self.buckets)).astype(np.int64)
+
+
+def _pairs(hashes: np.ndarray) -> np.ndarray:
+    """A hash of each item and the one after it."""
+    both = hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
+    return both >> np.uint64(24)
 
 
 def label_sample(labels: DataFrame, id_col: str, limit: int, seed: int) -> DataFrame:
