@@ -22,7 +22,7 @@ import sample_topics as topics  # noqa: E402
 from sample_queries import EVENT_COLUMNS  # noqa: E402
 from tidelog.functions import variants as V  # noqa: E402
 from tidelog.operators import decode, panels  # noqa: E402
-from tidelog.operators.infer import infer_fields, schema_groups  # noqa: E402
+from tidelog.operators.infer import find_fields, infer_fields, schema_groups  # noqa: E402
 from tidelog.operators.lineprotocol import LineOptions, lp_long  # noqa: E402
 from tidelog.operators.wide import FieldSpec  # noqa: E402
 from tidelog.plans.query import TopicQuery  # noqa: E402
@@ -120,6 +120,7 @@ def workloads(spark: SparkSession, folder: str):
         ("json20_long", n_lines, lambda: run(spark, TopicQuery("lines", offset="earliest", shape="long"), t_20)),
         ("json20_wide_default", n_lines, lambda: run(spark, lines, t_20)),
         ("json20_infer", n_lines, lambda: infer_fields(t_20)),
+        ("json20_fields", n_lines, lambda: spark.range(len(find_fields(t_20)))),
         ("events_wide", n_events, lambda: wide_events),
         ("events_schema_groups", n_events, lambda: schema_groups(t_events)),
         ("events_audit", n_events, lambda: decode.decode_audit(decode.decode_json(t_events))),

@@ -12,6 +12,7 @@ CHOSEN = [
     "topic_sink", "last_n", "multi_query", "flatten_long", "flatten_array", "flatten_wide",
     "infer_mixed", "coerce_number", "key_collision", "error_rows", "lp_long", "lp_filter_all",
     "lp_tags", "panel_moving_mean", "wire_index", "offset_latest", "last_n_large", "encode_lp", "schema_by_id", "stream_long",
+    "manifest_bounds", "sink_offsets", "time_window", "multi_query_shared", "wide_extra", "flatten_deep", "schema_tables", "frame_sink",
 ]
 
 
