@@ -60,7 +60,8 @@ class RoomTree:
 
 
 def best_fit(lengths: np.ndarray, window: int) -> list[list[int]]:
-    """Rows of indices; ties go to the earlier length and the earlier row."""
+    """Rows of indices; of equal lengths the earlier comes first, of rows with
+    equal room the one that got it last is filled."""
     tree, rows = RoomTree(window), []
     open_by_room: dict[int, list[int]] = {}
     for k in np.argsort(-lengths, kind="stable").tolist():
