@@ -478,11 +478,11 @@ def _wants(query: TopicQuery, bounds: DataFrame | None) -> Column:
     """Whether a query wants a message; the same tests as in :func:`messages`."""
     tests = [] if query.partition == "all" else [F.col("partition") == int(query.partition)]
     if query.offset != "earliest":
-        known = {r["partition"]: r for r in bounds.filter(F.col("topic") == query.topic).collect()}
-        start = F.lit(None).cast("bigint")
-        for p, r in known.items():
+        starts = []
+        for r in bounds.filter(F.col("topic") == query.topic).collect():
             first = r["latest"] if query.offset == "latest" else max(r["latest"] - query.last_n, r["earliest"])
-            start = F.when(F.col("partition") == p, F.lit(first)).otherwise(start)
+            starts += [F.lit(r["partition"]), F.lit(first)]
+        start = F.try_element_at(F.create_map(*starts).cast("map<int,bigint>"), F.col("partition"))
         # a partition without bounds is new as a whole, and has no last messages
         tests.append(F.coalesce(F.col("offset") >= start, F.lit(query.offset == "latest")))
     if query.start_time is not None:
