@@ -110,7 +110,9 @@ def sent_edges(docs: DataFrame, k: int, bits: int, hash_bits: int) -> DataFrame:
         first = place[starts].astype("<u4") | np.where(several, _SEVERAL, np.uint32(0))
         cuts = np.searchsorted(bucket, np.arange((1 << bits) + 1))
         used = np.flatnonzero(np.diff(cuts))
-        rows = [(chunk % (1 << bits), chunk, True, head.tobytes(), repeats.tobytes())]
+        # chunks of one number in different partitions go apart
+        to = ((chunk >> 32) + (chunk & 0xFFFFFFFF)) % (1 << bits)
+        rows = [(to, chunk, True, head.tobytes(), repeats.tobytes())]
         for b in used:
             part = slice(cuts[b], cuts[b + 1])
             steps = np.diff(rest[part], prepend=np.uint64(0))
