@@ -482,15 +482,16 @@ def flatten_deep(spark, sf_dir):
   len(embedding) AS n, CAST(round(embedding[1]::DOUBLE * 10000) AS BIGINT) AS first_value FROM embeddings""",
 )
 def array_text(spark, sf_dir):
-    """An array member is one text column; here it is read back."""
+    """An array member is one text column; here it is read back. A text is the
+    shortest of its float: as a double it would be another number."""
     wide = run(spark, TopicQuery("embeddings", offset="earliest"), topics.embeddings_log(spark, sf_dir))
-    numbers = F.from_json("embedding", "array<double>")
+    numbers = F.from_json("embedding", "array<float>")
     return wide.select(
         "offset",
         ref("vec.vec_id"),
         ref("vec.label").cast("int").alias("vec.label"),
         F.size(numbers).cast("bigint").alias("n"),
-        F.round(numbers[0] * 10000).cast("bigint").alias("first_value"),
+        F.round(F.get(numbers, 0).cast("double") * 10000).cast("bigint").alias("first_value"),
     )
 
 

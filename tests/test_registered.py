@@ -29,6 +29,22 @@ def test_query_equals_sql(spark, name):
     assert rows_of(df.columns, df.collect()) == rows_of(names, result.fetchall())
 
 
+def test_array_text_takes_floats(spark, tmp_path):
+    """Floats whose shortest text is on the other side of a half."""
+    db = duckdb.connect()
+    values = [(2 * i + 1) / 20000 for i in range(2000)] + [0.25, -0.01905, -1e-5]
+    rows = ", ".join(f"({i}, [{v!r}::FLOAT, 1], {i % 3})" for i, v in enumerate(values))
+    db.execute(
+        f"""COPY (SELECT i::BIGINT AS vec_id, e::FLOAT[] AS embedding, l::INTEGER AS label FROM (VALUES {rows},
+        (3000, [], 1)) t(i, e, l)) TO '{tmp_path}/embeddings.parquet'"""
+    )
+    db.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet'")
+    df = entry.queries()["array_text"](spark, str(tmp_path))
+    result = db.execute(entry.oracle_sql()["array_text"])
+    names = [d[0] for d in result.description]
+    assert rows_of(df.columns, df.collect()) == rows_of(names, result.fetchall())
+
+
 def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and "event.user.id" in df.columns
