@@ -97,6 +97,17 @@ TWICE = (
 )
 
 
+def test_deep_objects_open_each_level_once(spark, topic):
+    """An object is opened by its members alone; a schema at every level would
+    be read as often as there are levels."""
+    df = topic(['{"a":{"b":{"c":{"d":{},"e":1,"a":[{"x":1}]}},"n":null}}', '{"a":{}}', "1"])
+    leaves = text_leaves(F.col("value"), FlattenOptions(60))
+    rows = df.orderBy("offset").select(F.transform(leaves, lambda x: x["path"]).alias("p")).collect()
+    assert [sorted(r["p"]) if r["p"] is not None else None for r in rows] == [["a.b.c.a", "a.b.c.e", "a.n"], [], None]
+    plan = df.select(leaves.alias("p"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("schema_of_variant") <= 1
+
+
 def test_one_path_twice(topic):
     got = long_rows(topic([text for text, _ in TWICE]))
     assert got == {(i, "a.b"): ("long", value) for i, (_, value) in enumerate(TWICE)}

@@ -20,6 +20,8 @@ from tidelog.functions.columns import let
 DEFAULT_DEPTH = 5
 DEFAULT_CAP = 1000
 LEAVES = "array<struct<path:string,depth:int,node:variant>>"
+# while levels are opened: a leaf with the members of its node, null if it is no object
+_OPEN = "array<struct<path:string,depth:int,node:variant,members:map<string,variant>>>"
 
 
 @dataclass(frozen=True)
@@ -111,27 +113,38 @@ def _below(first: Column, options: FlattenOptions, separator: str) -> Column:
     if options.max_depth < 2:
         return F.when(first.isNotNull(), no_leaves())
 
-    def expand(leaf: Column) -> Column:
-        nested = _children(V.as_object(leaf["node"]), leaf["path"], separator, leaf["depth"] + 1)
-        return F.when(V.is_object(leaf["node"]), nested).otherwise(F.array(leaf))
+    def opened(leaves: Column) -> Column:
+        # members are looked up once a node: to ask for its schema instead
+        # would read all that is below it at every level
+        def with_members(leaf: Column) -> Column:
+            return F.struct(leaf["path"], leaf["depth"], leaf["node"], V.as_object(leaf["node"]).alias("members"))
+
+        return F.transform(leaves, with_members).cast(_OPEN)
 
-    def has_objects(items: Column) -> Column:
-        return F.exists(items, lambda leaf: V.is_object(leaf["node"]))
+    def is_open(leaf: Column) -> Column:
+        return leaf["members"].isNotNull()
+
+    def expand(leaf: Column) -> Column:
+        nested = opened(_children(leaf["members"], leaf["path"], separator, leaf["depth"] + 1))
+        return F.when(is_open(leaf), nested).otherwise(F.array(leaf))
 
     def deeper(items: Column, _: Column) -> Column:
         # a level is a step of a fold: the plan is the same for any depth
-        return F.when(has_objects(items), F.flatten(F.transform(items, expand)).cast(LEAVES)).otherwise(items)
+        return F.when(F.exists(items, is_open), F.flatten(F.transform(items, expand)).cast(_OPEN)).otherwise(items)
 
     def expand_all(level: Column) -> Column:
         nested = level
         if options.max_depth > 2:
             levels = F.array_repeat(F.lit(0), options.max_depth - 2)
-            nested = F.aggregate(levels, level.cast(LEAVES), deeper)
-        nested = F.filter(nested, lambda leaf: ~V.is_object(leaf["node"]))
-        deep = let(nested, _settle)
-        return F.when(has_objects(level), deep).otherwise(level)
+            nested = F.aggregate(levels, level.cast(_OPEN), deeper)
+        closed = F.filter(nested, lambda leaf: ~is_open(leaf))
+        plain = F.transform(closed, lambda leaf: F.struct(leaf["path"], leaf["depth"], leaf["node"])).cast(LEAVES)
+        return let(plain, _settle)
+
+    def by_level(level: Column) -> Column:
+        return F.when(F.exists(level, lambda leaf: V.is_object(leaf["node"])), let(opened(level), expand_all)).otherwise(level)
 
-    return let(let(first, expand_all), lambda items: _capped(items, options.field_cap))
+    return let(let(first, by_level), lambda items: _capped(items, options.field_cap))
 
 
 def _paths(items: Column) -> Column:
