@@ -6,6 +6,7 @@ import re
 
 import pytest
 
+import __spark_entry__ as entry
 from tidelog.operators import lineprotocol
 from tidelog.operators.lineprotocol import LineOptions, lp_long, lp_tag_keys
 from tidelog.operators.lp_filter import LineFilter
@@ -80,3 +81,31 @@ def test_most_lines_are_never_parsed(spark, topic):
 
 def _python(java):
     return java.replace("(?md)", "(?m)").replace("[^\\n]++", "[^\\n]+")
+
+
+def test_whole_numbers_at_the_edge_of_a_double(topic):
+    values = ["-0i", "+7i", "007i", "9007199254740991i", "-9007199254740991i", "9007199254740992i", "-9223372036854775808i"]
+    values += ["9007199254740991u", "9007199254740993u", "18446744073709551615u", "+9007199254740993i"]
+    rows = lp_long(topic([f"m f={v}" for v in values])).orderBy("offset").collect()
+    edge = 9007199254740991.0
+    assert [repr(r["value"]) for r in rows] == [repr(x) for x in [0.0, 7.0, 7.0, edge, -edge, None, None, edge, None, None, None]]
+    assert [r["value_str"] for r in rows if r["value"] is None] == [
+        "9007199254740992", "-9223372036854775808", "9007199254740993", "18446744073709551615", "9007199254740993"
+    ]
+
+
+@pytest.mark.parametrize("name", ["lp_filter_field", "lp_filter_literal", "lp_filter_all"])
+def test_generated_code_is_compiled(spark, name):
+    """The JVM interprets methods of over 8,000 bytes, at half the speed."""
+    df = entry.queries()[name](spark, "/root/testdata/sf0.001")
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    sizes = re.findall(r"maxMethodCodeSize:(\d+)", df._jdf.queryExecution().explainString(mode))
+    assert sizes and max(map(int, sizes)) < 8000
+
+
+def test_patterns_of_a_list_are_tried_as_one(spark, topic):
+    df = topic(["m " + ",".join(f"{n}=1" for n in ("load", "LOAD1", "a1", "x.y", "b|c", "zz"))])
+    found = lambda f: sorted(r["_field"] for r in lp_long(df, LineOptions(fields=f)).collect())
+    assert found("(?i)load\\d,a|a1") == ["LOAD1", "a1"]
+    assert found("+x,x[.]y,zz") == ["x.y", "zz"]
+    assert found("(?P<n>a)1,(?P<n>z)z") == ["a1", "zz"]

@@ -52,16 +52,17 @@ def field_value(raw: Column) -> tuple[Column, Column]:
     text = F.when(
         inner.contains("\\"), F.regexp_replace(inner, r'\\(["\\])', "$1")
     ).otherwise(inner)
+    # a whole number is exact if its double is: beyond the last exact one no
+    # double comes back below it. One cast for signed and unsigned keeps the
+    # generated code small; 0.0 is added as "-0i" is 0
+    whole = last.isin("i", "u")
     digits = _without_suffix(raw)
-    signed = digits.try_cast("bigint")
-    unsigned = digits.try_cast("decimal(20,0)")
-    exact = signed.between(-EXACT_DOUBLE_INT, EXACT_DOUBLE_INT)
-    exact_unsigned = unsigned <= F.lit(EXACT_DOUBLE_INT)
+    near = digits.try_cast("double")
+    exact = F.abs(near) <= float(EXACT_DOUBLE_INT)
     number = (
         F.when(usual, _as_double(raw))
         .when(quoted, F.lit(None).cast("double"))
-        .when(last == "i", F.when(exact, signed.cast("double")))
-        .when(last == "u", F.when(exact_unsigned, unsigned.cast("double")))
+        .when(whole, F.when(exact, near + F.lit(0.0)))
         .when(raw.isin(*P.TRUE_WORDS), 1.0)
         .when(raw.isin(*P.FALSE_WORDS), 0.0)
         .otherwise(_as_double(raw))
@@ -69,7 +70,6 @@ def field_value(raw: Column) -> tuple[Column, Column]:
     string = (
         F.when(usual, F.lit(None).cast("string"))
         .when(quoted, text)
-        .when(last == "i", F.when(~exact, signed.cast("string")))
-        .when(last == "u", F.when(~exact_unsigned, unsigned.cast("string")))
+        .when(whole & ~exact, digits.try_cast("decimal(20,0)").cast("string"))
     )
     return number, string

@@ -103,10 +103,9 @@ def parse_lines(df: DataFrame, value: str = "value", unwanted: str | None = None
     as good if its first line is one, and is judged whole if not.
     """
     keep = [c for c in df.columns if c != value]
-    filled = df.filter(F.octet_length(value) > 0)
     text = F.col(value).cast("string")
     slim = text if unwanted is None else F.regexp_replace(text, unwanted, "")
-    marked = filled.select(
+    marked = df.select(
         *keep,
         value,
         F.regexp_replace(F.rtrim(slim, F.lit(_NEW_LINE)), P.PLAIN_LINE, _MARKED).alias("_marked"),
@@ -121,7 +120,9 @@ def parse_lines(df: DataFrame, value: str = "value", unwanted: str | None = None
     if unwanted is not None:
         nothing_left = (F.col("_marked") == "") | (~any_line & ~rest.contains(_NEW_LINE))
         encoded = encoded.when(nothing_left & text.rlike(P.GOOD_START), F.array(F.lit(_SKIPPED)))
-    encoded = encoded.otherwise(rarely(text, _general_lines))
+    # no filter before: it would build a payload made by expressions twice
+    filled = F.octet_length(value) > 0
+    encoded = F.when(filled, encoded.otherwise(rarely(text, _general_lines)))
     lines = marked.select(*keep, F.posexplode_outer(encoded).alias("line", "_parts"))
     return lines.filter(F.col("_parts") != _SKIPPED)
 
@@ -258,8 +259,12 @@ def _is_simple(pair: Column) -> Column:
 
 
 def _field_name(pair: Column) -> Column:
-    return F.when(_is_simple(pair), F.substring_index(pair, "=", 1)).otherwise(
-        _ident(F.regexp_extract(pair, P.SPLIT_FIELD, 1))
+    # most pairs with another "=" are quoted values; an escape is looked for in the pair
+    name = F.regexp_extract(pair, P.SPLIT_FIELD, 1)
+    return (
+        F.when(_is_simple(pair), F.substring_index(pair, "=", 1))
+        .when(pair.contains("\\"), F.regexp_replace(name, r"\\([ ,=])", "$1"))
+        .otherwise(name)
     )
 
 

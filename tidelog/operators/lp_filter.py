@@ -37,15 +37,19 @@ def _legal_java(spark: SparkSession, pattern: str) -> bool:
     return True
 
 
-def _java_pattern(pattern: str) -> str:
-    """RE2 spelling to Java's: named groups, POSIX classes, line ends."""
+def _java_body(pattern: str) -> str:
+    """RE2 spelling to Java's: named groups, POSIX classes."""
     named = re.sub(r"\(\?P<", "(?<", pattern)
-    posix = re.sub(
+    return re.sub(
         r"\[:(\^?)(\w+):\]",
         lambda m: rf"\{'P' if m[1] else 'p'}{{{_POSIX.get(m[2], m[2].capitalize())}}}",
         named,
     )
-    return rf"(?d)^(?:{posix})\z"
+
+
+def _java_pattern(pattern: str) -> str:
+    """The whole text, with line ends as RE2 has them."""
+    return rf"(?d)^(?:{_java_body(pattern)})\z"
 
 
 # fixed values: POSIX class names whose Java property is not the capitalised name
@@ -97,13 +101,19 @@ def _inside(spark: SparkSession, patterns: list[str]) -> str | None:
 
 
 def _any_match(spark: SparkSession, value: Column, patterns: list[str]) -> Column:
-    def test(pattern: str) -> Column:
-        if pattern.isalnum():  # a plain word: equality is cheaper than a regex
-            return value == pattern
-        java = compile_pattern(spark, pattern)
-        return value == pattern if java is None else value.rlike(java)
-
-    return reduce(or_, [test(p) for p in patterns])
+    """One test for all patterns: ``value`` is often an expression, and each
+    test of its own would repeat it in the generated code, which the JVM does
+    not compile past a size."""
+    java = {p: None if p.isalnum() else compile_pattern(spark, p) for p in patterns}
+    if not any(java.values()):  # plain words: equality is cheaper than a regex
+        return value.isin(*patterns)
+    if len(patterns) == 1:
+        return value.rlike(java[patterns[0]])
+    if any("(?<" in (j or "") or "\\E" in p for p, j in java.items()):
+        # names of groups may meet
+        return reduce(or_, [value == p if j is None else value.rlike(j) for p, j in java.items()])
+    parts = [rf"\Q{p}\E" if j is None else f"(?:{_java_body(p)})" for p, j in java.items()]
+    return value.rlike(rf"(?d)^(?:{'|'.join(parts)})\z")
 
 
 @dataclass(frozen=True)
