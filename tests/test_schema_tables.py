@@ -38,3 +38,15 @@ def test_a_file_holds_one_group(spark, topic, tmp_path):
     write_schema_tables(topic(VALUES * 5, partitions=3), str(tmp_path / "tables"))
     files = spark.read.parquet(str(tmp_path / "tables/rows")).select("signature", "_metadata.file_path").distinct()
     assert files.groupBy("file_path").count().filter("count > 1").isEmpty()
+
+
+def test_messages_are_parsed_once_to_write(topic, tmp_path, monkeypatch):
+    from tidelog.operators import schema_tables
+
+    calls = []
+    leaves = schema_tables.text_leaves
+    monkeypatch.setattr(schema_tables, "text_leaves", lambda *a: calls.append(a) or leaves(*a))
+    df = topic(['{"a":1,"n":null}', '{"a":"x","n":null}', '{"a":null}', "bad"])
+    groups = {tuple(r["fields"] or ()) for r in write_schema_tables(df, str(tmp_path / "t")).collect()}
+    assert groups == {("a:long", "n:double"), ("a:string", "n:double"), ("a:string",), ()}
+    assert len(calls) == 1

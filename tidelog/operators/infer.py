@@ -51,6 +51,16 @@ def infer_fields(
     aggregates per path are shuffled. Who only wants the columns asks
     :func:`find_fields`, which spreads no message where it need not.
     """
+    return resolved_fields(kinds_of_paths(df, value, options, prefix))
+
+
+def kinds_of_paths(
+    df: DataFrame,
+    value: str = "value",
+    options: FlattenOptions = FlattenOptions(),
+    prefix: str = "",
+) -> DataFrame:
+    """``path, kind, depth, rows, last`` (a place that sorts) for each partition."""
     order = message_order(F.col("timestamp"), F.col("offset"))
     items = text_leaves(F.col(value), options, prefix, wrap_array=not prefix)
     place = [F.col("timestamp").alias("_time"), F.col("partition").alias("_partition"), order.alias("_at")]
@@ -63,7 +73,7 @@ def infer_fields(
         F.count(F.lit(1)).alias("rows"), F.max("_time").alias("_time"), F.max("_at").alias("_at")
     )
     last = F.struct("_time", "_partition", "_at").alias("last")
-    return resolved_fields(by_type.select("path", "kind", "depth", "rows", last))
+    return by_type.select("path", "kind", "depth", "rows", last)
 
 
 def resolved_fields(by_type: DataFrame) -> DataFrame:

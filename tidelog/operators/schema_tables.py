@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidelog.functions import variants as V
 from tidelog.functions.columns import let, ref
 from tidelog.operators.flatten import FlattenOptions, text_leaves
-from tidelog.operators.infer import infer_fields, typed_paths
+from tidelog.operators.infer import kinds_of_paths, typed_paths
 from tidelog.operators.wide import column_names
 
 PLACE = ("topic", "partition", "offset", "timestamp")
@@ -51,15 +51,13 @@ def write_schema_tables(
     group of messages that are no JSON object or array.
     """
     spark = df.sparkSession
-    known = infer_fields(df, value, options)
-    types = {r["path"]: r["last_type"] for r in known.collect()}
-    seen = df.select(F.explode(_kinds(F.col(value), options)).alias("k")).distinct().collect()
-    pairs = sorted({(r["k"]["path"], types[r["k"]["path"]] if r["k"]["kind"] == V.NULL else r["k"]["kind"]) for r in seen})
-    leaves = text_leaves(F.col(value), options)
-    entries = F.transform(leaves, lambda leaf: F.struct(leaf["path"].alias("key"), leaf["node"].alias("value")))
-    parsed = df.select(
+    types, pairs = _known(df, value, options)
+    # a column of its own: each use of the leaves would parse the message again
+    leaves = df.select(*PLACE, text_leaves(F.col(value), options).alias("_leaves"))
+    entries = F.transform("_leaves", lambda leaf: F.struct(leaf["path"].alias("key"), leaf["node"].alias("value")))
+    parsed = leaves.select(
         *PLACE,
-        typed_paths(leaves, types).alias("fields"),
+        typed_paths(F.col("_leaves"), types).alias("fields"),
         F.map_from_entries(entries).alias("_members"),
         F.pmod(F.xxhash64("partition", "offset"), F.lit(PARTS)).alias("_deal"),
     )
@@ -75,11 +73,17 @@ def write_schema_tables(
     return spark.read.schema(groups.schema).parquet(f"{path}/groups")
 
 
-def _kinds(payload: Column, options: FlattenOptions) -> Column:
-    def kind(leaf: Column) -> Column:
-        return F.struct(leaf["path"].alias("path"), V.leaf_type(leaf["node"]).alias("kind"))
-
-    return F.array_distinct(F.transform(text_leaves(payload, options), kind))
+def _known(df: DataFrame, value: str, options: FlattenOptions) -> tuple[dict[str, str], list[tuple[str, str]]]:
+    """The type that each path has last had, and the paths with each type they
+    are written in, from one pass over the messages."""
+    kind = F.when(F.col("kind") != V.NULL, F.col("kind"))
+    known = kinds_of_paths(df, value, options).groupBy("path").agg(
+        F.collect_set("kind").alias("kinds"),
+        F.coalesce(F.max_by(kind, F.when(kind.isNotNull(), F.col("last"))), F.lit(V.DOUBLE)).alias("last_type"),
+    )
+    rows = known.collect()
+    pairs = {(r["path"], r["last_type"] if k == V.NULL else k) for r in rows for k in r["kinds"]}
+    return {r["path"]: r["last_type"] for r in rows}, sorted(pairs)
 
 
 def read_schema_table(spark: SparkSession, path: str, signature: str) -> DataFrame:
