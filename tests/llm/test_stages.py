@@ -13,8 +13,10 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from tidelog.llm.classifier import BUCKETS, SEED, fit
+from tidelog.llm import classifier, jaccard, packing
+from tidelog.llm.classifier import BUCKETS, SEED, NGrams, fit
 from tidelog.llm.sharding import difference
+from tidelog.session import BATCH_BYTES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Columns that have the names of results, of working columns, and a dot.
@@ -156,6 +158,30 @@ def plain_difference(sizes, k):
     return open_[0][1]
 
 
+def test_a_worker_keeps_few_words():
+    texts = [" ".join(f"w{i}x{j}" for j in range(1000)) for i in range(120)]
+    grams = NGrams(BUCKETS)
+    for text in [*texts, *texts[:3]]:
+        assert (grams.of(text) == NGrams(BUCKETS).of(text)).all()
+        assert len(grams.word) <= 50_000
+
+
+def test_texts_go_to_python_in_bounded_batches(spark, corpus, folder, monkeypatch):
+    """While a stage sends texts to Python its batches have a bound in bytes."""
+    bounds = {}
+    for module in (classifier, jaccard, packing):
+
+        def watched(df, name, compression=None, real=module.stored):
+            bounds[name] = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+            return real(df, name, compression)
+
+        monkeypatch.setattr(module, "stored", watched)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, folder)
+    assert all(bounds[n] == str(BATCH_BYTES) for n in ("weights", "shingles", "lists", "sets", "links", "tokens"))
+
+
 @pytest.mark.parametrize(("count", "k"), [(1, 3), (40, 2), (60, 3), (200, 7), (90, 40)])
 def test_difference_is_the_direct_one(count, k):
     rng = random.Random(count)

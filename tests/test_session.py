@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tidelog.operators.flatten import FlattenOptions
 from tidelog.operators.structs import flatten_struct
-from tidelog.session import stored, temporary_tables
+from tidelog.session import BATCH_BYTES, bounded_batches, stored, temporary_tables
 from tidelog.sources.files import file_context
 
 
@@ -25,6 +25,20 @@ def test_temporary_tables_go_at_the_end(spark):
     assert kept.count() == 3
 
 
+def test_batches_are_bounded_by_their_bytes(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield batch[["text"]].agg(lambda x: x.str.len().sum()).to_frame("size")
+
+    texts = spark.range(60, numPartitions=1).select(F.repeat(F.lit("x"), 500_000).alias("text"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    with pytest.raises(RuntimeError), bounded_batches(spark):
+        found = [r["size"] for r in texts.mapInPandas(sizes, "size long").collect()]
+        raise RuntimeError
+    assert sum(found) == 60 * 500_000 and max(found) <= BATCH_BYTES + 500_000
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+
+
 def test_fields_over_the_cap_of_a_schema_are_told(spark):
     df = spark.range(1).select(F.struct(*[F.lit(i).alias(f"f{i}") for i in range(5)]).alias("body"))
     with pytest.warns(UserWarning, match="2 of the schema"):

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import free_prefix, ref
-from tidelog.session import stored
+from tidelog.session import bounded_batches, stored
 
 BUCKETS = 1 << 14
 #: Labelled documents that the target model and the bound are fitted on, at most.
@@ -38,8 +38,9 @@ _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = re.compile(r"[^\W\dA-Z_]+")
 _UPPER = re.compile(r"[A-Z]+")
 _DIGIT = re.compile(r"\d+")
-#: Hashes that a worker keeps of words, and of forms.
-_KEPT = 500_000
+#: Hashes that a worker keeps of words, and of forms: the frequent ones are
+#: soon met again, and a worker keeps its memory beside later stages.
+_KEPT = 50_000
 
 
 class NGrams:
@@ -226,10 +227,12 @@ def fit(
     known = F.broadcast(sample.where("good").select(F.col("id").alias(f"{p}id"), F.lit(True).alias(f"{p}good")))
     marked = docs.select(ref(id_col).alias(f"{p}id"), ref(text_col).cast("string").alias(f"{p}text"))
     marked = marked.join(known, f"{p}id", "left").withColumn(f"{p}good", F.coalesce(f"{p}good", F.lit(False)))
-    ratios = log_ratios(marked, f"{p}text", f"{p}good", buckets, smoothing)
+    with bounded_batches(docs.sparkSession):
+        ratios = log_ratios(marked, f"{p}text", f"{p}good", buckets, smoothing)
     body = f"{p}text"
     named = docs.select(ref(id_col).alias("id"), ref(text_col).alias(body), *[ref(c) for c in columns])
-    weights = stored(weighed(named, ratios, seed, "id", body).drop(body), "weights")
+    with bounded_batches(docs.sparkSession):
+        weights = stored(weighed(named, ratios, seed, "id", body).drop(body), "weights")
     judged = weights.where("log_weight IS NOT NULL").join(F.broadcast(sample), "id")
     judged = judged.select("log_weight", "good", "bad").toPandas()
     bound = best_bound(*[judged[c].to_numpy() for c in ("log_weight", "good", "bad")])

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tidelog.llm.common import WORD, free_prefix, looked_up, ref
 from tidelog.llm.components import components
 from tidelog.llm.shingles import shingle_sets
-from tidelog.session import stored
+from tidelog.session import bounded_batches, stored
 
 SHINGLE = 4
 PERCENT = 85
@@ -374,6 +374,12 @@ def jaccard_groups(docs: DataFrame, id_col: str, text_col: str, size: int, perce
     Null ids take part, but name a component only if it has no other id. An
     empty table gives no rows. Other columns are not read.
     """
+    with bounded_batches(docs.sparkSession):
+        return _jaccard_groups(docs, id_col, text_col, size, percent)
+
+
+def _jaccard_groups(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
+    """All that goes to Python is stored before this returns."""
     docs = docs.select(
         ref(id_col).cast("long").alias("id"),
         F.xxhash64(F.coalesce(ref(text_col).cast("string"), F.lit(""))).alias("key"),

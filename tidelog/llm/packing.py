@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tidelog.llm.common import ref
 from tidelog.llm.tokens import id_type, load
-from tidelog.session import stored
+from tidelog.session import bounded_batches, stored
 
 WINDOW = 2048
 END_ID = 1
@@ -253,7 +253,8 @@ def pack(
     vocabulary = max(load(tokenizer).vocabulary, end_id + 1)
     dtype = id_type(vocabulary)
     width = np.dtype(dtype).itemsize
-    found = stored(tokenized(docs, id_col, text_col, tokenizer, end_id, window), "tokens", compression="zstd")
+    with bounded_batches(docs.sparkSession):
+        found = stored(tokenized(docs, id_col, text_col, tokenizer, end_id, window), "tokens", compression="zstd")
     tokens = found.where("n IS NOT NULL").drop("term", "docs")
     count, total = tokens.agg(F.count(F.lit(1)), F.sum("n")).first()
     if not count:
